@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlift import schemas as S
-from adlift.functions.scalars import DAY_US, HOUR_US, hours_between, micros, money, rounded
+from adlift.functions.scalars import DAY_US, HOUR_US, hours_between, micros, money, ratio, rounded
 from adlift.operators.ordered import Lookup, asof_join, rank_latest_first
 from adlift.operators.skew import HOT_ROWS
 
@@ -85,20 +87,15 @@ def attribution_asof(
     clicks: DataFrame,
     window_days: float = S.CLICK_WINDOW_DAYS,
     hot_rows: int = HOT_ROWS,
+    count_on: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Each order takes the pair's last click at or before it, within the window."""
     matched = asof_join(
-        _orders(orders), [_clicks(clicks, window_days)], PAIR, "order_timestamp", hot_rows
+        _orders(orders), [_clicks(clicks, window_days)], PAIR, "order_timestamp", hot_rows, count_on
     )
     return _silver(matched)
 
 
-def attribute(orders: DataFrame, clicks: DataFrame, mode: str = "asof", **options) -> DataFrame:
-    """Silver by either rule: ``asof`` or ``global_last``."""
-    rules = {"asof": attribution_asof, "global_last": attribution_global_last}
-    return rules[mode](orders, clicks, **options)
-
-
 def attribution_view_through(
     orders: DataFrame,
     impressions: DataFrame,
@@ -162,12 +159,13 @@ def attribution_full(
 
 def attribution_summary(silver: DataFrame) -> DataFrame:
     """Orders, revenue, ticket and hours to convert per attribution status."""
-    revenue = F.sum(money("order_amount")).cast("double")
+    revenue = F.sum(money("order_amount"))
+    hours = F.col("hours_from_click_to_order").cast("decimal(18,1)")
     return silver.groupBy("attribution_status").agg(
         F.count(F.lit(1)).alias("total_orders"),
         rounded(revenue, 2).alias("total_revenue"),
-        rounded(revenue / F.count("order_amount"), 2).alias("avg_ticket"),
-        rounded(F.avg("hours_from_click_to_order"), 1).alias("avg_hours_to_convert"),
+        rounded(ratio(revenue, F.count("order_amount")), 2).alias("avg_ticket"),
+        rounded(ratio(F.sum(hours), F.count("hours_from_click_to_order")), 1).alias("avg_hours_to_convert"),
     )
 
 

@@ -58,16 +58,18 @@ def asof_join(
     keys: Sequence[str],
     left_time: str,
     hot_rows: int = HOT_ROWS,
+    count_on: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """``left`` plus, per lookup, the latest right row of the same key not after it.
 
     One shuffle of the union of both sides; no pairs are built. Left rows
-    without a match keep a null struct.
+    without a match keep a null struct. ``count_on`` names cheaper frames to
+    find hot keys in (say, the raw tables behind a deduplicated input).
     """
     keys = list(keys)
     names = [look.name for look in lookups]
     rights = [look.points(keys) for look in lookups]
-    hot = hot_buckets([left, *rights], keys, hot_rows)
+    hot = hot_buckets(count_on or [left, *rights], keys, hot_rows)
     if not hot:
         out = _asof_by_key(left, list(zip(lookups, rights)), keys, left_time)
     else:
@@ -223,7 +225,7 @@ def trailing_sums(
         .withColumn("_width", F.explode(F.array(*[F.lit(w) for w in widths])))
         .withColumn(_T, F.col("_at") - F.col("_width"))
     )
-    hot_keys = hot_buckets([counted, probes], keys, hot_rows)
+    hot_keys = hot_buckets([at, events], keys, hot_rows)
     if not hot_keys:
         totals = _running_by_key(probes, counted, keys, measures)
     else:

@@ -7,9 +7,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlift.operators.attribution import attribute, dedup_latest
+from adlift.operators.attribution import attribution_asof, attribution_global_last, dedup_latest
 from adlift.operators.creative import creative_catalog, customer_segments, generate, segment_profile
 from adlift.operators.gold import gold_customer_features, gold_merchant_features
+from adlift.schemas import CLICK_WINDOW_DAYS
 from adlift.session import fresh_dir
 from adlift.sources.bronze import read_log
 from adlift.sources.driver_tables import AdLogs, ad_logs, line_orders
@@ -33,28 +34,43 @@ class Paths:
         return f"{self.root}/gold/{table}"
 
 
-def _logs(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The logs with replayed rows removed."""
-    impressions = read_log(spark, paths.bronze("impressions"), "impressions")
-    clicks = read_log(spark, paths.bronze("clicks"), "clicks")
-    orders = read_log(spark, paths.bronze("orders"), "orders")
-    return (
-        dedup_latest(impressions, ["impression_id"], ["timestamp"]),
-        dedup_latest(clicks, ["click_id"], ["timestamp"]),
-        dedup_latest(orders, ["order_id"], ["timestamp", "order_amount", "merchant_id"]),
-    )
+def _log(spark: SparkSession, paths: Paths, log: str) -> DataFrame:
+    return read_log(spark, paths.bronze(log), log)
+
 
+def _once(raw: DataFrame, log: str) -> DataFrame:
+    """A log with replayed rows removed."""
+    key, newest = {
+        "impressions": ("impression_id", ["timestamp"]),
+        "clicks": ("click_id", ["timestamp"]),
+        "orders": ("order_id", ["timestamp", "order_amount", "merchant_id"]),
+    }[log]
+    return dedup_latest(raw, [key], newest)
 
-def build_silver(spark: SparkSession, paths: Paths, mode: str = "asof") -> DataFrame:
-    """Attribute the orders and write silver; returns the written table."""
-    _, clicks, orders = _logs(spark, paths)
-    write_silver(attribute(orders, clicks, mode), paths.silver)
+
+def build_silver(
+    spark: SparkSession, paths: Paths, mode: str = "asof", window_days: float = CLICK_WINDOW_DAYS
+) -> DataFrame:
+    """Attribute the orders and write silver; returns the written table.
+
+    ``mode`` is ``asof`` or ``global_last``.
+    """
+    raw_clicks, raw_orders = _log(spark, paths, "clicks"), _log(spark, paths, "orders")
+    clicks, orders = _once(raw_clicks, "clicks"), _once(raw_orders, "orders")
+    if mode == "asof":
+        silver = attribution_asof(orders, clicks, window_days, count_on=[raw_orders, raw_clicks])
+    elif mode == "global_last":
+        silver = attribution_global_last(orders, clicks, window_days)
+    else:
+        raise ValueError(f"unknown attribution mode: {mode}")
+    write_silver(silver, paths.silver)
     return spark.read.parquet(paths.silver)
 
 
 def build_gold(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
     """Write both feature tables from silver and the ad logs."""
-    impressions, clicks, _ = _logs(spark, paths)
+    impressions = _once(_log(spark, paths, "impressions"), "impressions")
+    clicks = _once(_log(spark, paths, "clicks"), "clicks")
     silver = spark.read.parquet(paths.silver)
     write_table(gold_customer_features(silver, impressions, clicks), paths.gold("customer_features"))
     write_table(gold_merchant_features(silver), paths.gold("merchant_features"))
@@ -67,7 +83,7 @@ def build_gold(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]
 def build_creatives(spark: SparkSession, paths: Paths, min_customers: int = 1) -> DataFrame:
     """Segment the gold customers and publish the approved copies per segment."""
     customers = spark.read.parquet(paths.gold("customer_features"))
-    orders = read_log(spark, paths.bronze("orders"), "orders")
+    orders = _once(_log(spark, paths, "orders"), "orders")
     segments = segment_profile(customer_segments(customers, orders), min_customers)
     write_table(creative_catalog(generate(segments)), paths.gold("creative_catalog"))
     return spark.read.parquet(paths.gold("creative_catalog"))

@@ -1,7 +1,9 @@
 """SQL twins of the named queries, over the same tables, for a second engine to run.
 
 They are written the plain way (joins, windows, row numbers) and share
-nothing with the Spark side but the fixed values.
+nothing with the Spark side but the fixed values. Amounts are added as
+decimals: a sum of doubles depends on the order of the rows, and an average
+that lies on half a cent would then round either way.
 """
 
 from __future__ import annotations
@@ -9,6 +11,8 @@ from __future__ import annotations
 from adlift import schemas as S
 from adlift.operators import texts
 
+_SUM = "CAST(SUM(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE)"
+_MEAN = f"{_SUM} / COUNT(order_amount)"
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
@@ -78,7 +82,7 @@ def _gold(silver: str, prefix: str = "") -> str:
   SELECT customer_id, COUNT(DISTINCT order_id) AS user_total_orders,
          COUNT(DISTINCT CASE WHEN attribution_status = '{S.CLICK_STATUS}' THEN order_id END)
            AS user_attributed_orders,
-         ROUND(AVG(order_amount), 2) AS user_avg_basket_value,
+         ROUND({_MEAN}, 2) AS user_avg_basket_value,
          ROUND(AVG(used_coupon), 3) AS user_discount_affinity
   FROM {silver} GROUP BY customer_id),
 {prefix}order_agg AS (
@@ -110,7 +114,7 @@ def _gold(silver: str, prefix: str = "") -> str:
   QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY count(*) DESC, cuisine) = 1),
 {prefix}gold_m AS (
   SELECT s.merchant_id, COUNT(DISTINCT order_id) AS merchant_total_orders,
-         ROUND(AVG(order_amount), 2) AS merchant_avg_ticket,
+         ROUND({_MEAN}, 2) AS merchant_avg_ticket,
          ROUND(AVG(used_coupon), 3) AS merchant_coupon_dependency,
          ANY_VALUE(merchant_cuisine) AS merchant_cuisine,
          ROUND(COUNT(DISTINCT CASE WHEN attribution_status = '{S.CLICK_STATUS}' THEN order_id END) * 1.0
@@ -433,8 +437,10 @@ FROM silver s JOIN viewed v ON s.order_id = v.order_id""",
     )
     out["attribution_summary"] = _with(
         silver,
-        """SELECT attribution_status, COUNT(*) AS total_orders, ROUND(SUM(order_amount), 2) AS total_revenue,
-       ROUND(AVG(order_amount), 2) AS avg_ticket, ROUND(AVG(hours_from_click_to_order), 1) AS avg_hours_to_convert
+        f"""SELECT attribution_status, COUNT(*) AS total_orders, ROUND({_SUM}, 2) AS total_revenue,
+       ROUND({_MEAN}, 2) AS avg_ticket,
+       ROUND(CAST(SUM(CAST(hours_from_click_to_order AS DECIMAL(18,1))) AS DOUBLE)
+             / COUNT(hours_from_click_to_order), 1) AS avg_hours_to_convert
 FROM silver GROUP BY attribution_status""",
     )
     out["dedup_orders"] = _with(
@@ -455,9 +461,9 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY "timestamp" DESC, orde
     out["line_customer_order_agg"] = _with([*lines, _gold("line_silver", "l_")], "SELECT * FROM l_order_agg")
     out["traffic_totals"] = _with(
         logs,
-        """SELECT i AS impressions, c AS clicks, o AS orders, round(c / i, 6) AS global_ctr, v AS order_value
+        f"""SELECT i AS impressions, c AS clicks, o AS orders, round(c / i, 6) AS global_ctr, v AS order_value
 FROM (SELECT (SELECT count(*) FROM bronze_impressions) AS i, (SELECT count(*) FROM bronze_clicks) AS c,
-             (SELECT count(*) FROM bronze_orders) AS o, (SELECT round(sum(order_amount), 2) FROM bronze_orders) AS v)""",
+             (SELECT count(*) FROM bronze_orders) AS o, (SELECT round({_SUM}, 2) FROM bronze_orders) AS v)""",
     )
     out["orders_last_30d"] = _with(
         logs,

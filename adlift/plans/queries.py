@@ -29,7 +29,6 @@ from adlift.streaming.ingest import append_stream, drop_replays, read_stream
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
-AS_OF = F.lit("2024-01-31 00:00:00").cast("timestamp")
 MIN_SEGMENT = 3
 
 
@@ -59,6 +58,11 @@ def plain(df: DataFrame) -> DataFrame:
 # ---- tables the queries share -------------------------------------------------
 
 
+def _as_of():
+    """The day after the event log ends."""
+    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+
+
 def _line_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ad request per (order, supplier): many customers and merchants are unknown to gold."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
@@ -228,13 +232,13 @@ def traffic_totals(spark, sf_dir):
 
 @query
 def orders_last_30d(spark, sf_dir):
-    return gold.orders_last_days(layers(spark, sf_dir).logs.orders, AS_OF, 30)
+    return gold.orders_last_days(layers(spark, sf_dir).logs.orders, _as_of(), 30)
 
 
 @query
 def fatigue_last_7d(spark, sf_dir):
     t = layers(spark, sf_dir)
-    return gold.fatigue_last_days(t.logs.impressions, t.logs.clicks, AS_OF, 7)
+    return gold.fatigue_last_days(t.logs.impressions, t.logs.clicks, _as_of(), 7)
 
 
 @query

@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 from adlift.operators.features import primary_key_check
 
 
+def _by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
+    """Rows brought together by date for writing.
+
+    The rebalance is sized at run time: a heavy day is split over several
+    tasks and files, light days share one.
+    """
+    return df.withColumn(name, F.to_date(ts)).hint("rebalance", name)
+
+
 def append_bronze(df: DataFrame, path: str) -> None:
     """Append to a raw log, one folder per event date."""
-    dated = df.withColumn("event_date", F.to_date("timestamp"))
+    dated = _by_date(df, "timestamp", "event_date")
     dated.write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def write_silver(df: DataFrame, path: str) -> None:
-    """Replace the silver table, one folder per order date.
-
-    Rows are brought together by date and a hash of the order, so that a day
-    becomes a few files and a heavy day is not written by one task.
-    """
-    dated = df.withColumn("order_date", F.to_date("order_timestamp"))
-    spread = F.pmod(F.xxhash64("order_id"), F.lit(16))
-    dated.repartition("order_date", spread).write.mode("overwrite").partitionBy("order_date").parquet(path)
+    """Replace the silver table, one folder per order date."""
+    dated = _by_date(df, "order_timestamp", "order_date")
+    dated.write.mode("overwrite").partitionBy("order_date").parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
