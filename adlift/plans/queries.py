@@ -22,7 +22,7 @@ from adlift.operators import bandit, creative, features, gold, governance, model
 from adlift.operators.evaluation import binary_metrics, stratified_split
 from adlift.session import fresh_dir
 from adlift.plans.medallion import Layers, layers
-from adlift.sources.driver_tables import base_events, table
+from adlift.sources.driver_tables import base_events, numbered, table
 from adlift.streaming.attribution import TOUCH, SilverStream, matched_clicks, touches
 from adlift.streaming.ingest import append_stream, drop_replays, read_stream
 
@@ -68,9 +68,9 @@ def _line_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.format_string("req_%d_%d", "l_orderkey", "l_suppkey").alias("request_id"),
-        F.format_string("usr_%06d", "o_custkey").alias("customer_id"),
-        F.format_string("merch_%04d", "l_suppkey").alias("merchant_id"),
+        F.concat(F.lit("req_"), "l_orderkey", F.lit("_"), "l_suppkey").alias("request_id"),
+        numbered("usr_", "o_custkey", 6).alias("customer_id"),
+        numbered("merch_", "l_suppkey", 4).alias("merchant_id"),
     )
 
 
@@ -493,7 +493,7 @@ def creative_catalog(spark, sf_dir):
 @query
 def customer_context(spark, sf_dir):
     requests = table(spark, sf_dir, "customer").select(
-        F.format_string("usr_%06d", "c_custkey").alias("customer_id")
+        numbered("usr_", "c_custkey", 6).alias("customer_id")
     )
     return creative.customer_context(requests, layers(spark, sf_dir).customers)
 
@@ -533,7 +533,7 @@ def creative_decisions_thompson(spark, sf_dir):
 @query
 def ab_assignment(spark, sf_dir):
     units = table(spark, sf_dir, "customer").select(
-        F.format_string("usr_%06d", "c_custkey").alias("customer_id")
+        numbered("usr_", "c_custkey", 6).alias("customer_id")
     )
     return bandit.ab_assignment(units, "customer_id", {"control": 0.5, "bandit": 0.3, "holdout": 0.2})
 
@@ -563,7 +563,7 @@ def row_filtered_silver(spark, sf_dir):
     grants = table(spark, sf_dir, "supplier").join(
         nations, F.col("s_nationkey") == F.col("n_nationkey")
     ).select(
-        F.col("r_name").alias("principal"), F.format_string("merch_%04d", "s_suppkey").alias("merchant_id")
+        F.col("r_name").alias("principal"), numbered("merch_", "s_suppkey", 4).alias("merchant_id")
     )
     return governance.filter_rows(silver, grants, "EUROPE", ["merchant_id"])
 
@@ -593,7 +593,7 @@ def stream_bronze_ingest(spark, sf_dir):
     stream = read_stream(spark, _deliver(spark, shown, "impressions"), shown.schema, files_per_batch=2)
     target = fresh_dir(spark, "bronze")
     append_stream(drop_replays(stream, ["impression_id"]), target, f"{target}-checkpoint")
-    return spark.read.parquet(target).drop("event_date")
+    return spark.read.parquet(target).drop("batch")
 
 
 @query
@@ -602,7 +602,7 @@ def stream_dedup_orders(spark, sf_dir):
     stream = read_stream(spark, _deliver(spark, orders, "orders"), orders.schema, files_per_batch=2)
     target = fresh_dir(spark, "orders-once")
     append_stream(drop_replays(stream, ["order_id"]), target, f"{target}-checkpoint")
-    return spark.read.parquet(target).drop("event_date")
+    return spark.read.parquet(target).drop("batch")
 
 
 def _stream_silver(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:

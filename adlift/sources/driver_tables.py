@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def numbered(prefix: str, number, width: int):
+    """``prefix`` and the number with leading zeros, wider numbers in full."""
+    digits = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
+
+
 def _pick(index, names):
     return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
 
@@ -40,8 +46,8 @@ def base_events(events: DataFrame) -> DataFrame:
         "event_type",
         "value",
         "k",
-        F.format_string("usr_%06d", "user_id").alias("customer_id"),
-        F.format_string("merch_%04d", F.col("k") % 10).alias("merchant_id"),
+        numbered("usr_", "user_id", 6).alias("customer_id"),
+        numbered("merch_", F.col("k") % 10, 4).alias("merchant_id"),
         _pick((F.col("k") % 10) % 7, _CUISINES).alias("cuisine"),
         _pick(F.floor(F.col("k") / 10) % 4, _PLACEMENTS).alias("ad_placement"),
     )
@@ -49,7 +55,7 @@ def base_events(events: DataFrame) -> DataFrame:
 
 def impressions_of(base: DataFrame) -> DataFrame:
     return base.where(F.col("event_type") == "view").select(
-        F.format_string("imp_%08d", "event_id").alias("impression_id"),
+        numbered("imp_", "event_id", 8).alias("impression_id"),
         "timestamp",
         "customer_id",
         "merchant_id",
@@ -62,7 +68,7 @@ def impressions_of(base: DataFrame) -> DataFrame:
 def clicks_of(base: DataFrame, impressions: DataFrame) -> DataFrame:
     """A click belongs to the pair's last impression at or before it, if any."""
     clicks = base.where(F.col("event_type") == "click").select(
-        F.format_string("clk_%07d", "event_id").alias("click_id"),
+        numbered("clk_", "event_id", 7).alias("click_id"),
         "timestamp",
         "customer_id",
         "merchant_id",
@@ -81,7 +87,7 @@ def clicks_of(base: DataFrame, impressions: DataFrame) -> DataFrame:
 
 def orders_of(base: DataFrame) -> DataFrame:
     return base.where(F.col("event_type") == "purchase").select(
-        F.format_string("ord_%07d", "event_id").alias("order_id"),
+        numbered("ord_", "event_id", 7).alias("order_id"),
         "timestamp",
         "customer_id",
         "merchant_id",
@@ -106,10 +112,10 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(parts, lines.l_partkey == parts.p_partkey)
         .select(
-            F.format_string("ord_%d_%d", "l_orderkey", "l_linenumber").alias("order_id"),
+            F.concat(F.lit("ord_"), "l_orderkey", F.lit("_"), "l_linenumber").alias("order_id"),
             F.col("l_shipdate").alias("timestamp"),
-            F.format_string("usr_%06d", "o_custkey").alias("customer_id"),
-            F.format_string("merch_%04d", "l_suppkey").alias("merchant_id"),
+            numbered("usr_", "o_custkey", 6).alias("customer_id"),
+            numbered("merch_", "l_suppkey", 4).alias("merchant_id"),
             F.col("l_extendedprice").alias("order_amount"),
             F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).alias("used_coupon"),
             F.col("p_type").alias("cuisine"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adlift.operators.features import primary_key_check
 
 
-def _by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
+def by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
     """Rows brought together by date for writing.
 
     The rebalance is sized at run time: a heavy day is split over several
@@ -21,13 +21,13 @@ def _by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
 
 def append_bronze(df: DataFrame, path: str) -> None:
     """Append to a raw log, one folder per event date."""
-    dated = _by_date(df, "timestamp", "event_date")
+    dated = by_date(df, "timestamp", "event_date")
     dated.write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def write_silver(df: DataFrame, path: str) -> None:
     """Replace the silver table, one folder per order date."""
-    dated = _by_date(df, "order_timestamp", "order_date")
+    dated = by_date(df, "order_timestamp", "order_date")
     dated.write.mode("overwrite").partitionBy("order_date").parquet(path)
 
 

@@ -11,6 +11,7 @@ and nothing is ever read and overwritten in the same place.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,8 @@ from adlift.operators.attribution import (
     attribution_view_through,
     dedup_latest,
 )
-from adlift.streaming.ingest import drop_replays
+from adlift.sources.sinks import by_date
+from adlift.streaming.ingest import drop_replays, write_batch
 
 TOUCH = T.StructType(
     [
@@ -79,44 +81,39 @@ class SilverStream:
 
     def run(self, stream: DataFrame) -> None:
         """Process all touches that have arrived, then stop."""
+        # A stream plans its batches in a session without adaptive execution;
+        # the attribution itself runs in the caller's.
+        spark = stream.sparkSession
         query = (
             drop_replays(stream, ["kind", "event_id"])
-            .writeStream.foreachBatch(self.process)
+            .writeStream.foreachBatch(lambda batch, number: self.process(spark, batch, number))
             .option("checkpointLocation", f"{self.root}/checkpoint")
             .trigger(availableNow=True)
             .start()
         )
         query.awaitTermination()
 
-    def process(self, batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        here = f"{self.log}/batch={number}"
-        dated = batch.withColumn("event_date", F.to_date("timestamp"))
-        dated.write.mode("overwrite").partitionBy("event_date").parquet(here)
-        new = spark.read.schema(T.StructType([*TOUCH, T.StructField("event_date", T.DateType())])).parquet(here)
-
+    def process(self, spark: SparkSession, batch: DataFrame, number: int) -> None:
+        new = spark.read.schema(TOUCH).parquet(write_batch(batch, self.log, number))
+        span = new.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+        if span["lo"] is None:
+            return
         pairs = (
             new.groupBy(*PAIR)
             .agg(F.min("timestamp").alias("_lo"), F.max("timestamp").alias("_hi"))
             .withColumnsRenamed({c: f"_{c}" for c in PAIR})
         )
         touched = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PAIR])
-        span = new.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi")).first()
-        if span["lo"] is None:
-            return
-        days = int(-(-self._reach // 86_400))
-        near = F.col("event_date").between(
-            F.date_sub(F.lit(span["lo"]), days), F.date_add(F.lit(span["hi"]), days)
-        )
         reach = F.make_dt_interval(secs=F.lit(self._reach))
+        near = timedelta(seconds=self._reach)
         history = (
             self.history(spark, number)
-            .where(near)
+            .where(F.col("timestamp").between(span["lo"] - near, span["hi"] + near))
             .join(pairs, touched)
             .where(F.col("timestamp").between(F.col("_lo") - reach, F.col("_hi") + reach))
         )
         orders = history.where((F.col("kind") == "order") & (F.col("timestamp") >= F.col("_lo")))
-        redone = self.attribute(orders, history).withColumn("order_date", F.to_date("order_timestamp"))
+        redone = by_date(self.attribute(orders, history), "order_timestamp", "order_date")
         redone.write.mode("overwrite").partitionBy("order_date").parquet(f"{self.versions}/version={number}")
 
     def attribute(self, orders: DataFrame, history: DataFrame) -> DataFrame:
@@ -128,10 +125,8 @@ class SilverStream:
         return attribution_view_through(orders, views, self.window_hours)
 
     def history(self, spark: SparkSession, upto: int) -> DataFrame:
-        """The touch log up to a batch; whole folders outside the date range are skipped."""
-        schema = T.StructType(
-            [*TOUCH, T.StructField("batch", T.IntegerType()), T.StructField("event_date", T.DateType())]
-        )
+        """The touch log up to a batch; a filter on time skips the files outside it."""
+        schema = T.StructType([*TOUCH, T.StructField("batch", T.IntegerType())])
         return spark.read.schema(schema).parquet(self.log).where(F.col("batch") <= upto)
 
     def silver(self, spark: SparkSession) -> DataFrame:

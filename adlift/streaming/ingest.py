@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlift import schemas as S
@@ -25,15 +24,27 @@ def drop_replays(stream: DataFrame, keys: Sequence[str], ts: str = "timestamp")
     return stream.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
 
 
-def append_stream(stream: DataFrame, target: str, checkpoint: str, ts: str = "timestamp") -> None:
-    """Append everything that has arrived to ``target``, by event date, then stop."""
-    dated = stream.withColumn("event_date", F.to_date(ts))
+def write_batch(batch: DataFrame, table: str, number: int) -> str:
+    """Write a micro-batch as folder ``number`` of ``table``, replacing an earlier try.
+
+    The files follow the partitions of the deduplication. There are no date
+    folders, which would multiply the files: a batch covers a short time, so
+    the time range in each file's footer is enough to skip it.
+    """
+    path = f"{table}/batch={number}"
+    batch.write.mode("overwrite").parquet(path)
+    return path
+
+
+def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Append everything that has arrived to ``target``, one folder per batch, then stop."""
+
+    def append(batch: DataFrame, number: int) -> None:
+        write_batch(batch, target, number)
+
     query = (
-        dated.writeStream.format("parquet")
-        .option("path", target)
+        stream.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("event_date")
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

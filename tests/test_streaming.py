@@ -48,7 +48,7 @@ def test_running_a_batch_again_changes_nothing(spark):
     first, second = _orders(spark, order("o", 2 * DAY)), _clicks(spark, click("c", DAY))
     _feed(spark, job, source, first, second)
     before = sorted(map(str, job.silver(spark).collect()))
-    job.process(second, 1)
+    job.process(spark, second, 1)
     assert sorted(map(str, job.silver(spark).collect())) == before
     assert job.history(spark, 1).count() == 2
 
@@ -93,5 +93,5 @@ def test_ingest_appends_once(spark):
         stream = read_stream(spark, source, df.schema, files_per_batch=1)
         append_stream(drop_replays(stream, ["impression_id"]), target, f"{target}-checkpoint")
     back = spark.read.parquet(target)
-    assert back.count() == 20 and "event_date" in back.columns
+    assert back.count() == 20 and "batch" in back.columns
     assert back.agg({"timestamp": "max"}).first()[0] == at(19_000)
