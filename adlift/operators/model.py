@@ -19,6 +19,9 @@ from adlift.operators.features import FEATURE_COLUMNS, batch_lookup, one_hot
 from adlift.session import shared_dir
 
 
+ROWS_PER_TASK = 100_000
+
+
 @dataclass(frozen=True)
 class BoostingParams:
     """Fixed values of the propensity model."""
@@ -54,7 +57,9 @@ def train_propensity(
     # Class count, split points and boosting each pass over the rows.
     rows = matrix.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[assembler, trees]).fit(rows)
+        # Each level of each tree is a round of tasks: merge partitions too small to be worth one.
+        tasks = rows.count() // ROWS_PER_TASK + 1
+        return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
     finally:
         rows.unpersist()
 

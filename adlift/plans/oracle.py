@@ -73,60 +73,55 @@ def _asof(name: str, orders: str, row: str = "order_id") -> str:
   QUALIFY row_number() OVER (PARTITION BY o.rid ORDER BY c."timestamp" DESC, c.click_id DESC) = 1)"""
 
 
-def _gold(silver: str, prefix: str = "") -> str:
+def _profiles(silver: str, prefix: str, key: str) -> str:
+    """Per key: distinct and attributed orders, means, and the most frequent cuisine."""
+    short = key[0]
     return f"""
-{prefix}cuisine_u AS (
-  SELECT customer_id, cuisine FROM {silver} GROUP BY customer_id, cuisine
-  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, cuisine) = 1),
-{prefix}orders_u AS (
-  SELECT customer_id, COUNT(DISTINCT order_id) AS user_total_orders,
-         COUNT(DISTINCT CASE WHEN attribution_status = '{S.CLICK_STATUS}' THEN order_id END)
-           AS user_attributed_orders,
-         ROUND({_MEAN}, 2) AS user_avg_basket_value,
-         ROUND(AVG(used_coupon), 3) AS user_discount_affinity
-  FROM {silver} GROUP BY customer_id),
+{prefix}top_{short} AS (
+  SELECT {key}, cuisine FROM {silver} GROUP BY {key}, cuisine
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY count(*) DESC, cuisine) = 1),
+{prefix}sold_{short} AS (
+  SELECT {key}, count(DISTINCT order_id) AS n,
+         count(DISTINCT order_id) FILTER (attribution_status = '{S.CLICK_STATUS}') AS from_ads,
+         round({_MEAN}, 2) AS ticket, round(avg(used_coupon), 3) AS coupons
+  FROM {silver} GROUP BY {key})"""
+
+
+def _gold(silver: str, prefix: str = "") -> str:
+    filled = ", ".join(
+        f"ifnull({name}, {_text(value) if isinstance(value, str) else value}) AS {name}"
+        for name, value in S.GOLD_DEFAULTS.items()
+    )
+    return f"""{_profiles(silver, prefix, "customer_id")},
 {prefix}order_agg AS (
-  SELECT o.*, c.cuisine AS user_preferred_cuisine
-  FROM {prefix}orders_u o JOIN {prefix}cuisine_u c ON o.customer_id = c.customer_id),
+  SELECT customer_id, n AS user_total_orders, from_ads AS user_attributed_orders, ticket AS user_avg_basket_value,
+         coupons AS user_discount_affinity, cuisine AS user_preferred_cuisine
+  FROM {prefix}sold_c JOIN {prefix}top_c USING (customer_id)),
+{prefix}ads_n AS (
+  SELECT i.customer_id, count(DISTINCT i.impression_id) AS shown, count(DISTINCT c.click_id) AS hit
+  FROM bronze_impressions i LEFT JOIN bronze_clicks c USING (impression_id) GROUP BY i.customer_id),
 {prefix}ads_u AS (
-  SELECT i.customer_id, COUNT(DISTINCT i.impression_id) AS total_impressions,
-         COUNT(DISTINCT c.click_id) AS total_clicks,
-         ROUND(COUNT(DISTINCT c.click_id) * 1.0 / NULLIF(COUNT(DISTINCT i.impression_id), 0), 4)
-           AS user_historical_ctr,
-         ROUND(COUNT(DISTINCT i.impression_id) * 1.0 / (COUNT(DISTINCT c.click_id) + 1.0), 2)
-           AS user_ad_fatigue_score
-  FROM bronze_impressions i LEFT JOIN bronze_clicks c ON i.impression_id = c.impression_id
-  GROUP BY i.customer_id),
+  SELECT customer_id, shown AS total_impressions, hit AS total_clicks,
+         round(hit / shown, 4) AS user_historical_ctr, round(shown / (hit + 1.0), 2) AS user_ad_fatigue_score
+  FROM {prefix}ads_n),
 {prefix}gold_u AS (
-  SELECT u.customer_id,
-         COALESCE(o.user_total_orders, 0) AS user_total_orders,
-         COALESCE(o.user_attributed_orders, 0) AS user_attributed_orders,
-         COALESCE(o.user_avg_basket_value, 45.0) AS user_avg_basket_value,
-         COALESCE(o.user_discount_affinity, 0.20) AS user_discount_affinity,
-         COALESCE(o.user_preferred_cuisine, 'Burger') AS user_preferred_cuisine,
-         COALESCE(u.total_impressions, 0) AS user_ad_impressions,
-         COALESCE(u.total_clicks, 0) AS user_ad_clicks,
-         COALESCE(u.user_historical_ctr, 0.0) AS user_historical_ctr,
-         COALESCE(u.user_ad_fatigue_score, 1.0) AS user_ad_fatigue_score
-  FROM {prefix}ads_u u LEFT JOIN {prefix}order_agg o ON u.customer_id = o.customer_id),
-{prefix}cuisine_m AS (
-  SELECT merchant_id, cuisine AS merchant_cuisine FROM {silver} GROUP BY merchant_id, cuisine
-  QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY count(*) DESC, cuisine) = 1),
+  SELECT customer_id, {filled} FROM (
+    SELECT a.customer_id, a.total_impressions AS user_ad_impressions, a.total_clicks AS user_ad_clicks,
+           a.user_historical_ctr, a.user_ad_fatigue_score, o.* EXCLUDE (customer_id)
+    FROM {prefix}ads_u a LEFT JOIN {prefix}order_agg o ON a.customer_id = o.customer_id)),
+{_profiles(silver, prefix, "merchant_id")},
 {prefix}gold_m AS (
-  SELECT s.merchant_id, COUNT(DISTINCT order_id) AS merchant_total_orders,
-         ROUND({_MEAN}, 2) AS merchant_avg_ticket,
-         ROUND(AVG(used_coupon), 3) AS merchant_coupon_dependency,
-         ANY_VALUE(merchant_cuisine) AS merchant_cuisine,
-         ROUND(COUNT(DISTINCT CASE WHEN attribution_status = '{S.CLICK_STATUS}' THEN order_id END) * 1.0
-               / COUNT(DISTINCT order_id), 4) AS merchant_retail_media_dependency_rate
-  FROM {silver} s JOIN {prefix}cuisine_m c ON s.merchant_id = c.merchant_id GROUP BY s.merchant_id)"""
+  SELECT merchant_id, n AS merchant_total_orders, ticket AS merchant_avg_ticket,
+         coupons AS merchant_coupon_dependency, cuisine AS merchant_cuisine,
+         round(from_ads / n, 4) AS merchant_retail_media_dependency_rate
+  FROM {prefix}sold_m JOIN {prefix}top_m USING (merchant_id))"""
 
 
 _OBSERVED = """
 observed AS (
   SELECT i.impression_id, i.customer_id, i.merchant_id, i.ad_placement, i.device, i."timestamp",
-         CASE WHEN c.click_id IS NOT NULL THEN 1 ELSE 0 END AS has_clicked
-  FROM bronze_impressions i LEFT JOIN bronze_clicks c ON i.impression_id = c.impression_id)"""
+         CAST(c.click_id IS NOT NULL AS INT) AS has_clicked
+  FROM bronze_impressions i LEFT JOIN bronze_clicks c USING (impression_id))"""
 
 _TRAINING = """
 training AS (
@@ -389,22 +384,21 @@ def statements() -> dict[str, str]:
     out["attribution_global_last"] = _with(
         [
             _EVENTS,
-            """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY customer_id, merchant_id
-                               ORDER BY "timestamp" DESC, click_id DESC) AS click_rank FROM bronze_clicks)""",
+            """newest AS (
+  SELECT DISTINCT ON (customer_id, merchant_id) customer_id, merchant_id, click_id, impression_id, ad_placement,
+         epoch("timestamp") AS clicked_at
+  FROM bronze_clicks ORDER BY customer_id, merchant_id, "timestamp" DESC, click_id DESC),
+aged AS (
+  SELECT o.*, n.* EXCLUDE (customer_id, merchant_id), epoch(o."timestamp") - n.clicked_at AS age,
+         coalesce(age BETWEEN 0 AND 604800, FALSE) AS hit
+  FROM bronze_orders o LEFT JOIN newest n ON o.customer_id = n.customer_id AND o.merchant_id = n.merchant_id)""",
         ],
-        f"""SELECT o.order_id, strftime(o."timestamp", {_TS}) AS order_timestamp, o.customer_id, o.merchant_id,
-       o.order_amount, o.used_coupon, o.cuisine, rc.click_id AS attributed_click_id,
-       rc.impression_id AS attributed_impression_id, rc.ad_placement,
-       CASE WHEN rc.click_id IS NOT NULL
-             AND epoch(o."timestamp") - epoch(rc."timestamp") BETWEEN 0 AND (7 * 86400)
-            THEN '{S.CLICK_STATUS}' ELSE '{S.ORGANIC_STATUS}' END AS attribution_status,
-       CASE WHEN rc.click_id IS NOT NULL
-            THEN round((epoch(o."timestamp") - epoch(rc."timestamp")) / 3600.0, 1) END AS hours_from_click_to_order
-FROM bronze_orders o LEFT JOIN ranked rc
-  ON o.customer_id = rc.customer_id AND o.merchant_id = rc.merchant_id
- AND rc."timestamp" <= o."timestamp" AND epoch(o."timestamp") - epoch(rc."timestamp") <= (7 * 86400)
- AND rc.click_rank = 1""",
+        f"""SELECT order_id, strftime("timestamp", {_TS}) AS order_timestamp, customer_id, merchant_id, order_amount,
+       used_coupon, cuisine, if(hit, click_id, NULL) AS attributed_click_id,
+       if(hit, impression_id, NULL) AS attributed_impression_id, if(hit, ad_placement, NULL) AS ad_placement,
+       if(hit, '{S.CLICK_STATUS}', '{S.ORGANIC_STATUS}') AS attribution_status,
+       if(hit, round(age / 3600.0, 1), NULL) AS hours_from_click_to_order
+FROM aged""",
     )
     out["attribution_asof"] = _with(silver, f"{_SILVER_ROWS} silver")
     views = f"""
