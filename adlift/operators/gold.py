@@ -32,25 +32,22 @@ def order_profile(silver: DataFrame, key: str) -> DataFrame:
         .withColumn("attributed", F.col("attributed") * F.col("orders"))
         .drop("order_id")
     )
-    per_cuisine = (
+    totals = per_order.groupBy(key).agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum("attributed").alias("attributed_orders"),
+        ratio(F.sum("amount"), F.sum("amounts")).alias("avg_amount"),
+        ratio(F.sum("coupons"), F.sum("coupon_rows")).alias("avg_coupon"),
+    )
+    # Apart from the sums: a struct in the buffer would turn their hash aggregate into a sorted one.
+    favourites = (
         silver.where(F.col("cuisine").isNotNull())
         .groupBy(key, "cuisine")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(key, F.struct((-F.col("n")).alias("n"), "cuisine").alias("favourite"))
-    )
-    return (
-        per_order.unionByName(per_cuisine, allowMissingColumns=True)
-        .groupBy(key)
-        .agg(
-            F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
-            F.coalesce(F.sum("attributed"), F.lit(0)).alias("attributed_orders"),
-            ratio(F.sum("amount"), F.sum("amounts")).alias("avg_amount"),
-            ratio(F.sum("coupons"), F.sum("coupon_rows")).alias("avg_coupon"),
-            F.min("favourite").alias("favourite"),
-        )
-        .withColumn("cuisine", F.col("favourite.cuisine"))
-        .drop("favourite")
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.min(F.struct((-F.col("n")).alias("n"), "cuisine")).alias("best"))
+        .select("_key", "best.cuisine")
     )
+    return totals.join(favourites, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def customer_order_agg(silver: DataFrame) -> DataFrame:
