@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adlift import schemas as S
 from adlift.functions.scalars import affinity_match, ratio, rounded
 from adlift.operators.ordered import Lookup, asof_join
-from adlift.operators.skew import HOT_ROWS
+from adlift.operators.skew import HOT_ROWS, hot_buckets
 
 
 @dataclass(frozen=True)
@@ -36,18 +36,30 @@ _OBSERVED = ["impression_id", "customer_id", "merchant_id", "ad_placement", "dev
 
 
 def observations_clicked(
-    impressions: DataFrame, clicks: DataFrame, dedup: bool = False, keep: Sequence[str] = ()
+    impressions: DataFrame,
+    clicks: DataFrame,
+    dedup: bool = False,
+    keep: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Impressions labelled by whether they were clicked.
 
     As coded, an impression with several clicks appears once per click;
-    ``dedup`` brings clicks to one per impression first.
+    ``dedup`` brings clicks to one per impression first. A left join can only
+    be split on its left side, so where one impression holds too many clicks
+    the clicked part becomes an inner join, which can be split on either.
     """
-    hits = clicks.select("impression_id", "click_id")
+    hits = clicks.where(F.col("impression_id").isNotNull()).select("impression_id", "click_id")
     if dedup:
         hits = hits.groupBy("impression_id").agg(F.max("click_id").alias("click_id"))
+    if dedup or not hot_buckets([hits], ["impression_id"], hot_rows):
+        joined = impressions.join(hits, "impression_id", "left")
+    else:
+        clicked = hits.select("impression_id").distinct()
+        quiet = impressions.join(clicked, "impression_id", "left_anti")
+        joined = hits.join(impressions, "impression_id").unionByName(quiet, allowMissingColumns=True)
     label = F.col("click_id").isNotNull().cast("int").alias("has_clicked")
-    return impressions.join(hits, "impression_id", "left").select(*_OBSERVED, *keep, label)
+    return joined.select(*_OBSERVED, *keep, label)
 
 
 def observations_converted(impressions: DataFrame, silver: DataFrame) -> DataFrame:

@@ -33,5 +33,5 @@ def mask_columns(df: DataFrame, policy: Mapping[str, str]) -> DataFrame:
 
 def filter_rows(df: DataFrame, grants: DataFrame, principal: str, keys: Sequence[str]) -> DataFrame:
     """The rows whose ``keys`` are granted to ``principal`` in (principal, *keys)."""
-    allowed = grants.where(F.col("principal") == principal).select(*keys)
+    allowed = grants.where(F.col("principal") == principal).select(*keys).distinct()
     return df.join(allowed, list(keys), "left_semi")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,9 +21,28 @@ def read_stream(
     return reader.parquet(path)
 
 
+def _first_per_key(keys: Sequence[str]):
+    """Arrow batches with one row per key and batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]).select(list(keys))
+            rows = rows.append_column("_row", pa.array(np.arange(batch.num_rows)))
+            firsts = rows.group_by(list(keys)).aggregate([("_row", "min")])["_row_min"]
+            yield batch.take(firsts.combine_chunks())
+
+    return run
+
+
 def drop_replays(stream: DataFrame, keys: Sequence[str], ts: str = "timestamp") -> DataFrame:
-    """One row per key within the watermark; later rows than that are dropped as too late."""
-    return stream.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
+    """One row per key within the watermark; later rows than that are dropped as too late.
+
+    The stateful operator shuffles every row by key. Copies are thinned out
+    before it, so that an event delivered very many times does not send them
+    all to one task.
+    """
+    thinned = stream.mapInArrow(_first_per_key(keys), stream.schema)
+    return thinned.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
 
 
 def write_batch(batch: DataFrame, table: str, number: int) -> str:

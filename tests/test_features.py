@@ -65,6 +65,8 @@ def test_observations_fan_out_and_dedup(spark):
     )
     rows = features.observations_clicked(views, clicks).collect()
     assert sorted((r["impression_id"], r["has_clicked"]) for r in rows) == [("i1", 1), ("i1", 1), ("i2", 0)]
+    split = features.observations_clicked(views, clicks, hot_rows=0)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, rows))
     once = features.observations_clicked(views, clicks, dedup=True).collect()
     assert sorted((r["impression_id"], r["has_clicked"]) for r in once) == [("i1", 1), ("i2", 0)]
     silver = attribution_asof(spark.createDataFrame([order("o", 5)], ORDER), clicks.where("click_id != 'c'"))
