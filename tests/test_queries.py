@@ -7,11 +7,13 @@ import os
 import pytest
 
 import compare
-from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from __spark_entry__ import SMOKE_DIR, entry
+from adlift.plans.oracle import statements
+from adlift.plans.queries import registered as queries
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="test tables not present")
 
-ORACLE = oracle_sql()
+ORACLE = statements()
 # These train 120 trees; the model tests cover them with a few.
 SLOW = {"propensity_scores", "propensity_metrics", "score_requests"}
 
