@@ -30,3 +30,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlift.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.quality_rules import fails, ledger
+
+    found = ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ledger.*")
+    base = fails(found.failures, "base-1")
+    kept = ~base & ~fails(found.failures, "full-1")
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base.alias("base_failed"), kept.alias("kept"), "failures",
+    )

@@ -4,6 +4,35 @@ from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {}
 
+STATEMENTS["op6_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+worded AS (SELECT doc_id, line FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY doc_id),
+wins AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d WHERE len(ws) >= 8)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM wins) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
+f AS (
+  SELECT *, ((n_words < 20)::BIGINT) + 2 * ((100 * n_repeat_words > 30 * n_words)::BIGINT)
+    + 4 * ((2 * n_symbols > n_words)::BIGINT) + 8 * ((n_lines >= 4 AND 2 * n_dup_lines > n_lines)::BIGINT)
+    + 16 * ((2 * n_upper > word_chars)::BIGINT) + 32 * ((word_chars > 40 * n_words)::BIGINT) AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)
