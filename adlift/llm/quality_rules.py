@@ -36,7 +36,7 @@ class Rule:
 RULES = (
     Rule("few_words", lambda m: m("n_words") < 20),
     Rule("repeated_windows", lambda m: 100 * m("n_repeat_words") > 30 * m("n_words")),
-    Rule("symbols", lambda m: 2 * m("n_symbols") > m("n_words")),
+    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
     Rule("repeated_lines", lambda m: (m("n_lines") >= 4) & (2 * m("n_dup_lines") > m("n_lines"))),
     Rule("shouting", lambda m: 2 * m("n_upper") > m("word_chars")),
     Rule("long_words", lambda m: m("word_chars") > 40 * m("n_words")),

@@ -43,3 +43,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), kept.alias("kept"), "failures",
     )
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.chat_format import format_chats, read_back
+
+    said = "</s>[INST] ok [/INST]"
+    columns = "conv_id long, turn long, role string, text string"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], columns)
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return read_back(format_chats(chats))

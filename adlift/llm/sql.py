@@ -27,7 +27,7 @@ m AS (
   FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
 f AS (
   SELECT *, ((n_words < 20)::BIGINT) + 2 * ((100 * n_repeat_words > 30 * n_words)::BIGINT)
-    + 4 * ((2 * n_symbols > n_words)::BIGINT) + 8 * ((n_lines >= 4 AND 2 * n_dup_lines > n_lines)::BIGINT)
+    + 4 * ((10 * n_symbols > n_words)::BIGINT) + 8 * ((n_lines >= 4 AND 2 * n_dup_lines > n_lines)::BIGINT)
     + 16 * ((2 * n_upper > word_chars)::BIGINT) + 32 * ((word_chars > 40 * n_words)::BIGINT) AS failures FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
