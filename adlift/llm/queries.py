@@ -54,3 +54,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], columns)
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return read_back(format_chats(chats))
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))[0]
