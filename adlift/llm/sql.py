@@ -33,6 +33,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
 """
 
+STATEMENTS["op7_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az
+    FROM documents)),
+b AS (
+  SELECT item_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM (
+    SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az
+    FROM benchmark)),
+sized AS (SELECT item_id, ws, least(13, len(ws)) AS n FROM b WHERE len(ws) > 0),
+bw AS (
+  SELECT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM sized)),
+lens AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, lens WHERE len(ws) >= n)),
+hit AS (SELECT DISTINCT doc_id, n, i, item_id FROM dw JOIN bw USING (n, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)
