@@ -73,3 +73,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.warc import read_warc, write_warc
+    from adlift.session import fresh_dir
+
+    folder = fresh_dir(spark, "warc")
+    manifest = write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

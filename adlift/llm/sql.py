@@ -61,6 +61,19 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+STATEMENTS["op8_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT html, max(page_id) AS best, unhex(sha1(html))::BIT::VARCHAR AS bits FROM p GROUP BY html)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT
+           + 4 * substr(bits, 5 * i + 3, 1)::INT + 2 * substr(bits, 5 * i + 4, 1)::INT
+           + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to
+FROM p JOIN k USING (html)
+"""
+
 
 def statements() -> dict[str, str]:
     return dict(STATEMENTS)
