@@ -85,3 +85,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(manifest, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
