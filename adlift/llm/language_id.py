@@ -1,7 +1,8 @@
 """Language identification by the nearest of several centroids per language.
 
-A text becomes a vector of its byte n-grams (two to four bytes, hashed to
-``DIMS`` places), weighted by 1 + log(count) and by inverse document frequency,
+A text becomes a vector of the byte n-grams of its letters (A-Z lower-cased,
+anything else a single blank; two to four bytes, hashed to ``DIMS`` places),
+weighted by 1 + log(count) and by inverse document frequency,
 and scaled to length one. Document frequencies come from all training
 documents. Spherical k-means over at most ``SAMPLE`` training documents per
 language, the ones with the smallest hash of their id, gives ``CENTROIDS``
@@ -39,6 +40,9 @@ CENTROIDS = 4
 ROUNDS = 8
 REJECT = 1.5
 UNKNOWN = "und"
+#: Bytes of a-z, and of anything beyond ASCII.
+_KEPT = np.zeros(256, bool)
+_KEPT[0x61:0x7B] = _KEPT[0x80:] = True
 _LETTER = regex.compile(r"\p{L}")
 _SHIFT = np.uint64(64 - DIMS.bit_length() + 1)
 
@@ -46,6 +50,8 @@ _SHIFT = np.uint64(64 - DIMS.bit_length() + 1)
 def counts(text: str) -> np.ndarray:
     """Occurrences of n-grams by place; a blank stands before and after the text."""
     data = np.concatenate([[32], lowered(text), [32]]).astype(np.uint8)
+    kept = _KEPT[data]
+    data = np.where(kept, data, 32)[kept | np.append(True, kept[:-1])]
     out = np.zeros(DIMS, np.int64)
     for lo in range(0, len(data), PIECE):
         piece = data[lo : lo + PIECE + max(GRAMS) - 1].astype(np.uint64)
