@@ -92,3 +92,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlift.llm.language_id import identify
 
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.lm_score import corpus_scores
+
+    return corpus_scores(table(spark, sf_dir, "documents"))
