@@ -3,9 +3,8 @@
 The model is a trie of byte contexts of up to ``ORDER`` bytes, pretrained on
 the training documents and kept as a table: one row per context with its total,
 its number of distinct successors and their counts (257 at most). A symbol has
-the probability n / (total + distinct) in the longest known context; a symbol
-that context has not seen costs an escape, distinct / (total + distinct), and
-is looked for in the context one byte shorter, where the symbols seen above
+the probability (2n - 1) / 2 total in the longest known context; a symbol that
+context has not seen costs an escape, distinct / 2 total, and is looked for in the context one byte shorter, where the symbols seen above
 are excluded from total and distinct. As a context's successors also follow
 every suffix of it, what a level excludes depends on the next longer context
 only, so one number per context (``excluded``) holds it. After order 0 what is
@@ -320,10 +319,10 @@ def log_probabilities(grams: DataFrame, nodes: DataFrame) -> DataFrame:
         times = F.element_at("next", symbol)
         there = F.col("node").isNotNull()
         left = F.col("distinct") - F.col("gone")
-        mass = F.col("total") - F.col("gone_n") + left
+        mass = 2 * (F.col("total") - F.col("gone_n"))
         step = (
             F.when(~there, 0.0)
-            .when(times.isNotNull(), F.log10(times / mass))
+            .when(times.isNotNull(), F.log10((2 * times - 1) / mass))
             .when(left > 0, F.log10(left / mass))
             .otherwise(0.0)
         )
@@ -352,7 +351,7 @@ def score(docs: DataFrame, train: DataFrame, head: int = HEAD) -> DataFrame:
     )
     seen = longest.select(
         F.shiftleft("ctx", BITS).bitwiseOR(F.col("symbol").cast("long")).alias("key"),
-        F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("value"),
+        F.log10((2 * F.col("n") - 1) / (2 * F.col("total"))).alias("value"),
         "n",
     )
     word_values = words.select("key", F.log10(F.col("n") + 1.0).alias("value"), "n")
