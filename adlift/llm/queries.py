@@ -99,3 +99,10 @@ def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlift.llm.lm_score import corpus_scores
 
     return corpus_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
