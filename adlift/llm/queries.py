@@ -106,3 +106,10 @@ def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlift.llm.near_dup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
