@@ -121,11 +121,12 @@ def _runs(docs: DataFrame, block: DataFrame) -> DataFrame:
                     signed = hashes.view(np.int64)
                     runs += [{"n": n, "start": s, "shingles": signed[s:e]} for s, e in vocabulary.runs(hashes)]
                 rows.append(runs)
-            columns = [*batch.columns[:2], pa.array(counts, pa.int64()), pa.array(rows, pa.list_(_RUN))]
-            yield pa.RecordBatch.from_arrays(columns, ["row_no", "doc_id", "n_words", "runs"])
+            keys = [batch.column(i) for i in (0, 1, 3)]
+            columns = [*keys, pa.array(counts, pa.int64()), pa.array(rows, pa.list_(_RUN))]
+            yield pa.RecordBatch.from_arrays(columns, ["row_no", "doc_id", "text_key", "n_words", "runs"])
 
-    schema = "row_no long, doc_id long, n_words long, runs array<struct<n int, start int, shingles array<long>>>"
-    return docs.mapInArrow(found, schema)
+    runs = "array<struct<n int, start int, shingles array<long>>>"
+    return docs.mapInArrow(found, f"row_no long, doc_id long, text_key long, n_words long, runs {runs}")
 
 
 def _hits(found: DataFrame, block: DataFrame) -> DataFrame:
@@ -166,12 +167,16 @@ def _covered(places):
 def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Per document: n_words, n_hit, the items found (strings) and whether a twentieth of its words or more are hit."""
+    """Per document: n_words, n_hit, the items found (strings) and whether a twentieth of its words or more are hit.
+
+    ``text_key`` (xxhash64 of the text) tells rows without an id, or with the same one, apart.
+    """
     ship_package(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"),
         docs[doc_id].cast("long").alias("doc_id"),
         docs[text].cast("string").alias("text"),
+        F.xxhash64(docs[text].cast("string")).alias("text_key"),
     )
     items = written(windows(benchmark, window), "benchmark-windows")
     distinct = written(items.select("n", "words", "shingles").distinct(), "distinct-windows")
@@ -183,7 +188,7 @@ def contamination(
         block = distinct.where(F.pmod(F.xxhash64("shingles"), F.lit(blocks)) == i)
         found = written(_runs(rows, block), "benchmark-runs")
         # Any pass counts the words.
-        counted = counted if counted is not None else found.select("row_no", "doc_id", "n_words")
+        counted = counted if counted is not None else found.select("row_no", "doc_id", "text_key", "n_words")
         hits = _hits(found, block) if hits is None else hits.unionByName(_hits(found, block))
     hits = written(hits, "benchmark-hits")
     covered = hits.groupBy("row_no").agg(_covered(F.collect_set(F.struct("start", "words"))).alias("n_hit"))
@@ -196,6 +201,6 @@ def contamination(
         .select(
             "doc_id", "n_words", n_hit.alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-            ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+            ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "text_key",
         )
     )

@@ -325,6 +325,14 @@ def _common_repeats(parts: DataFrame) -> DataFrame:
     return met.select("doc", "tie", F.shiftleft("start", _COUNT_BITS).bitwiseOR(F.lit(1).cast("long")).alias("place"))
 
 
+def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The removed bytes, with all bytes of the characters they cut into."""
+    character = np.cumsum((raw & 0xC0) != 0x80) - 1
+    hit = np.zeros(int(character[-1]) + 1, bool)
+    hit[character[gone]] = True
+    return hit[character]
+
+
 def _removed(docs: DataFrame, repeated: DataFrame, with_text: bool) -> DataFrame:
     spans = repeated.groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
     met = docs.join(spans, ["doc", "tie"], "left").select("row", "text", "places")
@@ -345,7 +353,10 @@ def _removed(docs: DataFrame, repeated: DataFrame, with_text: bool) -> DataFrame
                 np.add.at(turns, start, 1)
                 np.add.at(turns, start + count + LENGTH - 1, -1)
                 gone = np.cumsum(turns[:-1]) > 0
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                codes = np.frombuffer(raw, np.uint8)
+                if with_text:  # what is kept as text must be text
+                    gone = _whole_characters(codes, gone)
+                kept = codes[~gone].tobytes()
                 spans = len(runs_of(gone)[0])
                 text_out = kept if with_text else None
                 out.append((len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), text_out))
@@ -363,7 +374,7 @@ def remove_repeats(
 ) -> DataFrame:
     """Per row: the ``carry`` columns (the id alone by default) and n_bytes, n_removed, n_spans, kept_sha256.
 
-    With ``carry`` also ``kept``, the remaining bytes.
+    With ``carry`` also ``kept``, the remaining text: characters that lost a byte are then gone as a whole.
     """
     ship_package(docs.sparkSession)
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
@@ -390,4 +401,4 @@ def remove_repeats(
     )
     out = _removed(rows, repeated, with_text=carry is not None)
     figures = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return out.select("row.*", *figures, *(["kept"] if carry else []))
+    return out.select("row.*", *figures, *([F.col("kept").cast("string").alias("kept")] if carry else []))
