@@ -53,9 +53,9 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     marked = docs.withColumn("_no_text", F.col("text").isNull())
     left = remove_repeats(marked, carry=[*others, "_no_text"])
-    text = F.when(~F.col("_no_text"), F.col("kept"))
+    text = F.when(~F.col("row._no_text"), F.col("kept"))
     made = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
-    return left.select(*[made.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    return left.select(*[made.get(c, F.col(f"row.`{c}`").alias(c)) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -372,9 +372,10 @@ def _removed(docs: DataFrame, repeated: DataFrame, with_text: bool) -> DataFrame
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
-    """Per row: the ``carry`` columns (the id alone by default) and n_bytes, n_removed, n_spans, kept_sha256.
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    With ``carry`` also ``kept``, the remaining text: characters that lost a byte are then gone as a whole.
+    With ``carry``, a struct ``row`` of those columns instead of the id, and ``kept``, the remaining text: characters
+    that lost a byte are then gone as a whole.
     """
     ship_package(docs.sparkSession)
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
@@ -401,4 +402,6 @@ def remove_repeats(
     )
     out = _removed(rows, repeated, with_text=carry is not None)
     figures = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return out.select("row.*", *figures, *([F.col("kept").cast("string").alias("kept")] if carry else []))
+    if carry:
+        return out.select("row", *figures, F.col("kept").cast("string").alias("kept"))
+    return out.select("row.doc_id", *figures)
