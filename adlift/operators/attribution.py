@@ -173,9 +173,20 @@ def dedup_latest(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame
     """One row per business key: the one with the greatest ``newest`` columns.
 
     A struct maximum combines on the map side, so any number of copies of a
-    key shrinks to one row per task before it is shuffled.
+    key shrinks to one row per task before it is shuffled. Rows without a key
+    cannot be copies of each other and stay as they are. Columns that have no
+    order (maps) are compared by their JSON text.
     """
     lead = [c for c in newest if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in lead]
-    best = F.max(F.struct(*lead, *rest)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    unordered = [c for c in rest if "map<" in dict(df.dtypes)[c]]
+    if unordered:
+        order = F.struct(*lead, *[F.to_json(F.struct(c)) if c in unordered else F.col(c) for c in rest])
+        best = F.max_by(F.struct(*lead, *rest), order).alias("_row")
+    else:
+        best = F.max(F.struct(*lead, *rest)).alias("_row")
+    once = df.where(known).groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
+    return once.unionByName(df.where(~known))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlift.functions.scalars import hash32, ratio, rounded
+from adlift.session import ship_package
 
 
 def first_clicks(creative_id: str = "creative_id") -> Column:
@@ -150,7 +151,7 @@ def _thompson_pick(seed: pd.Series, alphas: pd.Series, betas: pd.Series) -> pd.S
 def decide_thompson(requests: DataFrame, stats: DataFrame, seed: str = "42") -> DataFrame:
     """One creative per request by the largest Beta(clicks + 1, misses + 1) draw of its arms.
 
-    Draws are fixed by (request, arm). The arms of a segment travel as one
+    Draws are fixed by (request, arm); requests without an id share one draw. The arms of a segment travel as one
     array, as long as its catalog page and no longer, so a request stays one
     row and nothing is shuffled by request.
     """
@@ -160,16 +161,35 @@ def decide_thompson(requests: DataFrame, stats: DataFrame, seed: str = "42") ->
         (F.col("clicks") + 1).cast("double").alias("a"),
         (F.greatest(F.col("impressions") - F.col("clicks"), F.lit(0)) + 1).cast("double").alias("b"),
     )
+    ship_package(requests.sparkSession)
     pages = stats.groupBy("segment_id").agg(F.sort_array(F.collect_list(arm)).alias("page"))
     first = stats.agg(F.min("creative_id").alias("first_id")).scalar()
     joined = requests.join(pages, "segment_id", "left")
     draw = F.pandas_udf(_thompson_pick, "int")
-    pick = draw(hash32("request_id", f"ts:{seed}:"), F.col("page.a"), F.col("page.b"))
+    request = F.coalesce(F.col("request_id").cast("string"), F.lit(""))
+    pick = draw(hash32(request, f"ts:{seed}:"), F.col("page.a"), F.col("page.b"))
     chosen = joined.withColumn("pick", pick)
     creative = F.when(F.col("pick") >= 0, F.get(F.col("page"), F.col("pick"))["creative_id"])
     return chosen.select(*requests.columns, F.coalesce(creative, first).alias("creative_id"))
 
 
+def pin_segments(requests: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Requests (request_id, segment_id) with the segments that ``overrides`` pins for some of them."""
+    pinned = overrides.select("request_id", F.col("segment_id").alias("_pinned"))
+    joined = requests.join(pinned, "request_id", "left")
+    segment = F.coalesce("_pinned", "segment_id").alias("segment_id")
+    return joined.select(*[segment if c == "segment_id" else F.col(c) for c in requests.columns])
+
+
+def decision_rows(context: DataFrame, chosen: DataFrame, catalog: DataFrame) -> DataFrame:
+    """One row per request: its context and propensity, the creative chosen and the text to show."""
+    texts = catalog.select("creative_id", "copy_text")
+    picked = chosen.join(texts, "creative_id", "left").select(
+        "request_id", "segment_id", "creative_id", "copy_text", "explored"
+    )
+    return context.join(picked, "request_id", "left")
+
+
 def ab_assignment(df: DataFrame, unit: str, shares: Mapping[str, float], salt: str = "ab") -> DataFrame:
     """``df`` with a variant per ``unit``, by hash bucket out of 10,000."""
     bucket = hash32(unit, f"{salt}:") % 10_000

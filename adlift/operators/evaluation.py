@@ -16,36 +16,45 @@ def stratified_split(
 ) -> DataFrame:
     """``df`` with ``is_test``: the first ``test_share`` of each label in hash order.
 
-    Rows are spread over 65,536 hash cells per label. Cells wholly on one side
-    of the cut are decided by their counts; only ids in the cell that holds
-    the cut are ranked. Copies of an id fall on the same side.
+    Rows are spread over 65,536 hash cells per label, the cell that holds the
+    cut over 65,536 finer ones. Cells wholly on one side of the cut are decided
+    by their counts; only ids of the finest cell that holds the cut are ranked.
+    Copies of an id fall on the same side. Null labels are a label of their
+    own, null ids one id.
     """
     ids = (
-        df.groupBy(label, id_col)
+        df.groupBy(F.col(label).alias("_label"), F.col(id_col).alias("_id"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_h", hash32(id_col, f"{seed}:"))
-        .withColumn("_cell", F.shiftright("_h", 16))
+        .withColumn("_h", hash32(F.coalesce(F.col("_id").cast("string"), F.lit("")), f"{seed}:"))
+        .withColumn("_ahead", F.lit(0).cast("bigint"))
     )
-    cells = ids.groupBy(label, "_cell").agg(F.sum("_n").alias("_cell_n"))
-    in_order = Window.partitionBy(label).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(label)
-    cells = cells.select(
-        label,
-        "_cell",
-        "_cell_n",
-        F.coalesce(F.sum("_cell_n").over(in_order), F.lit(0)).alias("_ahead"),
-        F.floor(F.sum("_cell_n").over(whole) * F.lit(test_share) + F.lit(0.5)).alias("_quota"),
+    quota = ids.groupBy(F.col("_label").alias("_of")).agg(
+        F.floor(F.sum("_n") * F.lit(test_share) + F.lit(0.5)).alias("_quota")
     )
-    placed = ids.join(cells, [label, "_cell"])
-    split_cell = (F.col("_ahead") < F.col("_quota")) & (F.col("_ahead") + F.col("_cell_n") > F.col("_quota"))
-    in_cell = (
-        Window.partitionBy(label).orderBy("_h", id_col).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    earlier = F.coalesce(F.sum("_n").over(in_cell), F.lit(0))
-    edge = placed.where(split_cell).withColumn("_ahead", F.col("_ahead") + earlier)
-    sides = placed.where(~split_cell).unionByName(edge)
-    sides = sides.select(label, id_col, (F.col("_ahead") < F.col("_quota")).cast("int").alias("is_test"))
-    return df.join(sides, [label, id_col]).select(*df.columns, "is_test")
+    open_ids = ids.join(quota, F.col("_label").eqNullSafe(F.col("_of"))).drop("_of")
+    sides = None
+    for cell in (F.shiftright("_h", 16), F.col("_h").bitwiseAND(F.lit(0xFFFF).cast("bigint"))):
+        placed = _ahead_by_cell(open_ids.withColumn("_cell", cell))
+        edge = (F.col("_ahead") < F.col("_quota")) & (F.col("_ahead") + F.col("_cell_n") > F.col("_quota"))
+        decided = placed.where(~edge).drop("_cell_n")
+        sides = decided if sides is None else sides.unionByName(decided)
+        open_ids = placed.where(edge).drop("_cell_n")
+    rank = Window.partitionBy("_label").orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("_n").over(rank), F.lit(0))
+    sides = sides.unionByName(open_ids.withColumn("_ahead", F.col("_ahead") + earlier))
+    sides = sides.select("_label", "_id", (F.col("_ahead") < F.col("_quota")).cast("int").alias("is_test"))
+    same = F.col(label).eqNullSafe(F.col("_label")) & F.col(id_col).eqNullSafe(F.col("_id"))
+    return df.join(sides, same).select(*[df[c] for c in df.columns], "is_test")
+
+
+def _ahead_by_cell(ids: DataFrame) -> DataFrame:
+    """``_ahead`` moved on by the rows in the cells before, and ``_cell_n``, the rows of the own cell."""
+    cells = ids.groupBy(F.col("_label").alias("_of"), F.col("_cell").alias("_in")).agg(F.sum("_n").alias("_cell_n"))
+    in_order = Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_cell_n").over(in_order), F.lit(0)))
+    same = F.col("_label").eqNullSafe(F.col("_of")) & (F.col("_cell") == F.col("_in"))
+    placed = ids.join(cells, same).withColumn("_ahead", F.col("_ahead") + F.col("_before"))
+    return placed.drop("_of", "_in", "_before", "_cell")
 
 
 def binary_metrics(

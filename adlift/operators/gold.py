@@ -124,9 +124,8 @@ def gold_merchant_features(silver: DataFrame, as_of: Column | None = None) -> Da
 
 def _within(ts: str, as_of: Column, days: int) -> Column:
     """In ``(as_of - days, as_of]``."""
-    at = F.unix_micros(F.col(ts))
-    end = F.unix_micros(as_of)
-    return (at > end - F.lit(days * DAY_US)) & (at <= end)
+    # On the column itself, so that both bounds reach the Parquet reader.
+    return (F.col(ts) > as_of - F.expr(f"INTERVAL {days} DAYS")) & (F.col(ts) <= as_of)
 
 
 def orders_last_days(orders: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
@@ -141,7 +140,8 @@ def fatigue_last_days(
 ) -> DataFrame:
     """The fatigue ratio over the impressions of the last days and the clicks on them."""
     shown = impressions.where(_within("timestamp", as_of, days))
-    hit = clicks.where(F.col("timestamp") <= as_of)
+    # A click follows its impression, so the window bounds the clicks as well.
+    hit = clicks.where(_within("timestamp", as_of, days))
     return customer_ad_behavior(shown, hit).select(
         "customer_id",
         F.col("total_impressions").alias(f"impressions_last_{days}d"),
@@ -182,7 +182,14 @@ def rolling_customer_features(
     orders: DataFrame,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """For every row of ``at``, the customer's orders of 30 days and ads of 7 days before it."""
+    """For every row of ``at``, the customer's orders of 30 days and ads of 7 days before it.
+
+    Clicks count for the customer of the impression they are on, as in the
+    gold table; a click without a known impression does not count. Replays of
+    an id count once, at their first time.
+    """
+    orders, impressions = _first_of(orders, "order_id"), _first_of(impressions, "impression_id")
+    clicks = _on_impressions(clicks, impressions)
 
     def events(df: DataFrame, kind: str) -> DataFrame:
         flags = [F.lit(int(kind == k)).alias(f"n_{k}") for k in ("order", "view", "click")]
@@ -210,6 +217,18 @@ def rolling_customer_features(
     )
 
 
+def _first_of(df: DataFrame, key: str) -> DataFrame:
+    """(customer_id, ``key``, timestamp): the first time of each id."""
+    return df.groupBy("customer_id", key).agg(F.min("timestamp").alias("timestamp"))
+
+
+def _on_impressions(clicks: DataFrame, impressions: DataFrame) -> DataFrame:
+    """Clicks under the customer of their impression, each at its own first time."""
+    seen = impressions.select("impression_id", F.col("customer_id").alias("_seen_by")).distinct()
+    hit = clicks.select("impression_id", "click_id", "timestamp").join(seen, "impression_id")
+    return _first_of(hit.withColumnRenamed("_seen_by", "customer_id"), "click_id")
+
+
 def merchant_conversion_rate(silver: DataFrame, clicks: DataFrame) -> DataFrame:
     """Attributed orders per ad click of the merchant."""
     sold = (
@@ -317,10 +336,14 @@ def layer_counts(**tables: DataFrame) -> DataFrame:
 def customer_snapshots(silver: DataFrame, impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """The customer's features as they stood at the end of each day with activity.
 
-    Days are summed first, so the running sums see at most one row per
-    customer and day.
+    Counted as the gold table counts: clicks through their impressions, but on
+    the day of the click, so that no later click leaks into an earlier
+    snapshot; the last snapshot of a customer equals the gold row. Days are
+    summed first, so the running sums see at most one row per customer and day.
     """
     day = F.to_date
+    impressions = _first_of(impressions, "impression_id")
+    clicks = _on_impressions(clicks, impressions)
     bought = silver.groupBy("customer_id", day("order_timestamp").alias("day")).agg(
         F.countDistinct("order_id").alias("orders"),
         F.sum(money("order_amount")).alias("amount"),
@@ -338,8 +361,11 @@ def customer_snapshots(silver: DataFrame, impressions: DataFrame, clicks: DataFr
     daily = bought.unionByName(shown, allowMissingColumns=True).unionByName(hit, allowMissingColumns=True)
     daily = daily.where(F.col("day").isNotNull()).groupBy("customer_id", "day")
     daily = daily.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
+    daily = _with_favourite(daily, silver, "customer_id")
     w = Window.partitionBy("customer_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    run = daily.select("customer_id", "day", *[F.sum(m).over(w).alias(m) for m in measures])
+    run = daily.select(
+        "customer_id", "day", *[F.sum(m).over(w).alias(m) for m in measures], F.min("best").over(w)["cuisine"].alias("cuisine")
+    )
     return run.select(
         "customer_id",
         (F.col("day") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("feature_ts"),
@@ -352,9 +378,30 @@ def customer_snapshots(silver: DataFrame, impressions: DataFrame, clicks: DataFr
         ),
         fatigue(F.col("shown"), F.col("hit")).alias("user_ad_fatigue_score"),
         F.coalesce(rounded(ratio(F.col("hit"), F.col("shown")), 4), F.lit(0.0)).alias("user_historical_ctr"),
+        F.coalesce("cuisine", F.lit(S.GOLD_DEFAULTS["user_preferred_cuisine"])).alias("user_preferred_cuisine"),
     )
 
 
+def _with_favourite(daily: DataFrame, silver: DataFrame, key: str) -> DataFrame:
+    """``daily`` with ``best``: of the cuisines ordered that day the one with most orders until then.
+
+    A cuisine's running count never falls, so the running minimum of
+    (-count, cuisine) over the days is the favourite as of each day.
+    """
+    counts = (
+        silver.where(F.col("cuisine").isNotNull())
+        .groupBy(key, "cuisine", F.to_date("order_timestamp").alias("day"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    w = Window.partitionBy(key, "cuisine").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("n", F.sum("n").over(w))
+    best = running.groupBy(F.col(key).alias("_key"), F.col("day").alias("_day")).agg(
+        F.min(F.struct((-F.col("n")).alias("n"), "cuisine")).alias("best")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("day") == F.col("_day"))
+    return daily.join(best, same, "left").drop("_key", "_day")
+
+
 def merchant_snapshots(silver: DataFrame) -> DataFrame:
     """The merchant's features as they stood at the end of each day with orders."""
     sold = F.when(F.col("attribution_status") == S.CLICK_STATUS, F.col("order_id"))
@@ -369,9 +416,12 @@ def merchant_snapshots(silver: DataFrame) -> DataFrame:
         F.sum("amounts").alias("amounts"),
         F.sum("attributed").alias("attributed"),
     )
+    daily = _with_favourite(daily, silver, "merchant_id")
     w = Window.partitionBy("merchant_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     measures = ["orders", "amount", "amounts", "attributed"]
-    run = daily.select("merchant_id", "day", *[F.sum(m).over(w).alias(m) for m in measures])
+    run = daily.select(
+        "merchant_id", "day", *[F.sum(m).over(w).alias(m) for m in measures], F.min("best").over(w)["cuisine"].alias("cuisine")
+    )
     return run.select(
         "merchant_id",
         (F.col("day") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("feature_ts"),
@@ -380,4 +430,5 @@ def merchant_snapshots(silver: DataFrame) -> DataFrame:
         rounded(ratio(F.col("attributed"), F.col("orders")), 4).alias(
             "merchant_retail_media_dependency_rate"
         ),
+        F.col("cuisine").alias("merchant_cuisine"),
     )

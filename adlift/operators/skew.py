@@ -3,7 +3,9 @@
 Keys are hashed into a fixed number of buckets and rows are counted per
 bucket, in one pass over the key columns. The count combines on the map side
 to at most ``BUCKETS`` rows per task, and the list of hot buckets that reaches
-the driver can never exceed ``BUCKETS`` integers, whatever the data. A key that
+the driver can never exceed ``BUCKETS`` integers, whatever the data. Where
+ordinary buckets are large as well, the keys inside the large ones are counted
+too, so the limit is one of rows per key at any size of the logs. A key that
 shares a hot bucket by chance is only processed by the split plan too; results
 do not depend on the choice.
 """
@@ -19,9 +21,6 @@ from pyspark.sql import functions as F
 BUCKETS = 65_536
 # Rows of one key a single task sorts without trouble.
 HOT_ROWS = 2_000_000
-# A bucket is only hot when it also stands out from the average bucket.
-TIMES_MEAN = 4
-
 _BUCKET = "_key_bucket"
 
 
@@ -35,12 +34,15 @@ def hot_buckets(frames: Sequence[DataFrame], keys: Sequence[str], hot_rows: int
     Runs a job. The answer decides the plan, as a table size decides a join:
     with no hot key, which is the usual case, nothing is split.
     """
-    rows = reduce(DataFrame.unionAll, [f.select(_bucket(keys)) for f in frames])
+    rows = reduce(DataFrame.unionAll, [f.select(_bucket(keys), *keys) for f in frames])
     counts = rows.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    large = {r[_BUCKET]: r["n"] for r in counts.collect()}
-    # Buckets at or below ``hot_rows`` can only lower the mean, so this keeps every outlier.
-    floor = TIMES_MEAN * sum(large.values()) / BUCKETS
-    return sorted(b for b, n in large.items() if n > floor)
+    large = [r[_BUCKET] for r in counts.collect()]
+    if not large:
+        return []
+    listed = F.broadcast(frames[0].sparkSession.createDataFrame([(b,) for b in large], f"{_BUCKET} int"))
+    inside = rows.join(listed, _BUCKET, "left_semi")
+    hot = inside.groupBy(_BUCKET, *keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    return sorted(r[_BUCKET] for r in hot.select(_BUCKET).distinct().collect())
 
 
 def split(df: DataFrame, keys: Sequence[str], hot: Sequence[int]) -> tuple[DataFrame, DataFrame]:

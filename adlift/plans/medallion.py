@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -26,6 +27,9 @@ class Paths:
     def bronze(self, log: str) -> str:
         return f"{self.root}/bronze/{log}"
 
+    def clean(self, log: str) -> str:
+        return f"{self.root}/clean/{log}"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver/ad_attribution"
@@ -48,29 +52,36 @@ def _once(raw: DataFrame, log: str) -> DataFrame:
     return dedup_latest(raw, [key], newest)
 
 
+def build_clean(spark: SparkSession, paths: Paths) -> None:
+    """Write every log without its replays, once; the stages after it read that."""
+    for log in ("impressions", "clicks", "orders"):
+        write_table(_once(_log(spark, paths, log), log), paths.clean(log))
+
+
+def _clean(spark: SparkSession, paths: Paths, log: str) -> DataFrame:
+    return spark.read.parquet(paths.clean(log))
+
+
 def build_silver(
     spark: SparkSession, paths: Paths, mode: str = "asof", window_days: float = CLICK_WINDOW_DAYS
 ) -> DataFrame:
-    """Attribute the orders and write silver; returns the written table.
+    """Write the logs without replays, attribute the orders and write silver; returns the written table.
 
     ``mode`` is ``asof`` or ``global_last``.
     """
-    raw_clicks, raw_orders = _log(spark, paths, "clicks"), _log(spark, paths, "orders")
-    clicks, orders = _once(raw_clicks, "clicks"), _once(raw_orders, "orders")
-    if mode == "asof":
-        silver = attribution_asof(orders, clicks, window_days, count_on=[raw_orders, raw_clicks])
-    elif mode == "global_last":
-        silver = attribution_global_last(orders, clicks, window_days)
-    else:
+    if mode not in ("asof", "global_last"):
         raise ValueError(f"unknown attribution mode: {mode}")
+    build_clean(spark, paths)
+    clicks, orders = _clean(spark, paths, "clicks"), _clean(spark, paths, "orders")
+    attribute = attribution_asof if mode == "asof" else attribution_global_last
+    silver = attribute(orders, clicks, window_days)
     write_silver(silver, paths.silver)
     return spark.read.parquet(paths.silver)
 
 
 def build_gold(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
     """Write both feature tables from silver and the ad logs."""
-    impressions = _once(_log(spark, paths, "impressions"), "impressions")
-    clicks = _once(_log(spark, paths, "clicks"), "clicks")
+    impressions, clicks = _clean(spark, paths, "impressions"), _clean(spark, paths, "clicks")
     silver = spark.read.parquet(paths.silver)
     write_table(gold_customer_features(silver, impressions, clicks), paths.gold("customer_features"))
     write_table(gold_merchant_features(silver), paths.gold("merchant_features"))
@@ -83,7 +94,7 @@ def build_gold(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]
 def build_creatives(spark: SparkSession, paths: Paths, min_customers: int = 1) -> DataFrame:
     """Segment the gold customers and publish the approved copies per segment."""
     customers = spark.read.parquet(paths.gold("customer_features"))
-    orders = _once(_log(spark, paths, "orders"), "orders")
+    orders = _clean(spark, paths, "orders")
     segments = segment_profile(customer_segments(customers, orders), min_customers)
     write_table(creative_catalog(generate(segments)), paths.gold("creative_catalog"))
     return spark.read.parquet(paths.gold("creative_catalog"))
@@ -99,11 +110,18 @@ class Layers:
         self.spark = spark
         self.sf_dir = sf_dir
         self.paths = Paths(fresh_dir(spark, "layers"))
+        self._published: dict[str, DataFrame] = {}
 
     def _written(self, df: DataFrame, path: str) -> DataFrame:
         write_table(df, path)
         return self.spark.read.parquet(path)
 
+    def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The gold table ``name``, built and written on first use."""
+        if name not in self._published:
+            self._published[name] = self._written(build(), self.paths.gold(name))
+        return self._published[name]
+
     @cached_property
     def logs(self) -> AdLogs:
         raw = ad_logs(self.spark, self.sf_dir)

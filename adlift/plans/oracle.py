@@ -13,6 +13,10 @@ from adlift.operators import texts
 
 _SUM = "CAST(SUM(CAST(order_amount AS DECIMAL(18,2))) AS DOUBLE)"
 _MEAN = f"{_SUM} / COUNT(order_amount)"
+_NOW = (
+    "(SELECT CAST(max(ts) AS DATE) + INTERVAL 1 DAY FROM events "
+    "WHERE event_type IN ('view', 'click', 'purchase'))"
+)
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
@@ -294,8 +298,20 @@ u_days AS (
   SELECT customer_id, CAST("timestamp" AS DATE), 0, 0, 0, 0, count(DISTINCT impression_id), 0
   FROM bronze_impressions GROUP BY ALL
   UNION ALL
-  SELECT customer_id, CAST("timestamp" AS DATE), 0, 0, 0, 0, 0, count(DISTINCT click_id)
-  FROM bronze_clicks GROUP BY ALL),
+  SELECT i.customer_id, CAST(c."timestamp" AS DATE), 0, 0, 0, 0, 0, count(DISTINCT c.click_id)
+  FROM bronze_clicks c JOIN bronze_impressions i ON c.impression_id = i.impression_id GROUP BY ALL),
+u_top AS (
+  SELECT o.rid, s.cuisine FROM numbered_obs o JOIN silver s
+    ON o.customer_id = s.customer_id
+   AND CAST(CAST(s.order_timestamp AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) < o."timestamp"
+  GROUP BY o.rid, s.cuisine
+  QUALIFY row_number() OVER (PARTITION BY o.rid ORDER BY count(*) DESC, s.cuisine) = 1),
+m_top AS (
+  SELECT o.rid, s.cuisine FROM numbered_obs o JOIN silver s
+    ON o.merchant_id = s.merchant_id
+   AND CAST(CAST(s.order_timestamp AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) < o."timestamp"
+  GROUP BY o.rid, s.cuisine
+  QUALIFY row_number() OVER (PARTITION BY o.rid ORDER BY count(*) DESC, s.cuisine) = 1),
 u_tot AS (
   SELECT o.rid, max(d.day) AS last_day, sum(d.orders) AS orders, CAST(sum(d.amount) AS DOUBLE) AS amount,
          sum(d.amounts) AS amounts, sum(d.coupons) AS coupons, sum(d.shown) AS shown, sum(d.hit) AS hit
@@ -314,7 +330,7 @@ m_tot AS (
 _SILVER = _asof("silver", "bronze_orders")
 _LINE_SILVER = _asof("line_silver", "line_orders")
 _GOLD = _gold("silver")
-_CREATIVE = [_EVENTS, _SILVER, _GOLD, _MEMBERS, _profile(3), _texts()]
+_CREATIVE = [_EVENTS, _SILVER, _GOLD, _MEMBERS, _profile(1), _texts()]
 _BANDIT = [*_CREATIVE, _guarded("generated", texts.MAX_CHARS, texts.BANNED_TERMS), _CATALOG, _ARMS]
 _SILVER_ROWS = f"SELECT * REPLACE (strftime(order_timestamp, {_TS}) AS order_timestamp) FROM"
 
@@ -461,19 +477,19 @@ FROM (SELECT (SELECT count(*) FROM bronze_impressions) AS i, (SELECT count(*) FR
     )
     out["orders_last_30d"] = _with(
         logs,
-        """SELECT customer_id, count(DISTINCT order_id) AS user_orders_last_30d FROM bronze_orders
-WHERE "timestamp" > TIMESTAMP '2024-01-01 00:00:00' AND "timestamp" <= TIMESTAMP '2024-01-31 00:00:00'
+        f"""SELECT customer_id, count(DISTINCT order_id) AS user_orders_last_30d FROM bronze_orders
+WHERE "timestamp" > {_NOW} - INTERVAL 30 DAY AND "timestamp" <= {_NOW}
 GROUP BY customer_id""",
     )
     out["fatigue_last_7d"] = _with(
         logs,
-        """SELECT i.customer_id, count(DISTINCT i.impression_id) AS impressions_last_7d,
+        f"""SELECT i.customer_id, count(DISTINCT i.impression_id) AS impressions_last_7d,
        count(DISTINCT c.click_id) AS clicks_last_7d,
        round(count(DISTINCT i.impression_id) / (count(DISTINCT c.click_id) + 1.0), 2) AS user_ad_fatigue_last_7d
 FROM bronze_impressions i LEFT JOIN (
-  SELECT * FROM bronze_clicks WHERE "timestamp" <= TIMESTAMP '2024-01-31 00:00:00') c
+  SELECT * FROM bronze_clicks WHERE "timestamp" <= {_NOW}) c
   ON i.impression_id = c.impression_id
-WHERE i."timestamp" > TIMESTAMP '2024-01-24 00:00:00' AND i."timestamp" <= TIMESTAMP '2024-01-31 00:00:00'
+WHERE i."timestamp" > {_NOW} - INTERVAL 7 DAY AND i."timestamp" <= {_NOW}
 GROUP BY i.customer_id""",
     )
     out["fatigue_from_daily"] = _with(
@@ -487,7 +503,8 @@ FROM ads_u""",
             """log AS (
   SELECT customer_id, "timestamp", NULL AS impression_id, 1 AS o, 0 AS v, 0 AS c FROM bronze_orders
   UNION ALL SELECT customer_id, "timestamp", impression_id, 0, 1, 0 FROM bronze_impressions
-  UNION ALL SELECT customer_id, "timestamp", NULL, 0, 0, 1 FROM bronze_clicks),
+  UNION ALL SELECT i.customer_id, c."timestamp", NULL, 0, 0, 1
+  FROM bronze_clicks c JOIN bronze_impressions i ON c.impression_id = i.impression_id),
 windowed AS (
   SELECT impression_id, customer_id, "timestamp",
          CAST(COALESCE(sum(o) OVER (PARTITION BY customer_id ORDER BY "timestamp"
@@ -563,6 +580,13 @@ FROM (SELECT {key} AS k, count(*) AS n FROM {source} GROUP BY 1)"""
        round(avg(has_clicked), 6) AS prevalence FROM observed""",
     )
     out["training_set"] = _with(training, "SELECT * FROM training")
+    out["training_set_converted"] = _with(
+        training,
+        """SELECT t.* EXCLUDE (has_clicked), CASE WHEN t.impression_id IN (
+  SELECT attributed_impression_id FROM silver WHERE attributed_impression_id IS NOT NULL) THEN 1 ELSE 0 END
+  AS has_converted
+FROM (SELECT DISTINCT * EXCLUDE (has_clicked), 0 AS has_clicked FROM training) t""",
+    )
     out["affinity_match"] = _with(
         training,
         """SELECT impression_id, CASE WHEN user_preferred_cuisine = merchant_cuisine THEN 1 ELSE 0 END
@@ -601,8 +625,16 @@ FROM (SELECT {key} AS k, count(*) AS n FROM {source} GROUP BY 1)"""
        CASE WHEN u.rid IS NOT NULL THEN COALESCE(round(u.hit / NULLIF(u.shown, 0), 4), 0.0) END
          AS user_historical_ctr,
        m.orders AS merchant_total_orders, round(m.amount / m.amounts, 2) AS merchant_avg_ticket,
-       round(m.attributed / m.orders, 4) AS merchant_retail_media_dependency_rate
-FROM numbered_obs o LEFT JOIN u_tot u ON o.rid = u.rid LEFT JOIN m_tot m ON o.rid = m.rid""",
+       round(m.attributed / m.orders, 4) AS merchant_retail_media_dependency_rate,
+       CASE WHEN u.rid IS NOT NULL THEN COALESCE(ut.cuisine, 'Burger') END AS user_preferred_cuisine,
+       mt.cuisine AS merchant_cuisine
+FROM numbered_obs o LEFT JOIN u_tot u ON o.rid = u.rid LEFT JOIN m_tot m ON o.rid = m.rid
+LEFT JOIN u_top ut ON o.rid = ut.rid LEFT JOIN m_top mt ON o.rid = mt.rid""",
+    )
+    out["last_customer_snapshots"] = _with(
+        gold,
+        """SELECT customer_id, user_total_orders, user_avg_basket_value, user_discount_affinity,
+       user_ad_fatigue_score, user_historical_ctr, user_preferred_cuisine FROM gold_u""",
     )
     out["batch_lookup_defaults"] = _with([*gold, _REQUESTS], _vector("serving_defaults"))
     out["batch_lookup_zero"] = _with([*gold, _REQUESTS], _vector("zero"))
@@ -669,7 +701,7 @@ QUALIFY "rank" <= 3""",
     )
     out["creative_generation"] = _with(_CREATIVE, "SELECT * FROM generated")
     out["creative_guardrails"] = _with(
-        [*members, _profile(1), _texts(), _guarded("generated", 60, ("erro", "imperdíveis"))],
+        [*members, _profile(1), _texts(), _guarded("generated", 60, ("erro", "relâmpago"))],
         "SELECT * FROM guarded",
     )
     out["document_guardrails"] = _with(
@@ -707,6 +739,29 @@ FROM ad_requests r LEFT JOIN best b ON r.segment_id = b.segment_id""",
 FROM ad_requests r LEFT JOIN best b ON r.segment_id = b.segment_id
 LEFT JOIN stats s ON r.segment_id = s.segment_id AND {_hash('r.request_id', 'explore:42:')} % 10000 < 1500
   AND {_hash('r.request_id', 'arm:42:')} % b.arms = s.arm""",
+    )
+    out["ad_decisions"] = _with(
+        [
+            *_BANDIT,
+            """asked AS (
+  SELECT r.request_id, CASE WHEN substr(r.request_id, -2) IN ('00', '50') THEN 'seg_pizza_promo_jantar'
+         ELSE r.segment_id END AS segment_id, i.customer_id
+  FROM ad_requests r JOIN bronze_impressions i ON r.request_id = i.impression_id)""",
+            f"""chosen AS (
+  SELECT r.*, COALESCE(s.creative_id, b.creative_id, {first}) AS creative_id, s.creative_id IS NOT NULL AS explored
+  FROM asked r LEFT JOIN best b ON r.segment_id = b.segment_id
+  LEFT JOIN stats s ON r.segment_id = s.segment_id AND {_hash('r.request_id', 'explore:42:')} % 10000 < 1500
+    AND {_hash('r.request_id', 'arm:42:')} % b.arms = s.arm)""",
+            f"""context AS (
+  SELECT c.*, g.customer_id IS NOT NULL AS known, COALESCE(g.user_preferred_cuisine, 'Pizza') AS cuisine,
+         COALESCE(g.user_discount_affinity > {S.PRICE_SENSITIVE_ABOVE}, FALSE) AS discount_sensitive,
+         COALESCE(g.user_avg_basket_value, 50.0) AS avg_ticket, COALESCE(g.user_ad_fatigue_score, 1.0) AS fatigue
+  FROM chosen c LEFT JOIN gold_u g ON c.customer_id = g.customer_id)""",
+        ],
+        f"""SELECT x.request_id, x.customer_id, known, x.cuisine, x.discount_sensitive, avg_ticket, fatigue,
+       round({_propensity('avg_ticket', 'x.discount_sensitive')}, 6) AS propensity, x.segment_id, x.creative_id,
+       k.copy_text, explored
+FROM context x LEFT JOIN catalog k ON x.creative_id = k.creative_id""",
     )
     out["ab_assignment"] = f"""SELECT customer_id, bucket, CASE WHEN bucket < 5000 THEN 'control'
   WHEN bucket < 8000 THEN 'bandit' ELSE 'holdout' END AS variant FROM (

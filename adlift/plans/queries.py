@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.ml import PipelineModel
@@ -29,6 +30,7 @@ from adlift.streaming.ingest import append_stream, drop_replays, read_stream
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
+# Segments below this size are not shown to a text generator or in reports.
 MIN_SEGMENT = 3
 
 
@@ -58,9 +60,11 @@ def plain(df: DataFrame) -> DataFrame:
 # ---- tables the queries share -------------------------------------------------
 
 
-def _as_of():
-    """The day after the event log ends."""
-    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+def _as_of(t: Layers):
+    """The start of the day after the logs end, as a literal that filters can be pushed down with."""
+    ends = [log.agg(F.max("timestamp")).first()[0] for log in (t.logs.impressions, t.logs.clicks, t.logs.orders)]
+    last = max((e for e in ends if e is not None), default=datetime(1970, 1, 1))
+    return F.lit(f"{last + timedelta(days=1):%Y-%m-%d} 00:00:00").cast("timestamp")
 
 
 def _line_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +84,7 @@ def _silver(t: Layers) -> DataFrame:
 
 def _line_silver(t: Layers) -> DataFrame:
     """The large order table attributed to the clicks of the event log."""
-    return A.attribution_asof(t.line_orders, t.logs.clicks)
+    return t.published("line_attribution", lambda: A.attribution_asof(t.line_orders, t.logs.clicks))
 
 
 def _clicked(t: Layers, **options) -> DataFrame:
@@ -93,15 +97,17 @@ def _training(t: Layers) -> DataFrame:
 
 
 def _members(t: Layers) -> DataFrame:
-    return creative.customer_segments(t.customers, t.logs.orders)
+    return t.published("customer_segments", lambda: creative.customer_segments(t.customers, t.logs.orders))
 
 
-def _profile(t: Layers, minimum: int = MIN_SEGMENT) -> DataFrame:
+def _profile(t: Layers, minimum: int = 1) -> DataFrame:
     return creative.segment_profile(_members(t), minimum)
 
 
 def _catalog(t: Layers) -> DataFrame:
-    return creative.creative_catalog(creative.generate(_profile(t)))
+    return t.published(
+        "creative_catalog", lambda: creative.creative_catalog(creative.generate(_profile(t)))
+    )
 
 
 def _requests(t: Layers) -> DataFrame:
@@ -113,6 +119,10 @@ def _requests(t: Layers) -> DataFrame:
 
 def _arm_stats(t: Layers) -> DataFrame:
     """Arms after a round of pure exploration over the logged impressions."""
+    return t.published("arm_stats", lambda: _explored_arms(t))
+
+
+def _explored_arms(t: Layers) -> DataFrame:
     catalog = _catalog(t)
     shown = bandit.decide(_requests(t), bandit.arm_stats(catalog), epsilon=1.0, seed="log")
     labels = _clicked(t, dedup=True).select(
@@ -232,13 +242,14 @@ def traffic_totals(spark, sf_dir):
 
 @query
 def orders_last_30d(spark, sf_dir):
-    return gold.orders_last_days(layers(spark, sf_dir).logs.orders, _as_of(), 30)
+    t = layers(spark, sf_dir)
+    return gold.orders_last_days(t.logs.orders, _as_of(t), 30)
 
 
 @query
 def fatigue_last_7d(spark, sf_dir):
     t = layers(spark, sf_dir)
-    return gold.fatigue_last_days(t.logs.impressions, t.logs.clicks, _as_of(), 7)
+    return gold.fatigue_last_days(t.logs.impressions, t.logs.clicks, _as_of(t), 7)
 
 
 @query
@@ -322,20 +333,40 @@ def training_set(spark, sf_dir):
     return _training(layers(spark, sf_dir))
 
 
-@query
-def training_set_point_in_time(spark, sf_dir):
-    t = layers(spark, sf_dir)
-    silver = t.silver
+def _training_in_time(t: Layers) -> DataFrame:
+    """Clicked observations with the features as they stood before each; no feature has seen its label."""
     observed = _clicked(t, keep=["timestamp"])
     lookups = [
-        features.FeatureLookup(
-            gold.customer_snapshots(silver, t.logs.impressions, t.logs.clicks), "customer_id", S.CUSTOMER_FEATURES
-        ),
-        features.FeatureLookup(gold.merchant_snapshots(silver), "merchant_id", S.MERCHANT_FEATURES),
+        features.customer_lookup(gold.customer_snapshots(t.silver, t.logs.impressions, t.logs.clicks)),
+        features.merchant_lookup(gold.merchant_snapshots(t.silver)),
     ]
     return features.training_set_point_in_time(observed, lookups)
 
 
+@query
+def training_set_point_in_time(spark, sf_dir):
+    return _training_in_time(layers(spark, sf_dir))
+
+
+@query
+def last_customer_snapshots(spark, sf_dir):
+    """The last snapshot of every customer of the gold table, which it has to equal."""
+    t = layers(spark, sf_dir)
+    snapshots = gold.customer_snapshots(t.silver, t.logs.impressions, t.logs.clicks)
+    last = snapshots.groupBy("customer_id").agg(F.max_by(F.struct(*snapshots.columns), "feature_ts").alias("s"))
+    known = last.join(t.customers.select("customer_id"), "customer_id", "left_semi")
+    return known.select("s.*").drop("feature_ts")
+
+
+@query
+def training_set_converted(spark, sf_dir):
+    """The current features with the label of an attributed order."""
+    t = layers(spark, sf_dir)
+    observed = features.observations_converted(t.logs.impressions, t.silver)
+    lookups = [features.customer_lookup(t.customers), features.merchant_lookup(t.merchants)]
+    return features.training_set(observed, lookups)
+
+
 @query
 def affinity_match_(spark, sf_dir):
     match = affinity_match(F.col("user_preferred_cuisine"), F.col("merchant_cuisine"))
@@ -398,17 +429,23 @@ def stratified_split_(spark, sf_dir):
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
+def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix of the point-in-time set with its train/test split."""
+    matrix = features.training_matrix(_training_in_time(layers(spark, sf_dir)))
+    return stratified_split(matrix, "impression_id", "has_clicked")
+
+
 def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     """The propensity model on the training share; trained once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        split = stratified_split(training_matrix(spark, sf_dir), "impression_id", "has_clicked")
+        split = _model_rows(spark, sf_dir)
         _MODELS[key] = model.train_propensity(split.where(F.col("is_test") == 0))
     return _MODELS[key]
 
 
 def _test_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = stratified_split(training_matrix(spark, sf_dir), "impression_id", "has_clicked")
+    split = _model_rows(spark, sf_dir)
     return model.score(_model(spark, sf_dir), split.where(F.col("is_test") == 1))
 
 
@@ -458,12 +495,12 @@ def customer_segments(spark, sf_dir):
 
 @query
 def segment_profile(spark, sf_dir):
-    return _profile(layers(spark, sf_dir))
+    return _profile(layers(spark, sf_dir), MIN_SEGMENT)
 
 
 @query
 def segment_prompts(spark, sf_dir):
-    return creative.segment_prompts(_profile(layers(spark, sf_dir)))
+    return creative.segment_prompts(_profile(layers(spark, sf_dir), MIN_SEGMENT))
 
 
 @query
@@ -475,7 +512,7 @@ def creative_generation(spark, sf_dir):
 def creative_guardrails(spark, sf_dir):
     """The stricter documented limit of 60 characters, and two banned words that occur."""
     generated = creative.generate(_profile(layers(spark, sf_dir), 1))
-    return creative.guardrails(generated, max_chars=60, banned=("erro", "imperdíveis"))
+    return creative.guardrails(generated, max_chars=60, banned=("erro", "relâmpago"))
 
 
 @query
@@ -530,6 +567,20 @@ def creative_decisions_thompson(spark, sf_dir):
     return _decisions(spark, sf_dir, bandit.decide_thompson)
 
 
+@query
+def ad_decisions(spark, sf_dir):
+    """Per request the context, the propensity, the creative and its text; every 50th request is pinned."""
+    t = layers(spark, sf_dir)
+    asked = t.logs.impressions.select(F.col("impression_id").alias("request_id"), "customer_id")
+    pinned = asked.where(F.substring("request_id", -2, 2).isin("00", "50")).select(
+        "request_id", F.lit("seg_pizza_promo_jantar").alias("segment_id")
+    )
+    context = creative.customer_context(asked, t.customers)
+    requests = bandit.pin_segments(_requests(t), pinned)
+    chosen = bandit.decide(requests, _arm_stats(t))
+    return bandit.decision_rows(context, chosen, _catalog(t))
+
+
 @query
 def ab_assignment(spark, sf_dir):
     units = table(spark, sf_dir, "customer").select(
@@ -571,12 +622,18 @@ def row_filtered_silver(spark, sf_dir):
 # ---- streams ------------------------------------------------------------------
 
 
-def _deliver(spark: SparkSession, df: DataFrame, name: str, files: int = 3) -> str:
-    """``df`` as files cut by time, each row delivered twice, for a file stream to pick up."""
+# Rows of one delivered file; a micro-batch takes two of three time slices, however many files those are.
+FILE_ROWS = 500_000
+SLICES = 3
+
+
+def _delivered(spark: SparkSession, df: DataFrame, name: str, schema=None) -> DataFrame:
+    """A stream of ``df`` as files cut by time, each row delivered twice."""
     path = fresh_dir(spark, name)
+    files = max(1, -(-df.count() // (SLICES * FILE_ROWS)))
     for _ in range(2):
-        df.repartitionByRange(files, "timestamp").write.mode("append").parquet(path)
-    return path
+        df.repartitionByRange(SLICES * files, "timestamp").write.mode("append").parquet(path)
+    return read_stream(spark, path, schema or df.schema, files_per_batch=2 * files)
 
 
 def _touch_stream(spark: SparkSession, *logs: tuple[DataFrame, str]) -> DataFrame:
@@ -584,13 +641,13 @@ def _touch_stream(spark: SparkSession, *logs: tuple[DataFrame, str]) -> DataFram
     for df, kind in logs:
         part = touches(df, kind)
         union = part if union is None else union.unionByName(part)
-    return read_stream(spark, _deliver(spark, union, "touches"), TOUCH, files_per_batch=2)
+    return _delivered(spark, union, "touches", TOUCH)
 
 
 @query
 def stream_bronze_ingest(spark, sf_dir):
     shown = layers(spark, sf_dir).logs.impressions
-    stream = read_stream(spark, _deliver(spark, shown, "impressions"), shown.schema, files_per_batch=2)
+    stream = _delivered(spark, shown, "impressions")
     target = fresh_dir(spark, "bronze")
     append_stream(drop_replays(stream, ["impression_id"]), target, f"{target}-checkpoint")
     return spark.read.parquet(target).drop("batch")
@@ -599,7 +656,7 @@ def stream_bronze_ingest(spark, sf_dir):
 @query
 def stream_dedup_orders(spark, sf_dir):
     orders = layers(spark, sf_dir).logs.orders
-    stream = read_stream(spark, _deliver(spark, orders, "orders"), orders.schema, files_per_batch=2)
+    stream = _delivered(spark, orders, "orders")
     target = fresh_dir(spark, "orders-once")
     append_stream(drop_replays(stream, ["order_id"]), target, f"{target}-checkpoint")
     return spark.read.parquet(target).drop("batch")

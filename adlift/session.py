@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SHIPPED: set[str] = set()
+
 
 def build_session(master: str | None = None, app: str = "adlift", **conf: str) -> SparkSession:
     """A session with the settings the operators are written for."""
@@ -18,10 +23,7 @@ def build_session(master: str | None = None, app: str = "adlift", **conf: str) -
         # Split skewed joins even where that costs one more shuffle downstream.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         # Deduplication keeps 30 days of ids; that state belongs off the JVM heap.
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
         builder = builder.master(master)
@@ -30,6 +32,23 @@ def build_session(master: str | None = None, app: str = "adlift", **conf: str) -
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, so that no node has to have it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="adlift-package-"))
+    root, name = os.path.split(package)
+    sc.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", root, name))
+    _SHIPPED.add(sc.applicationId)
+
+
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep the state of streams off the JVM heap, whoever made the session."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from adlift import schemas as S
+from adlift.session import ship_package, use_disk_state
 
 
 def read_stream(
@@ -34,15 +35,20 @@ def _first_per_key(keys: Sequence[str]):
     return run
 
 
-def drop_replays(stream: DataFrame, keys: Sequence[str], ts: str = "timestamp") -> DataFrame:
+def drop_replays(
+    stream: DataFrame, keys: Sequence[str], ts: str = "timestamp", thin: bool = False
+) -> DataFrame:
     """One row per key within the watermark; later rows than that are dropped as too late.
 
-    The stateful operator shuffles every row by key. Copies are thinned out
-    before it, so that an event delivered very many times does not send them
-    all to one task.
+    The stateful operator shuffles every row by key. Where an event may be
+    delivered very many times, ``thin`` leaves one row per key and Arrow batch
+    before that, so that its copies are not sent to one task.
     """
-    thinned = stream.mapInArrow(_first_per_key(keys), stream.schema)
-    return thinned.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
+    if thin:
+        ship_package(stream.sparkSession)
+        stream = stream.mapInArrow(_first_per_key(keys), stream.schema)
+    use_disk_state(stream.sparkSession)
+    return stream.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
 
 
 def write_batch(batch: DataFrame, table: str, number: int) -> str:

@@ -106,3 +106,18 @@ def test_dedup_keeps_the_latest_row(spark):
         ("a", at(2), 7.0),
         ("b", at(1), 10.0),
     }
+
+
+def test_rows_without_a_key_are_no_copies(spark):
+    orders = spark.createDataFrame([order(None, 1), order(None, 1), order("a", 1), order("a", 2)], ORDER)
+    once = A.dedup_latest(orders, ["order_id"], ["timestamp"]).collect()
+    assert sorted((r["order_id"] or "", r["timestamp"]) for r in once) == [("", at(1)), ("", at(1)), ("a", at(2))]
+
+
+def test_copies_with_a_map_column(spark):
+    from pyspark.sql import functions as F
+
+    orders = spark.createDataFrame([order("a", 1), order("a", 1), order("b", 2)], ORDER)
+    tagged = orders.withColumn("tags", F.create_map(F.lit("k"), F.col("cuisine")))
+    once = A.dedup_latest(tagged, ["order_id"], ["timestamp"]).collect()
+    assert sorted(r["order_id"] for r in once) == ["a", "b"] and once[0]["tags"] == {"k": "Pizza"}

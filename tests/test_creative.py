@@ -175,3 +175,25 @@ def test_rank_candidates(spark):
         ("q", 1, "m2"),
         ("q", 2, "m5"),
     ]
+
+
+def test_thompson_answers_requests_without_an_id(spark, catalog):
+    requests = spark.createDataFrame([(None, "seg_pizza_promo"), ("r", None)], "request_id string, segment_id string")
+    got = bandit.decide_thompson(requests, bandit.arm_stats(catalog)).collect()
+    assert len(got) == 2 and all(r["creative_id"] for r in got)
+
+
+def test_pinned_segments_and_decision_rows(spark, catalog):
+    asked = spark.createDataFrame(
+        [("r1", "seg_pizza_promo"), ("r2", "seg_burger_promo"), ("r3", None)], "request_id string, segment_id string"
+    )
+    pinned = spark.createDataFrame([("r2", "seg_pizza_promo")], "request_id string, segment_id string")
+    requests = bandit.pin_segments(asked, pinned)
+    assert {r["request_id"]: r["segment_id"] for r in requests.collect()} == {
+        "r1": "seg_pizza_promo", "r2": "seg_pizza_promo", "r3": None,
+    }
+    chosen = bandit.decide(requests, bandit.arm_stats(catalog), epsilon=0.0)
+    context = spark.createDataFrame([("r1", "u"), ("r2", "v"), ("r3", "w")], "request_id string, customer_id string")
+    rows = {r["request_id"]: r for r in bandit.decision_rows(context, chosen, catalog).collect()}
+    texts_of = {r["creative_id"]: r["copy_text"] for r in catalog.collect()}
+    assert len(rows) == 3 and all(r["copy_text"] == texts_of[r["creative_id"]] for r in rows.values())

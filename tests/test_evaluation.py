@@ -61,3 +61,24 @@ def test_copies_stay_on_one_side(spark):
     got = stratified_split(spark.createDataFrame(rows, "id string, label int"), "id", "label").collect()
     assert len(got) == 900
     assert len({r["is_test"] for r in got if r["id"] == "dup"}) == 1
+
+
+def test_split_keeps_rows_without_id_or_label(spark):
+    rows = [(f"id{i}", i % 2) for i in range(40)] + [(None, 1), (None, 1), ("x", None), (None, None)]
+    df = spark.createDataFrame(rows, "id string, label int")
+    got = stratified_split(df, "id", "label", test_share=0.5).collect()
+    assert sorted((str(r["id"]), str(r["label"])) for r in got) == sorted((str(i), str(y)) for i, y in rows)
+    assert {r["is_test"] for r in got} == {0, 1}
+    assert len({r["is_test"] for r in got if r["id"] is None and r["label"] == 1}) == 1
+
+
+def test_split_is_exact_with_many_ids_in_a_cell(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    import adlift.operators.evaluation as module
+
+    # All ids share the first 16 bits, many the last ones too.
+    monkeypatch.setattr(module, "hash32", lambda c, salt: F.pmod(F.xxhash64(c), F.lit(5)))
+    df = spark.createDataFrame([(f"id{i}", 0) for i in range(333)], "id string, label int")
+    got = stratified_split(df, "id", "label", test_share=0.3).collect()
+    assert sum(r["is_test"] for r in got) == 100

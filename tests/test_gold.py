@@ -95,7 +95,8 @@ def test_merchant_quality(spark):
 @pytest.mark.parametrize("hot_rows", [0, 10**9])
 def test_rolling_features_do_not_look_ahead(spark, hot_rows):
     views = spark.createDataFrame([view("i1", 0), view("i2", 100), view("i3", 8 * 86_400)], VIEW)
-    clicks = spark.createDataFrame([click("c", 50), click("d", 100)], CLICK)
+    clicks = [click("c", 50, impression="i1"), click("d", 100, impression="i2"), click("lost", 60)]
+    clicks = spark.createDataFrame(clicks, CLICK)
     orders = spark.createDataFrame([order("o", 60)], ORDER)
     at_rows = views.select("impression_id", "customer_id", "timestamp")
     got = {
@@ -116,3 +117,32 @@ def test_rollup_levels_add_up(spark):
         for i, name in enumerate(("impressions", "clicks", "attributed_orders", "attributed_revenue")):
             sums[i] += r[name]
     assert by_level == {level: [20, 9, 1, 7.5] for level in (0, 1, 3, 7)}
+
+
+def test_last_snapshot_equals_gold(spark):
+    day = 86_400
+    views = [view("i0", 10, "u"), view("i1", day, "u"), view("i1", 2 * day, "u"), view("i2", 10, "v")]
+    clicks = [click("c0", 20, "u", impression="i0"), click("c1", 3 * day, "u", impression="i1")]
+    clicks += [click("c1", 4 * day, "u", impression="i1"), click("lost", 30, "u", impression="none")]
+    orders = [order("o0", day, "u", amount=8.0, cuisine="Doces"), order("o1", 2 * day, "u"), order("o2", 3 * day, "u")]
+    seen, hit = spark.createDataFrame(views, VIEW), spark.createDataFrame(clicks, CLICK)
+    silver = attribution_asof(spark.createDataFrame(orders, ORDER), hit)
+    table = {r["customer_id"]: r for r in gold.gold_customer_features(silver, seen, hit).collect()}
+    snapshots = gold.customer_snapshots(silver, seen, hit).orderBy("feature_ts").collect()
+    last = {r["customer_id"]: r for r in snapshots}
+    for customer, row in last.items():
+        for name in set(row.asDict()) - {"customer_id", "feature_ts"}:
+            assert row[name] == table[customer][name], (customer, name)
+    # Nothing of a later day is in an earlier snapshot.
+    first = next(r for r in snapshots if r["customer_id"] == "u")
+    assert (first["user_total_orders"], first["user_historical_ctr"]) == (0, 1.0)
+    second = [r for r in snapshots if r["customer_id"] == "u"][1]
+    assert second["user_preferred_cuisine"] == "Doces" and last["u"]["user_preferred_cuisine"] == "Pizza"
+
+
+def test_time_windows_are_pushed_to_the_files(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    spark.createDataFrame([order("a", 10)], ORDER).write.parquet(path)
+    recent = gold.orders_last_days(spark.read.parquet(path), F.lit("2024-01-31 00:00:00").cast("timestamp"), 30)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(timestamp" in plan and "LessThanOrEqual(timestamp" in plan

@@ -123,6 +123,16 @@ def test_only_outlying_buckets_are_hot(spark):
     assert hot_buckets([df], ["key"], 10**6) == []
 
 
+def test_hot_keys_stay_hot_where_every_bucket_is_large(spark, monkeypatch):
+    import adlift.operators.skew as skew
+
+    monkeypatch.setattr(skew, "BUCKETS", 8)
+    rows = [(f"i{i}", "hot" if i < 600 else f"k{i}", i) for i in range(5_000)]
+    hot = hot_buckets([_frame(spark, rows, "id")], ["key"], 200)
+    assert len(hot) == 1
+    assert hot_buckets([_frame(spark, rows[600:], "id")], ["key"], 200) == []
+
+
 def test_partitioning_does_not_change_results(spark):
     clicks = [(f"c{i}", "i", at(i * 977 % 50_000), f"u{i % 3}", "m", "p") for i in range(200)]
     orders = [(f"o{i}", at(i * 613 % 60_000), f"u{i % 4}", "m", 1.0, 0, "Pizza") for i in range(200)]
