@@ -8,6 +8,7 @@ import pytest
 
 import adlift.llm.decontamination as module
 from adlift.llm.decontamination import contamination
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 
 def words(text):

@@ -4,6 +4,7 @@ import random
 import zlib
 
 from adlift.llm.language_id import counts, has_letter, identify, predict, train
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ru", "sho"], "bb": ["ung", "ich", "der", "sch", "ein"], "cc": ["é", "eau", "ou", "que", "ai"]}
 

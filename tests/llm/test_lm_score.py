@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from adlift.llm.lm_score import ORDER, corpus_scores, score
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 
 def held(i):

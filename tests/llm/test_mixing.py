@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from adlift.llm.mixing import _feistel, mix, shard_draws, targets
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 np = pytest.importorskip("numpy")
 

@@ -7,6 +7,7 @@ import pytest
 
 from adlift.llm.components import components
 from adlift.llm.near_dup import least_shared, near_duplicates
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 
 def shingles(text, n):

@@ -11,6 +11,7 @@ import pytest
 import compare
 import corpus_pipeline
 from adlift.llm import queries, sql, stages
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 from test_near_dup import brute as same_groups
 from test_quality_rules import brute as measured
 from test_substring_dedup import brute as without_repeats, ordered, ties_of

@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from adlift.llm.quality_rules import POLICIES, RULES, ablations, fails, ledger, mask
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 
 def brute(text):

@@ -10,6 +10,7 @@ import pytest
 import adlift.llm.substring_dedup as module
 from adlift.llm.substring_dedup import remove_repeats
 from adlift.llm.suffix_order import common_prefixes, smaller_than_next, suffix_order
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 
 def test_suffix_order():

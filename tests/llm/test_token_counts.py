@@ -9,6 +9,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 tokenizers = pytest.importorskip("tokenizers")
 
 from adlift.llm.token_counts import ByteMerges, token_counts  # noqa: E402
+from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
