@@ -65,8 +65,12 @@ def binary_metrics(
     Rows collapse to one per distinct score. Running counts over the scores
     are built on two grids of the score range, 2^24 cells inside 2^12, so a
     window sees one fine cell, the cells of one coarse cell, or the coarse
-    cells, never all scores.
+    cells, never all scores. Scores are probabilities: one outside [0, 1] fails
+    the query, as the grid would not be bounded.
     """
+    outside = (F.col(score) < 0) | (F.col(score) > 1)
+    checked = F.when(outside, F.raise_error(F.lit("scores have to lie in [0, 1]")).cast("double"))
+    scored = scored.withColumn(score, F.coalesce(checked, F.col(score)))
     per_score = (
         scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("s"))

@@ -126,6 +126,14 @@ def batch_lookup(
     unknown; a null stored under a known key stays null, and two unknown
     cuisines match. ``zero`` turns every null into 0 and never matches unknowns.
     """
+    joined = _looked_up(requests, customers, merchants)
+    return joined.select(
+        *requests.columns, "customer_found", "merchant_found", *[c.alias(n) for n, c in _vector(missing).items()]
+    )
+
+
+def _looked_up(requests: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
+    """Requests with both feature rows as stored, and whether each was there."""
     joined = requests
     for look, found in (
         (customer_lookup(customers), "customer_found"),
@@ -135,6 +143,11 @@ def batch_lookup(
         joined = joined.join(side, look.key, "left").withColumn(
             found, F.coalesce(F.col(found), F.lit(False))
         )
+    return joined
+
+
+def _vector(missing: str) -> dict[str, Column]:
+    """The features of a looked-up request, with what is missing filled in."""
     user, shop = F.col("user_preferred_cuisine"), F.col("merchant_cuisine")
 
     def feature(name: str) -> Column:
@@ -146,13 +159,7 @@ def batch_lookup(
 
     match = affinity_match(user, shop) if missing == "zero" else user.eqNullSafe(shop).cast("int")
     names = (*S.CUSTOMER_FEATURES, *S.MERCHANT_FEATURES)
-    return joined.select(
-        *requests.columns,
-        "customer_found",
-        "merchant_found",
-        *[feature(n).alias(n) for n in names],
-        match.alias("is_affinity_match"),
-    )
+    return {n: feature(n) for n in names} | {"is_affinity_match": match}
 
 
 def one_hot(column: str, levels: Sequence[str]) -> list[Column]:
@@ -200,42 +207,48 @@ SKEW_BINS = {
 def feature_skew_report(offline: DataFrame, serving: DataFrame, key: str) -> DataFrame:
     """Per feature: share of rows whose two values differ, and the stability index (PSI).
 
-    ``offline`` and ``serving`` hold one row per ``key``. Both are stacked to
-    (feature, bin) counts, at most ten per feature.
+    ``offline`` and ``serving`` hold one row per ``key``.
     """
     names = list(SKEW_BINS)
     left = offline.select(key, *[F.col(n).cast("double").alias(n) for n in names])
     right = serving.select(key, *[F.col(n).cast("double").alias(f"s_{n}") for n in names])
-    pairs = left.join(right, key).select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(n).alias("feature"),
-                        F.lit(w).alias("width"),
-                        F.col(n).alias("off"),
-                        F.col(f"s_{n}").alias("srv"),
-                    )
-                    for n, w in SKEW_BINS.items()
-                ]
-            )
-        ).alias("p")
-    )
+    return _skew(left.join(right, key))
 
-    def binned(value: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(F.lit(9), F.floor(value / F.col("p.width")))).cast("int")
 
-    cells = (
-        pairs.groupBy(
-            F.col("p.feature").alias("feature"),
-            binned(F.col("p.off")).alias("off_bin"),
-            binned(F.col("p.srv")).alias("srv_bin"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum((~F.col("p.off").eqNullSafe(F.col("p.srv"))).cast("int")).alias("differ"),
-        )
+def lookup_skew_report(
+    requests: DataFrame, customers: DataFrame, merchants: DataFrame, offline: str = "zero",
+    serving: str = "serving_defaults",
+) -> DataFrame:
+    """The report between two ways to fill what is missing, from one lookup of the requests."""
+    left = [c.cast("double").alias(n) for n, c in _vector(offline).items()]
+    right = [c.cast("double").alias(f"s_{n}") for n, c in _vector(serving).items()]
+    return _skew(_looked_up(requests, customers, merchants).select(*left, *right))
+
+
+def _skew(pairs: DataFrame) -> DataFrame:
+    """The report over rows with both values of every feature.
+
+    Rows first shrink to the distinct patterns of bins, nine features at once;
+    only those few are taken apart by feature.
+    """
+
+    def binned(value: Column, width: float) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(9), F.floor(value / F.lit(width)))).cast("int")
+
+    codes = []
+    for name, width in SKEW_BINS.items():
+        off, srv = F.col(name), F.col(f"s_{name}")
+        differ = (~off.eqNullSafe(srv)).cast("int")
+        codes.append((binned(off, width) * 20 + binned(srv, width) * 2 + differ).alias(name))
+    patterns = pairs.select(*codes).groupBy(*SKEW_BINS).agg(F.count(F.lit(1)).alias("n"))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("code")) for n in SKEW_BINS]))
+    code = F.col("p.code")
+    cells = patterns.select("n", each.alias("p")).groupBy(
+        F.col("p.feature").alias("feature"),
+        F.floor(code / 20).cast("int").alias("off_bin"),
+        F.floor(code % 20 / 2).cast("int").alias("srv_bin"),
     )
+    cells = cells.agg(F.sum("n").alias("n"), F.sum(F.col("n") * (code % 2)).alias("differ"))
     bins = cells.select(
         "feature",
         F.explode(

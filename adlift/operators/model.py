@@ -55,11 +55,14 @@ def train_propensity(
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     # Class count, split points and boosting each pass over the rows.
-    rows = matrix.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    columns = [*features, label]
+    # Rows are dealt and ordered by their values: subsampling follows places in partitions, and
+    # so a fit can be repeated on any cluster. Each level of each tree is a round of tasks.
+    tasks = matrix.count() // ROWS_PER_TASK + 1
+    dealt = matrix.select(*columns).repartition(tasks, *columns).sortWithinPartitions(*columns)
+    rows = dealt.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Each level of each tree is a round of tasks: merge partitions too small to be worth one.
-        tasks = rows.count() // ROWS_PER_TASK + 1
-        return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
+        return Pipeline(stages=[assembler, trees]).fit(rows)
     finally:
         rows.unpersist()
 

@@ -167,18 +167,18 @@ def rank_latest_first(
     cold, hot = split(df, keys, hot_keys)
     cold = cold.withColumn(name, by_key)
 
-    chunk = F.coalesce(F.floor(micros(time) / CHUNK_US), F.lit(-(2**62)))
-    hot = hot.withColumn(_CHUNK, chunk)
-    later = (
-        Window.partitionBy(*keys).orderBy(F.desc(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # Hot keys are cut by ranges of (key, time, tie), so that not even one instant is one task's work.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, -(-hot.count() // hot_rows) if hot_rows > 0 else parts)
+    ranged = hot.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id())
+    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     ahead = (
-        hot.groupBy(*keys, _CHUNK)
+        ranged.groupBy(*keys, _CHUNK)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             *[F.col(k).alias(f"_k_{k}") for k in keys],
             F.col(_CHUNK).alias("_k_chunk"),
-            F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_ahead"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_ahead"),
         )
     )
     inside = F.row_number().over(Window.partitionBy(*keys, _CHUNK).orderBy(*order))
@@ -187,7 +187,7 @@ def rank_latest_first(
         [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col(_CHUNK) == F.col("_k_chunk")],
     )
     hot = (
-        hot.withColumn(name, inside)
+        ranged.withColumn(name, inside)
         .join(ahead, same)
         .withColumn(name, (F.col(name) + F.col("_ahead")).cast("int"))
         .select(*cold.columns)

@@ -395,10 +395,7 @@ def batch_lookup_zero(spark, sf_dir):
 def feature_skew_report(spark, sf_dir):
     t = layers(spark, sf_dir)
     requests = _line_requests(spark, sf_dir)
-    lookup = partial(features.batch_lookup, requests, t.customers, t.merchants)
-    return features.feature_skew_report(
-        lookup(missing="zero"), lookup(missing="serving_defaults"), "request_id"
-    )
+    return features.lookup_skew_report(requests, t.customers, t.merchants)
 
 
 @query

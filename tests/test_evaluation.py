@@ -82,3 +82,8 @@ def test_split_is_exact_with_many_ids_in_a_cell(spark, monkeypatch):
     df = spark.createDataFrame([(f"id{i}", 0) for i in range(333)], "id string, label int")
     got = stratified_split(df, "id", "label", test_share=0.3).collect()
     assert sum(r["is_test"] for r in got) == 100
+
+
+def test_scores_that_are_no_probabilities_are_refused(spark):
+    with pytest.raises(Exception, match="have to lie in"):
+        binary_metrics(spark.createDataFrame([(1.5, 0), (0.0, 1)], SCHEMA), "score", "label").collect()

@@ -143,3 +143,10 @@ def test_partitioning_does_not_change_results(spark):
     for parts in (1, 7):
         got = attribution_asof(o.repartition(parts), c.repartition(parts + 2), hot_rows=parts * 20)
         assert sorted(map(tuple, got.collect()), key=str) == expected
+
+
+def test_rank_of_a_key_at_a_single_instant(spark):
+    rows = [(f"i{i:04d}", "hot", 5) for i in range(700)] + [(f"j{i}", f"k{i % 9}", i) for i in range(90)]
+    got = rank_latest_first(_frame(spark, rows, "id").repartition(6), ["key"], "ts", "id", "n", hot_rows=50)
+    ranks = {r["id"]: r["n"] for r in got.collect() if r["key"] == "hot"}
+    assert ranks == {f"i{i:04d}": 700 - i for i in range(700)}
