@@ -2,27 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from adlift.session import fresh_dir, ship_package
 
-import adlift
-from adlift.session import fresh_dir
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the workers, once per application, so that no node has to have it."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(adlift.__file__)))
-    folder = os.path.realpath(tempfile.mkdtemp(prefix="adlift-package-"))
-    sc.addPyFile(shutil.make_archive(f"{folder}/adlift", "zip", root, "adlift"))
-    _SHIPPED.add(sc.applicationId)
+__all__ = ["ship_package", "written"]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
