@@ -29,7 +29,8 @@ from adlift.llm.frames import ship_package
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 #: Entries of one generation of a worker's memory of counts: bounds its space, never the result.
 REMEMBERED = 250_000
-_WHITE = r"\t-\r \x85\xa0  -     　"
+#: White space as the pattern of the file format understands it.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
 
 
