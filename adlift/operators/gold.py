@@ -364,7 +364,10 @@ def customer_snapshots(silver: DataFrame, impressions: DataFrame, clicks: DataFr
     daily = _with_favourite(daily, silver, "customer_id")
     w = Window.partitionBy("customer_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     run = daily.select(
-        "customer_id", "day", *[F.sum(m).over(w).alias(m) for m in measures], F.min("best").over(w)["cuisine"].alias("cuisine")
+        "customer_id",
+        "day",
+        *[F.sum(m).over(w).alias(m) for m in measures],
+        F.min("best").over(w)["cuisine"].alias("cuisine"),
     )
     return run.select(
         "customer_id",
@@ -420,7 +423,10 @@ def merchant_snapshots(silver: DataFrame) -> DataFrame:
     w = Window.partitionBy("merchant_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     measures = ["orders", "amount", "amounts", "attributed"]
     run = daily.select(
-        "merchant_id", "day", *[F.sum(m).over(w).alias(m) for m in measures], F.min("best").over(w)["cuisine"].alias("cuisine")
+        "merchant_id",
+        "day",
+        *[F.sum(m).over(w).alias(m) for m in measures],
+        F.min("best").over(w)["cuisine"].alias("cuisine"),
     )
     return run.select(
         "merchant_id",

@@ -10,7 +10,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlift import schemas as S
 from adlift.functions.scalars import (
     affinity_match,
     heuristic_propensity,
