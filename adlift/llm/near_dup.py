@@ -11,10 +11,15 @@ the ``kept - least_shared + 1`` rarest values of its sketch, and values that
 very many classes share drop out by themselves, without a cap.
 
 Within a list, pairs with its smallest class are looked at first; verified
-links make components. Only classes of one list that are then still in
-different components are compared with each other. All pairs of a list are
-therefore either compared or connected already, and a list of thousands of
-copies takes thousands of comparisons, not millions.
+links make components. In lists of up to ``FEW`` classes that then still hold
+different components all remaining pairs are compared. Longer ones are where a
+sketch cannot tell a family of loosely related texts apart: thousands of edits
+of one text share most values and few links. Their classes, and only those, get
+lists over their full sets, in which the positions of a value in two
+sets, ordered by rarity, bound the overlap exactly. A class with too many values
+of its own then meets no partner of a size it cannot match, and what is compared
+stays near what is linked. All pairs of a list are so either compared, connected
+already, or ruled out.
 
 A pair is compared in three steps: by set sizes, by the Jaccard estimate from
 the sketch of its union, and by the exact Jaccard of the full sets, taken from
@@ -45,6 +50,8 @@ from adlift.llm.textbytes import NOT_WHITE, lowered, shingle_hashes, spans, word
 SHINGLE = 4
 SKETCH = 64
 MISS = 1e-9
+#: Classes of a list whose pairs are all compared; longer lists are taken apart by full sets.
+FEW = 24
 #: Jaccard threshold in hundredths.
 THRESHOLD = 80
 
@@ -130,14 +137,68 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    known = classes.select("cls", "d1", "d2").join(wanted, "cls")
+def _all_pairs(lists: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of different components and matching sizes within lists of few classes."""
+    own = lists.groupBy("value").agg(F.collect_list(F.struct("cls", "n", "component")).alias("own"))
+
+    def partners(x):
+        def fits(y):
+            sizes = 100 * F.least(x["n"], y["n"]) >= threshold * F.greatest(x["n"], y["n"])
+            return (x["cls"] < y["cls"]) & (x["component"] != y["component"]) & sizes
+
+        return F.transform(F.filter("own", fits), lambda y: F.struct(x["cls"].alias("a"), y["cls"].alias("b")))
+
+    return own.select(F.explode(F.flatten(F.transform("own", partners))).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _crossing(
+    open_classes: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, threshold: int
+) -> DataFrame:
+    """Pairs (a, b) of different components among the open classes that their full sets do not rule out.
+
+    Every set is put in the order of (rarity, value). If x and y reach the
+    threshold with c common values, the first common one has at least c - 1 after
+    it in both; so its place in x bounds the size of y, and the other way round.
+    The larger set asks the size bins it can match, the smaller stands in its own.
+    """
+    known = classes.select("cls", "d1", "d2").join(open_classes, "cls")
+    sets = _full_sets(docs, known, shingle).join(open_classes, "cls")
+    values = written(
+        sets.select("cls", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("value")), "open-values"
+    )
+    times = values.groupBy("value").agg(F.count("*").alias("times"))
+    ordered = values.join(times, "value").groupBy("cls", "component", "n").agg(
+        F.array_sort(F.collect_list(F.struct("times", "value"))).alias("own")
+    )
+    prefix = F.col("n") - F.ceil(F.col("n") * threshold / 100.0) + 1
+    placed = ordered.select(
+        "cls", "component", "n", F.posexplode(F.slice("own", F.lit(1), prefix.cast("int"))).alias("at", "p")
+    ).where("p.times > 1")
+    # The largest partner that the values from this place on allow for.
+    reach = F.floor(((100 + threshold) * (F.col("n") - F.col("at")) - threshold * F.col("n")) / threshold)
+    placed = placed.select("cls", "component", "n", F.col("p.value").alias("value"), reach.cast("long").alias("reach"))
+    size_bin = lambda n: F.floor(F.log(n.cast("double")) / math.log(1.04)).cast("int")
+    least = F.ceil(F.col("n") * threshold / 100.0)
+    most = F.least("n", "reach")
+    larger = placed.where(most >= least).select(
+        "value", "cls", "component", "n", "reach", F.explode(F.sequence(size_bin(least), size_bin(most))).alias("bin")
+    )
+    smaller = placed.where(F.col("reach") >= F.col("n")).select(
+        "value", size_bin(F.col("n")).alias("bin"), *[F.col(c).alias(f"{c}_b") for c in ("cls", "component", "n", "reach")]
+    )
+    fits = (100 * F.col("n_b") >= threshold * F.col("n")) & (F.col("n_b") <= F.col("reach"))
+    fits = fits & (F.col("n") <= F.col("reach_b")) & (F.col("component") != F.col("component_b"))
+    once = (F.col("n_b") < F.col("n")) | ((F.col("n_b") == F.col("n")) & (F.col("cls_b") < F.col("cls")))
+    same = (larger.value == smaller.value) & (larger.bin == smaller.bin)
+    met = larger.join(smaller, same & fits & once)
+    return met.select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b")).distinct()
+
+
+def _full_sets(docs: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
+    """(cls, hashes): the sets of the classes (cls, d1, d2), from their texts; of rows with one id the one that fits."""
     texts = docs.join(known, docs.doc_id == known.cls).select("cls", "d1", "d2", "text")
 
     def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows with the same id, the one that has the class's set."""
         for batch in batches:
             firsts, seconds = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             kept, sets = [], []
@@ -145,11 +206,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
                 hashes = shingle_set(value.as_py(), shingle)
                 if set_digest(hashes) == (firsts[i], seconds[i]):
                     kept.append(i)
-                    sets.append(hashes.tobytes())
+                    sets.append(hashes)
             ids = batch.column(0).take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], ["cls", "hashes"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.list_(pa.int64()))], ["cls", "hashes"])
+
+    return texts.mapInArrow(own_text, "cls long, hashes array<long>")
 
-    sets = texts.mapInArrow(own_text, "cls long, hashes binary")
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    sets = _full_sets(docs, classes.select("cls", "d1", "d2").join(wanted, "cls"), shingle)
     one = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("hashes_a"))
     other = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hashes_b"))
 
@@ -157,7 +224,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(v.as_py(), np.int64) for v in (x, y))
+                a, b = (v.values.to_numpy() for v in (x, y))
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 linked.append(100 * common >= threshold * (len(a) + len(b) - common))
             mask = pa.array(linked, pa.bool_())
@@ -202,12 +269,15 @@ def near_duplicates(
     named = lists.join(found, lists.cls == found.node, "left").select(
         "value", "cls", "n", F.coalesce("component", "cls").alias("component")
     )
-    mixed = named.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    mixed = written(named.join(mixed.select("value"), "value"), "mixed-lists")
-    other = mixed.select("value", *[F.col(c).alias(f"{c}_b") for c in ("cls", "n", "component")])
-    fits = 100 * F.least("n", "n_b") >= threshold * F.greatest("n", "n_b")
-    met = mixed.join(other, "value").where((F.col("cls") < F.col("cls_b")) & (F.col("component") != F.col("component_b")))
-    crossing = met.where(fits).select(F.col("cls").alias("a"), F.col("cls_b").alias("b")).distinct()
+    sizes = named.groupBy("value").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")
+    )
+    mixed = sizes.where("lo < hi").select("value", "members")
+    mixed = written(named.join(mixed, "value"), "mixed-lists")
+    open_classes = written(mixed.where(F.col("members") > FEW).select("cls", "component").distinct(), "open-classes")
+    crossing = _all_pairs(mixed.where(F.col("members") <= FEW), threshold).unionByName(
+        _crossing(open_classes, rows, classes, shingle, threshold)
+    ).distinct()
     done = best.select(F.col("best.a").alias("a"), "b")
     done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _estimated(crossing.join(done, ["a", "b"], "left_anti"), classes, threshold)

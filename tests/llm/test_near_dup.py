@@ -72,3 +72,16 @@ def test_components(spark):
     want = {5: 3, 4: 3, 3: 3, 9: 2, 8: 2, 10: 2, 11: 2, 2: 2} | {100 + i: 100 for i in range(61)}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_family_of_loose_edits(spark):
+    """Many edits of one text, most of them not linked: lists far longer than those whose pairs are all compared."""
+    rng = random.Random(8)
+    base, rows = [f"c{i}" for i in range(120)], []
+    for i in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 14])):
+            words[rng.randrange(len(words))] = f"e{i}_{rng.randrange(99)}"
+        rows.append((i, " ".join(words[: rng.choice([120, 118, 105])])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, near_duplicates(frame).collect())) == brute(rows)
