@@ -130,6 +130,12 @@ def _explored_arms(t: Layers) -> DataFrame:
     return bandit.arm_stats(catalog, shown.join(labels, "request_id"))
 
 
+def publish(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All gold tables that several queries read, written if they are not yet."""
+    t = layers(spark, sf_dir)
+    return [t.customers, t.merchants, _line_silver(t), _members(t), _catalog(t), _arm_stats(t)]
+
+
 # ---- attribution --------------------------------------------------------------
 
 
