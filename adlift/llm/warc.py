@@ -14,8 +14,9 @@ reader follows the manifest only, so leftovers of lost tasks are never read.
 
 Pages with equal payloads are one response, the one with the largest page id,
 and revisits that refer to it. The keeper is found by a maximum per digest,
-combined before the shuffle; a payload that a third of all pages share is
-joined back by salted digests.
+combined before the shuffle, and joined back without payloads: one row per
+digest on that side, so that the planner can split a digest that a third of all
+pages share on the other.
 
 Null html is an empty payload, null urls an empty target; null page ids sort
 first and are never referred to while another page has the payload; rows with
@@ -42,7 +43,6 @@ from adlift.llm.frames import ship_package
 
 ROLL_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
-SALTS = 64
 _SPACE = uuid.UUID("6f2b6a0e-6d0c-4c52-9a57-2d1f1f0d5c11")
 MANIFEST = "shard int, file string, records long, bytes long, sha256 string"
 READ = (
@@ -130,17 +130,15 @@ def _manifest_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def keepers(pages: DataFrame) -> DataFrame:
-    """Pages with ``keeper``: the page id that responds for an equal payload, null where it is the page itself.
+    """For each (page_id, url, digest): whether it responds, else ``keeper``, the page that does for the same payload.
 
     ``order_key`` tells rows with the same page id apart.
     """
-    salted = pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    best = salted.groupBy("digest").agg(F.max(F.struct("page_id", F.col("order_key"))).alias("best"))
-    best = best.select(F.col("digest").alias("d"), "best", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"))
-    joined = salted.join(best, (F.col("digest") == F.col("d")) & (F.col("salt") == F.col("s")))
+    best = pages.groupBy(F.col("digest").alias("d")).agg(F.max(F.struct("page_id", F.col("order_key"))).alias("best"))
+    joined = pages.join(best, F.col("digest") == F.col("d"))
     first = F.col("best.page_id").eqNullSafe(F.col("page_id")) & (F.col("best.order_key") == F.col("order_key"))
     keeper = F.when(~first, F.col("best.page_id"))
-    return joined.select("page_id", "url", "html", "digest", first.alias("responds"), keeper.alias("keeper"))
+    return joined.select("page_id", "url", "digest", first.alias("responds"), keeper.alias("keeper")).distinct()
 
 
 def write_warc(
@@ -160,21 +158,30 @@ def write_warc(
         F.coalesce(pages[url].cast("string"), F.lit("")).alias("url"),
         F.coalesce(pages[html].cast("string"), F.lit("")).alias("html"),
     )
-    rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary")))
+    rows = rows.withColumn("digest", F.unhex(F.sha1(F.col("html").cast("binary"))))
     # Larger is first: the hash of the url breaks ties between rows of one page id.
-    rows = rows.withColumn("order_key", F.sha1(F.concat_ws("\n", "url", "digest")))
+    rows = rows.withColumn("order_key", F.xxhash64("url"))
     count = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keepers(rows).repartitionByRange(count, "page_id", "url", "digest")
-    ranged = ranged.sortWithinPartitions("page_id", "url", "digest").withColumn("shard", F.spark_partition_id())
+    # What is known of a page travels as a row of its own to where the page goes, so that payloads are shuffled once.
+    known = keepers(rows.drop("html")).withColumn("html", F.lit(None).cast("string"))
+    both = rows.select("page_id", "url", "html", "digest").unionByName(known, allowMissingColumns=True)
+    both = both.withColumn("is_page", F.col("html").isNotNull())
+    key = ["page_id", "url", "digest"]
+    ranged = both.repartitionByRange(count, *key).sortWithinPartitions(*key, "is_page")
+    ranged = ranged.select(*key, "html", "responds", "keeper", F.spark_partition_id().alias("shard"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, number = None, 0
+        current, number, known = None, 0, None
         for batch in batches:
             done = []
             for i in range(batch.num_rows):
-                key, target, text, digest, responds, keeper, shard = (c[i].as_py() for c in batch.columns)
+                key, target, digest, text, *of_page, shard = (c[i].as_py() for c in batch.columns)
+                if text is None:
+                    known = of_page
+                    continue
+                responds, keeper = known
                 payload = text.encode()
-                own = base64.b32encode(bytes.fromhex(digest)).decode()
+                own = base64.b32encode(digest).decode()
                 if current is None:
                     current = _File(folder, shard, number)
                 current.add(_member(_record(key, target, payload, own, None if responds else keeper)))
