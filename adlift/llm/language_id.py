@@ -117,7 +117,8 @@ def _clusters(texts: list[str], idf: np.ndarray) -> list[tuple[np.ndarray, float
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict:
     """A model from the rows (doc_id, text, lang) given: idf, centroids, their languages and reach."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    # As a table its size is known, and the planner need not deal the texts by language to meet it.
+    sizes = written(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     # Twice the wanted share first, by hash alone; the ranks are then over few rows.
     few = usable.withColumn("draw", draw).join(sizes, "lang").where(F.col("draw") * F.col("n") <= 2.0 * sample + 50)
