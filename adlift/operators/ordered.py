@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from adlift.functions.scalars import micros
 from adlift.operators.skew import HOT_ROWS, hot_buckets, split
+from adlift.session import fresh_dir
 
 CHUNK_US = 60 * 1_000_000
 
@@ -170,7 +171,12 @@ def rank_latest_first(
     # Hot keys are cut by ranges of (key, time, tie), so that not even one instant is one task's work.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(parts, -(-hot.count() // hot_rows) if hot_rows > 0 else parts)
-    ranged = hot.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id())
+    # The bounds come from a sample that another shuffle of the same rows would draw anew, so chunks are
+    # numbered once, in files that ranks and counts both read.
+    spark, path = df.sparkSession, fresh_dir(df.sparkSession, "ranked")
+    numbered = hot.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id())
+    numbered.write.parquet(path)
+    ranged = spark.read.schema(numbered.schema).parquet(path)
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     ahead = (
         ranged.groupBy(*keys, _CHUNK)

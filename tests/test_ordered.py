@@ -150,3 +150,19 @@ def test_rank_of_a_key_at_a_single_instant(spark):
     got = rank_latest_first(_frame(spark, rows, "id").repartition(6), ["key"], "ts", "id", "n", hot_rows=50)
     ranks = {r["id"]: r["n"] for r in got.collect() if r["key"] == "hot"}
     assert ranks == {f"i{i:04d}": 700 - i for i in range(700)}
+
+
+def test_rank_of_more_rows_than_the_ranges_are_sampled_from(spark, tmp_path):
+    n = 60_000  # the bounds come from 100 rows per shuffle partition
+    df = spark.range(0, n, 1, 6).selectExpr(
+        "concat('i', lpad(id, 6, '0')) AS id",
+        "CAST('hot' AS string) AS key",
+        "timestamp_seconds(pmod(xxhash64(id), 5000)) AS ts",
+        "sha2(CAST(id AS string), 256) AS other",
+        "CAST(id AS int) AS number",
+    )
+    out = rank_latest_first(df, ["key"], "ts", "id", "rank", hot_rows=20_000)
+    out.write.parquet(f"{tmp_path}/ranks")
+    want = sorted(((r["ts"], r["id"]) for r in df.collect()), reverse=True)
+    got = {r["id"]: r["rank"] for r in spark.read.parquet(f"{tmp_path}/ranks").collect()}
+    assert got == {i: k for k, (_, i) in enumerate(want, 1)}
