@@ -25,7 +25,8 @@ steps 2 and 3 find every repeated window, and only those.
 
 Null and empty texts stay empty. Rows that repeat id and text are one document
 and get the same result; rows that share an id but not the text come in the
-order of a hash of the text. Null ids come last. Texts are worked through in
+order of a 64-bit hash of the text, which also tells them apart. Null ids come
+last. Texts are worked through in
 pieces of ``PIECE`` windows; other columns are not read.
 """
 
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlift.llm.frames import ship_package, written
@@ -56,8 +57,8 @@ _NO_ID = (1 << 63) - 1
 REPEATED, LOOK = 0, 1
 
 _PLACES = ["route", "mini", "digest", "doc", "tie", "place", "inside"]
-_PLACE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
-_PLACE_SCHEMA = "route long, mini long, digest long, doc long, tie int, place long, inside boolean"
+_PLACE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+_PLACE_SCHEMA = "route long, mini long, digest long, doc long, tie long, place long, inside boolean"
 
 
 def _power(n: int) -> np.uint64:
@@ -153,7 +154,7 @@ def _places(docs: DataFrame) -> DataFrame:
                     least, digest, starts, counts, inside = stretches(data[lo : lo + PIECE + LENGTH - 1])
                     n = len(starts)
                     held.append((
-                        least[starts], digest, np.full(n, doc.as_py()), np.full(n, tie.as_py(), np.int32),
+                        least[starts], digest, np.full(n, doc.as_py()), np.full(n, tie.as_py()),
                         (starts + lo) << _COUNT_BITS | counts, inside,
                     ))
                     size += n
@@ -165,7 +166,7 @@ def _places(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(cut, _PLACE_SCHEMA)
 
 
-_FOUND = "doc long, tie int, place long, kind int, mini long"
+_FOUND = "doc long, tie long, place long, kind int, mini long"
 
 
 def _judged(places: DataFrame) -> DataFrame:
@@ -204,7 +205,7 @@ def _judged(places: DataFrame) -> DataFrame:
                 kept_waiting = waits if carried is not None and last == 0 else True
                 carried, digests_before = [v[last] for v in rows], int(digests[-1])
                 waits = digests_before == 1 and not look[last] and kept_waiting
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             yield _batch(done, ["doc", "tie", "place", "kind", "mini"], kinds)
 
     dealt = places.repartition("route").sortWithinPartitions("mini", "digest", "doc", "tie", "place")
@@ -253,7 +254,7 @@ def _as_runs(doc: np.ndarray, tie: np.ndarray, start: np.ndarray) -> list[np.nda
     return [doc[lo], tie[lo], start[lo] << _COUNT_BITS | count]
 
 
-_RUN_NAMES, _RUN_KINDS = ["doc", "tie", "place"], [pa.int64(), pa.int32(), pa.int64()]
+_RUN_NAMES, _RUN_KINDS = ["doc", "tie", "place"], [pa.int64(), pa.int64(), pa.int64()]
 
 
 def _sorted_repeats(parts: DataFrame) -> DataFrame:
@@ -264,7 +265,7 @@ def _sorted_repeats(parts: DataFrame) -> DataFrame:
 
         def done() -> pa.RecordBatch:
             texts, windows = [r[4] for r in rows], [r[3] for r in rows]
-            places = [np.array([r[i] for r in rows], k) for i, k in ((0, np.int64), (1, np.int32), (2, np.int64))]
+            places = [np.array([r[i] for r in rows], np.int64) for i in range(3)]
             return _batch(_as_runs(*repeated_windows(texts, windows, *places)), _RUN_NAMES, _RUN_KINDS)
 
         for batch in batches:
@@ -279,7 +280,7 @@ def _sorted_repeats(parts: DataFrame) -> DataFrame:
         if rows:
             yield done()
 
-    return parts.repartition("mini").sortWithinPartitions("mini").mapInArrow(sort, "doc long, tie int, place long")
+    return parts.repartition("mini").sortWithinPartitions("mini").mapInArrow(sort, "doc long, tie long, place long")
 
 
 def _read_places(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -288,7 +289,7 @@ def _read_places(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     met = docs.join(of_doc, ["doc", "tie"]).select("doc", "tie", "text", "places")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
         names = ["mini", "doc", "tie", "start", "windows", "bytes", "common"]
         for batch in batches:
             for doc, tie, text, places in zip(*(batch.column(i) for i in range(4))):
@@ -301,7 +302,7 @@ def _read_places(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     columns = zip(*rows[lo : lo + 5_000])
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
-    schema = "mini long, doc long, tie int, start long, windows long, bytes binary, common boolean"
+    schema = "mini long, doc long, tie long, start long, windows long, bytes binary, common boolean"
     return met.mapInArrow(read, schema)
 
 
@@ -309,17 +310,17 @@ def _common_repeats(parts: DataFrame) -> DataFrame:
     """Repeated windows under very common minimizers, window by window."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             for _, doc, tie, start, windows, data in zip(*(batch.column(i) for i in range(6))):
                 raw, n = data.as_py(), windows.as_py()
                 digests = [hashlib.blake2b(raw[i : i + LENGTH], digest_size=16).digest() for i in range(n)]
                 both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 at = np.arange(n) + start.as_py()
-                columns = [both[:, 0], both[:, 1], np.full(n, doc.as_py()), np.full(n, tie.as_py(), np.int32), at]
+                columns = [both[:, 0], both[:, 1], np.full(n, doc.as_py()), np.full(n, tie.as_py()), at]
                 yield _batch(columns, ["w1", "w2", "doc", "tie", "start"], kinds)
 
-    windows = parts.mapInArrow(split, "w1 long, w2 long, doc long, tie int, start long")
+    windows = parts.mapInArrow(split, "w1 long, w2 long, doc long, tie long, start long")
     first = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
     met = windows.join(first, ["w1", "w2"]).where(F.struct("doc", "tie", "start") != F.col("first"))
     return met.select("doc", "tie", F.shiftleft("start", _COUNT_BITS).bitwiseOR(F.lit(1).cast("long")).alias("place"))
@@ -369,6 +370,12 @@ def _removed(docs: DataFrame, repeated: DataFrame, with_text: bool) -> DataFrame
     return met.mapInArrow(remove, schema)
 
 
+def _tie(body: Column) -> Column:
+    """The whole 64-bit hash of a text, turned so that its lowest 31 bits come first in the order."""
+    h = F.xxhash64(body)
+    return F.shiftleft(h, 33).bitwiseOR(F.shiftrightunsigned(h, 31)).bitwiseXOR(F.lit(-(1 << 63)))
+
+
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
@@ -381,7 +388,7 @@ def remove_repeats(
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     row = F.struct(*[docs[c] for c in carry]) if carry else F.struct(docs[doc_id].cast("long").alias("doc_id"))
     key = F.coalesce(docs[doc_id].cast("long"), F.lit(_NO_ID))
-    tie = F.xxhash64(body).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    tie = _tie(body)
     rows = docs.select(key.alias("doc"), tie.alias("tie"), body.alias("text"), row.alias("row"))
     once = rows.select("doc", "tie", "text")
     found = written(_judged(_places(once)), "stretches")
