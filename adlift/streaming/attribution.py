@@ -130,9 +130,21 @@ class SilverStream:
         return spark.read.schema(schema).parquet(self.log).where(F.col("batch") <= upto)
 
     def silver(self, spark: SparkSession) -> DataFrame:
-        """The current silver table: the latest version of every order."""
+        """The current silver table: the latest version of every order.
+
+        Orders without an id are known by their place: all that a pair has at
+        one instant are attributed again together, so their newest version
+        holds every one of them.
+        """
         versions = spark.read.parquet(self.versions)
-        return dedup_latest(versions, ["order_id"], ["version"]).drop("version", "order_date")
+        known = dedup_latest(versions.where(F.col("order_id").isNotNull()), ["order_id"], ["version"])
+        place = [*PAIR, "order_timestamp"]
+        keyless = versions.where(F.col("order_id").isNull())
+        newest = keyless.groupBy(*place).agg(F.max("version").alias("_version"))
+        newest = newest.withColumnsRenamed({c: f"_{c}" for c in place})
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place])
+        keyless = keyless.join(newest, same & (F.col("version") == F.col("_version")), "left_semi")
+        return known.unionByName(keyless).drop("version", "order_date")
 
 
 def matched_clicks(silver: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlift import schemas as S
@@ -40,15 +42,21 @@ def drop_replays(
 ) -> DataFrame:
     """One row per key within the watermark; later rows than that are dropped as too late.
 
+    Rows without a key are never copies of each other: they pass as they are,
+    and neither wait in the state nor move the watermark.
+
     The stateful operator shuffles every row by key. Where an event may be
     delivered very many times, ``thin`` leaves one row per key and Arrow batch
     before that, so that its copies are not sent to one task.
     """
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    keyed, keyless = stream.where(known), stream.where(~known)
     if thin:
         ship_package(stream.sparkSession)
-        stream = stream.mapInArrow(_first_per_key(keys), stream.schema)
+        keyed = keyed.mapInArrow(_first_per_key(keys), stream.schema)
     use_disk_state(stream.sparkSession)
-    return stream.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
+    once = keyed.withWatermark(ts, S.WATERMARK).dropDuplicatesWithinWatermark(list(keys))
+    return once.unionByName(keyless)
 
 
 def write_batch(batch: DataFrame, table: str, number: int) -> str:

@@ -95,3 +95,29 @@ def test_ingest_appends_once(spark):
     back = spark.read.parquet(target)
     assert back.count() == 20 and "batch" in back.columns
     assert back.agg({"timestamp": "max"}).first()[0] == at(19_000)
+
+
+def test_ingest_keeps_rows_without_id(spark):
+    source, target = fresh_dir(spark, "in"), fresh_dir(spark, "bronze")
+    rows = [view(None if n % 3 else f"i{n}", n * 1000) for n in range(12)]
+    df = spark.createDataFrame(rows, VIEW)
+    for thin in (False, True):
+        df.coalesce(1).write.mode("append").parquet(source)
+        stream = read_stream(spark, source, df.schema, files_per_batch=1)
+        append_stream(drop_replays(stream, ["impression_id"], thin=thin), f"{target}-{thin}", f"{target}-c-{thin}")
+    for thin, files in ((False, 1), (True, 2)):
+        back = spark.read.parquet(f"{target}-{thin}")
+        assert back.where("impression_id IS NULL").count() == 8 * files
+        assert back.where("impression_id IS NOT NULL").count() == 4
+
+
+def test_orders_without_id_are_attributed_again(spark):
+    job, source = SilverStream(fresh_dir(spark, "job")), fresh_dir(spark, "source")
+    nameless = [order(None, 5 * DAY), order(None, 5 * DAY), order(None, 6 * DAY), order(None, 5 * DAY, customer=None)]
+    _feed(spark, job, source, _orders(spark, *nameless, order("o", 5 * DAY)))
+    _feed(spark, job, source, _clicks(spark, click("c1", DAY)))
+    _feed(spark, job, source, _clicks(spark, click("c2", 5 * DAY + 1)))
+    _feed(spark, job, source, _orders(spark, order(None, 5 * DAY)))
+    got = [(r["order_id"], r["customer_id"], r["attributed_click_id"]) for r in job.silver(spark).collect()]
+    want = [(None, "u", "c1")] * 3 + [(None, "u", "c2"), (None, None, None), ("o", "u", "c1")]
+    assert sorted(got, key=str) == sorted(want, key=str)
