@@ -113,3 +113,28 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlift.llm.substring_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.ranked_search import search
+
+    found = search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from adlift.llm.token_alignment import alignment
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment(table(spark, sf_dir, "documents"), *files)
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from adlift.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
