@@ -8,13 +8,15 @@ state vector holds each text's place in A and in B; a step links the two tokens
 that every text stands on, cuts where both end at the same byte, moves the
 side that ends first (or both), and texts that are through leave the vector.
 
-Texts are dealt to *lanes* of the vector: a text longer than ``LANE`` characters
-goes on in a new lane at the next single blank between an ASCII letter or digit
-and an ASCII letter. No token of either kind crosses such a blank, so a lane
-ends with a cut and tokens, links and groups are those of the whole text.
-Lanes are worked off in chunks of about ``CHUNK`` characters, however long a
-text is. A run that offers no such blank stays in one lane and costs memory in
-proportion to its length.
+Before a single blank between a visible character and a visible ASCII one no
+token of either kind goes on, so texts are taken apart there. A piece is
+tokenized where a worker meets it first and then remembered (``KEPT_TOKENS``
+tokens, after which the memory starts anew), and texts longer than ``LANE``
+characters go on in a new *lane* of the vector at such a blank: a lane ends with
+a cut, and tokens, links and groups are those of the whole text. Lanes are
+worked off in chunks of about ``CHUNK`` characters, however long a text is. A
+run that offers no such blank stays whole and costs memory in proportion to its
+length.
 
 What a text's links count in the corpus needs a second pass: pair counts are
 summed by Spark; at most ``FREQUENT`` pairs, the most frequent ones, then go to
@@ -33,6 +35,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +49,11 @@ LANE = 2048
 CHUNK = 1 << 20
 #: Pairs whose counts are in every task: bounds what travels, never the result.
 FREQUENT = 1 << 18
+#: Tokens of remembered pieces in a worker: bounds its space, never the result.
+KEPT_TOKENS = 1 << 21
 #: Distinct pairs in one row of the table of aligned texts.
 ROW_PAIRS = 1 << 16
-_SEAM = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z])")
+_SEAM = re.compile(r"(?<=\S) (?=[!-~])")
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 _ALIGNED = pa.schema(
     [("row_no", pa.int64()), ("doc_id", pa.int64()), *[(c, pa.int64()) for c in _COUNTS], ("groups_sha256", pa.string())]
@@ -83,24 +88,70 @@ class Tokenizers:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
 
-    def encode(self, lanes: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Identifiers of both sides for lanes (each a blank and a text), and which lanes both sides give back."""
-        a = [e.ids for e in self.a.encode_batch_fast(lanes, add_special_tokens=False)]
-        b = self.b.encode([lane[1:] for lane in lanes], num_threads=1)
-        good = np.array([
-            (data := lane.encode()) == b"".join(map(self.a_bytes.__getitem__, x)) and data == b"".join(map(self.b_bytes.__getitem__, y))
-            for lane, x, y in zip(lanes, a, b)
-        ], bool)
-        return a, b, good
+    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Identifiers of both sides for pieces, each after a blank, and which pieces both sides give back."""
+        a = [e.ids for e in self.a.encode_batch_fast([" " + piece for piece in pieces], add_special_tokens=False)]
+        b = self.b.encode(pieces, num_threads=1)
+        data = [b" " + piece.encode() for piece in pieces]
+        return a, b, self._given_back(a, self.a_bytes, data) & self._given_back(b, self.b_bytes, data)
 
+    def _given_back(self, lists: list[list[int]], table: list[bytes], data: list[bytes]) -> np.ndarray:
+        """Whether the bytes of each piece's tokens are the piece: all at once, one by one only where some are not."""
+        made = [table[i] for i in chain.from_iterable(lists)]
+        if b"".join(made) == b"".join(data):
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+            if np.array_equal(np.append(0, np.cumsum(sizes))[ends], np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))):
+                return np.ones(len(data), bool)
+        return np.array([b"".join(map(table.__getitem__, x)) == y for x, y in zip(lists, data)], bool)
 
-def lanes_of(text: str) -> list[str]:
-    """The blank and the text, cut before blanks that no token crosses."""
-    text, out, lo = " " + text, [], 0
-    while (seam := _SEAM.search(text, lo + LANE)) is not None:
-        out.append(text[lo : seam.start()])
-        lo = seam.start()
-    return [*out, text[lo:]]
+
+def pieces_of(text: str) -> list[str]:
+    """The text cut at blanks that start a token of both kinds; those blanks are left out, as the one before the text is."""
+    return _SEAM.split(text)
+
+
+class _Side:
+    """Tokens of remembered pieces, one after the other."""
+
+    def __init__(self):
+        self.ids, self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, lists: list[list[int]]) -> None:
+        sizes = np.array([len(x) for x in lists], np.int64)
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))])
+
+    def tokens(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the pieces named, in their order, and how many each has."""
+        sizes = self.sizes[which]
+        first = np.cumsum(sizes) - sizes
+        return self.ids[np.repeat(self.starts[which] - first, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
+class Pieces:
+    """Pieces met before, with their tokens."""
+
+    def __init__(self, both: Tokenizers):
+        self.both = both
+        self._empty()
+
+    def _empty(self) -> None:
+        self.place: dict[str, int] = {}
+        self.a, self.b, self.good = _Side(), _Side(), np.zeros(0, bool)
+
+    def find(self, pieces: list[str]) -> np.ndarray:
+        if len(self.a.ids) > KEPT_TOKENS:
+            self._empty()
+        new = [piece for piece in dict.fromkeys(pieces) if piece not in self.place]
+        if new:
+            a, b, good = self.both.encode(new)
+            self.a.add(a)
+            self.b.add(b)
+            self.good = np.append(self.good, good)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
 
 
 def lockstep(ends_a, ends_b, at_a, at_b, stop_a) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -179,7 +230,7 @@ class Aligner:
     """Aligns texts chunk by chunk."""
 
     def __init__(self, both: Tokenizers):
-        self.both = both
+        self.both, self.known = both, Pieces(both)
         self.n_b = len(both.b_bytes)
         self.digits = _Digits(max(len(both.a_bytes), self.n_b))
 
@@ -187,31 +238,40 @@ class Aligner:
         found = [_Text() for _ in texts]
         chunk, owner, size = [], [], 0
         for i, text in enumerate(texts):
-            for lane in lanes_of(text) if text else []:
-                chunk.append(lane)
-                owner.append(i)
-                size += len(lane)
+            pieces = pieces_of(text) if text else []
+            for lo in range(0, len(pieces), 10_000):
+                own = pieces[lo : lo + 10_000]
+                chunk += own
+                owner.append((i, len(own)))
+                size += sum(map(len, own)) + len(own)
                 if size >= CHUNK:
-                    self._chunk(chunk, np.array(owner), found)
+                    self._chunk(chunk, owner, found)
                     chunk, owner, size = [], [], 0
         if chunk:
-            self._chunk(chunk, np.array(owner), found)
+            self._chunk(chunk, owner, found)
         return found
 
-    def _chunk(self, lanes: list[str], owner: np.ndarray, found: list[_Text]) -> None:
-        ids_a, ids_b, good = self.both.encode(lanes)
-        for i in owner[~good]:
+    def _chunk(self, pieces: list[str], owners: list[tuple[int, int]], found: list[_Text]) -> None:
+        which = self.known.find(pieces)
+        owner = np.repeat([i for i, _ in owners], [n for _, n in owners])
+        for i in np.unique(owner[~self.known.good[which]]):
             found[i].good = False
-        keep = np.flatnonzero(good)
-        owner = owner[keep]
-        if not len(keep):
+        keep = np.array([found[i].good for i in owner])
+        which, owner = which[keep], owner[keep]
+        if not len(which):
             return
-        n_a, n_b = (np.array([len(ids[i]) for i in keep]) for ids in (ids_a, ids_b))
-        a, b = (np.concatenate([np.array(ids[i], np.int64) for i in keep]) for ids in (ids_a, ids_b))
-        stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
-        # Both sides of a lane hold the same bytes: offsets may as well run on through all lanes.
+        (a, n_a), (b, n_b) = self.known.a.tokens(which), self.known.b.tokens(which)
+        # Both sides of a piece hold the same bytes: offsets may as well run on through all texts.
         ends_a, ends_b = np.cumsum(self.both.a_sizes[a]), np.cumsum(self.both.b_sizes[b])
-        links_a, links_b, cut_a, cut_b = lockstep(ends_a, ends_b, stop_a - n_a, stop_b - n_b, stop_a)
+        stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
+        begin = np.append(0, ends_a[stop_a - 1])[:-1]
+        texts = np.flatnonzero(np.diff(owner, prepend=-1))  # the first piece of each text
+        within = begin - np.repeat(begin[texts], np.diff(texts, append=len(owner)))
+        lanes = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(within // LANE, prepend=0) != 0))
+        last = np.append(lanes[1:], len(owner)) - 1
+        links_a, links_b, cut_a, cut_b = lockstep(
+            ends_a, ends_b, (stop_a - n_a)[lanes], (stop_b - n_b)[lanes], stop_a[last]
+        )
         self._pairs(a, b, links_a, links_b, np.repeat(owner, n_a), found)
         last_a, last_b = np.flatnonzero(cut_a) + 1, np.flatnonzero(cut_b) + 1
         # The groups in order, each with its tokens of A and then those of B.
@@ -222,17 +282,18 @@ class Aligner:
         separators[place_a] = np.where(cut_a, ord("|"), ord(","))
         separators[place_b] = np.where(cut_b, ord(";"), ord(","))
         text, after = self.digits.text(line, separators)
-        ends = after[stop_a + stop_b - 1]
-        groups = np.searchsorted(last_a, stop_a, "right")
-        groups = np.diff(groups, prepend=0)
+        final = np.append(texts[1:], len(owner)) - 1
+        upto_a, upto_b = stop_a[final], stop_b[final]
+        ends = after[upto_a + upto_b - 1]
+        groups = np.diff(np.searchsorted(last_a, upto_a, "right"), prepend=0)
         lo = 0
-        for k, i in enumerate(owner):
+        for i, x, y, g, end in zip(owner[texts], np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0), groups, ends):
             own = found[i]
-            own.counts += (n_a[k], n_b[k], groups[k], n_a[k] + n_b[k] - groups[k])
+            own.counts += (x, y, g, x + y - g)
             if own.begun:
                 own.sha.update(b";")
-            own.sha.update(text[lo : ends[k] - 1])  # without the last separator
-            own.begun, lo = True, ends[k]
+            own.sha.update(text[lo : end - 1])  # without the last separator
+            own.begun, lo = True, end
 
     def _pairs(self, a, b, links_a, links_b, text_of, found) -> None:
         first = int(text_of[0])

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 
 import adlift.llm.token_alignment as module
-from adlift.llm.token_alignment import Tokenizers, alignment, lanes_of, lockstep
+from adlift.llm.token_alignment import Tokenizers, alignment, lockstep, pieces_of
 from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
 FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -90,13 +90,23 @@ def _aligned_here(rows, both):
     return rows.sparkSession.createDataFrame(out, module._ALIGNED_SQL), aligner.n_b
 
 
-def test_lanes_end_where_both_tokenizers_end(both):
+def test_pieces_end_where_both_tokenizers_end(both):
     rng = random.Random(4)
     for _, text in odd_rows(rng):
-        lanes = lanes_of(text)
-        assert "".join(lanes) == " " + text
+        pieces = pieces_of(text)
+        assert " ".join(pieces) == text
         for k, whole in enumerate((both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text))):
-            assert [i for x in both.encode(lanes)[k] for i in x] == whole
+            assert [i for x in both.encode(pieces)[k] for i in x] == whole
+
+
+def test_memory_of_pieces_starts_anew(both, monkeypatch):
+    texts = [t for _, t in odd_rows(random.Random(6))]
+    keep = [list(x.rows(0, 0, 32_000)) for x in module.Aligner(both).align(texts)]
+    monkeypatch.setattr(module, "KEPT_TOKENS", 50)
+    monkeypatch.setattr(module, "CHUNK", 300)
+    again = [list(x.rows(0, 0, 32_000)) for x in module.Aligner(both).align(texts)]
+    assert [[r["groups_sha256"] for r in x] for x in keep] == [[r["groups_sha256"] for r in x] for x in again]
+    assert all((x["times"] == y["times"]).all() for xs, ys in zip(keep, again) for x, y in zip(xs, ys))
 
 
 def test_lockstep_by_hand():
