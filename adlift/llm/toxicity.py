@@ -52,12 +52,11 @@ _KEPT = np.zeros(256, bool)
 _KEPT[0x61:0x7B] = _KEPT[0x80:] = True
 
 
-def places(text: str | None) -> np.ndarray:
-    """The places of a text's n-grams, with repeats; a blank stands before and after the text."""
+def grams(text: str | None) -> Iterator[np.ndarray]:
+    """The places of a text's n-grams, with repeats, piece by piece; a blank stands before and after the text."""
     data = np.concatenate([[32], lowered(text), [32]]).astype(np.uint8)
     kept = _KEPT[data]
     data = np.where(kept, data, 32)[kept | np.append(True, kept[:-1])]
-    out = []
     for lo in range(0, len(data), PIECE):
         piece = data[lo : lo + PIECE + max(GRAMS) - 1].astype(np.uint64)
         own, gram = len(data[lo : lo + PIECE]), piece
@@ -67,8 +66,16 @@ def places(text: str | None) -> np.ndarray:
             gram = gram[: len(piece) - n + 1] * np.uint64(257) + piece[n - 1 :]
             if n in GRAMS:
                 place = (gram[:own] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
-                out.append(np.unique((place >> _SHIFT).astype(np.int32)))
-    return np.concatenate(out) if out else np.zeros(0, np.int32)
+                yield (place >> _SHIFT).astype(np.int32)
+
+
+def places(text: str | None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """The distinct places of a text's n-grams, or those of them that are wanted."""
+    if wanted is not None:
+        out = [at[wanted[at]] for at in grams(text)]
+    else:
+        out = [np.unique(at) for at in grams(text)]
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int32)
 
 
 def place_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -78,7 +85,7 @@ def place_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]
         total = np.zeros((2, DIMS + 1), np.int64)
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[int(toxic), np.unique(places(text.as_py()))] += 1
+                total[int(toxic), places(text.as_py())] += 1
                 total[int(toxic), DIMS] += 1
         used = np.flatnonzero(total.any(axis=0))
         columns = [pa.array(used, pa.int32()), *[pa.array(total[k, used], pa.int64()) for k in (1, 0)]]
@@ -119,8 +126,7 @@ def _held(labelled: DataFrame, chosen: np.ndarray) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch.column(1):
-                at = places(text.as_py())
-                rows.append([str(i) for i in np.unique(at[wanted[at]])])
+                rows.append([str(i) for i in places(text.as_py(), wanted)])
             columns = [batch.column(0), pa.array(rows, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "held"])
 
@@ -173,8 +179,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         for batch in batches:
             margin = []
             for text in batch.column(1):
-                at = places(text.as_py())
-                margin.append(m["intercept"] + weight[np.unique(at[wanted[at]])].sum())
+                margin.append(m["intercept"] + weight[places(text.as_py(), wanted)].sum())
             value = 1 / (1 + np.exp(-np.clip(np.array(margin, np.float64), -700, 700)))
             value = np.where(np.isinf(margin), np.sign(margin) > 0, value).astype(np.float64)
             columns = [batch.column(0), pa.array(value), pa.array((value >= 0.5).astype(np.int32))]
@@ -190,6 +195,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     marks = labels.select(labels["doc_id"].cast("long").alias("doc_id"), (labels["toxic"] > 0).cast("int").alias("toxic"))
     marks = marks.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id"), 5, 0))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    taught = rows.where("text IS NOT NULL").where(~held_out(F.col("doc_id"), 5, 0)).join(marks, "doc_id")
+    # Labels grow with the documents: the two meet by a shuffle at any size.
+    taught = rows.where("text IS NOT NULL").where(~held_out(F.col("doc_id"), 5, 0)).join(marks.hint("merge"), "doc_id")
     found = score(rows, train(taught, sample))
     return found.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
