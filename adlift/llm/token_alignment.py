@@ -45,10 +45,12 @@ from pyspark.sql import functions as F
 from adlift.llm.frames import ship_package, written
 from adlift.llm.token_counts import _printable_bytes
 
-LANE = 2048
-CHUNK = 1 << 20
+LANE = 512
+CHUNK = 1 << 18
 #: Pairs whose counts are in every task: bounds what travels, never the result.
 FREQUENT = 1 << 18
+#: Pieces tokenized as one text.
+JOINED = 256
 #: Tokens of remembered pieces in a worker: bounds its space, never the result.
 KEPT_TOKENS = 1 << 21
 #: Distinct pairs in one row of the table of aligned texts.
@@ -88,22 +90,42 @@ class Tokenizers:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Identifiers of both sides for pieces, each after a blank, and which pieces both sides give back."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + piece for piece in pieces], add_special_tokens=False)]
-        b = self.b.encode(pieces, num_threads=1)
-        data = [b" " + piece.encode() for piece in pieces]
-        return a, b, self._given_back(a, self.a_bytes, data) & self._given_back(b, self.b_bytes, data)
+    def encode(self, pieces: list[str]) -> tuple[tuple, tuple, np.ndarray]:
+        """Identifiers and their number per piece for both sides, each piece after a blank, and which pieces both give back.
 
-    def _given_back(self, lists: list[list[int]], table: list[bytes], data: list[bytes]) -> np.ndarray:
-        """Whether the bytes of each piece's tokens are the piece: all at once, one by one only where some are not."""
-        made = [table[i] for i in chain.from_iterable(lists)]
-        if b"".join(made) == b"".join(data):
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
-            if np.array_equal(np.append(0, np.cumsum(sizes))[ends], np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))):
-                return np.ones(len(data), bool)
-        return np.array([b"".join(map(table.__getitem__, x)) == y for x, y in zip(lists, data)], bool)
+        Many pieces are tokenized as one text and taken apart again; where the
+        bytes do not come back as they were, each piece by itself.
+        """
+        data = [b" " + piece.encode() for piece in pieces]
+        lanes = [" ".join(pieces[lo : lo + JOINED]) for lo in range(0, len(pieces), JOINED)]
+        a = self._apart(self._a(lanes), self.a_bytes, self.a_sizes, data)
+        b = self._apart(self._b(lanes), self.b_bytes, self.b_sizes, data)
+        if a and b:
+            return a, b, np.ones(len(pieces), bool)
+        sides = self._a(pieces), self._b(pieces)
+        good = [
+            all(b"".join(map(table.__getitem__, ids)) == said for table, ids in ((self.a_bytes, x), (self.b_bytes, y)))
+            for said, x, y in zip(data, *sides)
+        ]
+        flat = [(list(chain.from_iterable(side)), np.array([len(x) for x in side], np.int64)) for side in sides]
+        return (*[(np.array(ids, np.int64), sizes) for ids, sizes in flat], np.array(good, bool))
+
+    def _a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
+
+    def _b(self, texts: list[str]) -> list[list[int]]:
+        return self.b.encode(texts, num_threads=1)
+
+    @staticmethod
+    def _apart(lists: list[list[int]], table: list[bytes], sizes: np.ndarray, data: list[bytes]) -> tuple | None:
+        """The tokens of joined pieces and their number per piece; None if the pieces do not come back."""
+        ids = list(chain.from_iterable(lists))
+        if b"".join(map(table.__getitem__, ids)) != b"".join(data):
+            return None
+        ids = np.array(ids, np.int64)
+        ends, wanted = np.cumsum(sizes[ids]), np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
+        last = np.searchsorted(ends, wanted)
+        return (ids, np.diff(last, prepend=-1)) if np.array_equal(ends[last], wanted) else None
 
 
 def pieces_of(text: str) -> list[str]:
@@ -117,11 +139,10 @@ class _Side:
     def __init__(self):
         self.ids, self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
-        sizes = np.array([len(x) for x in lists], np.int64)
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, ids])
 
     def tokens(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of the pieces named, in their order, and how many each has."""
@@ -147,8 +168,8 @@ class Pieces:
         new = [piece for piece in dict.fromkeys(pieces) if piece not in self.place]
         if new:
             a, b, good = self.both.encode(new)
-            self.a.add(a)
-            self.b.add(b)
+            self.a.add(*a)
+            self.b.add(*b)
             self.good = np.append(self.good, good)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
