@@ -52,7 +52,7 @@ FREQUENT = 1 << 18
 #: Pieces tokenized as one text.
 JOINED = 256
 #: Tokens of remembered pieces in a worker: bounds its space, never the result.
-KEPT_TOKENS = 1 << 21
+KEPT_TOKENS = 1 << 22
 #: Distinct pairs in one row of the table of aligned texts.
 ROW_PAIRS = 1 << 16
 _SEAM = re.compile(r"(?<=\S) (?=[!-~])")
@@ -133,22 +133,33 @@ def pieces_of(text: str) -> list[str]:
     return _SEAM.split(text)
 
 
+def _grown(kept: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+    """``kept`` with ``new`` behind its first ``used`` values; doubled where it is full."""
+    if used + len(new) > len(kept):
+        kept = np.concatenate([kept[:used], np.zeros(max(used, len(new)) + len(new), kept.dtype)])
+    kept[used : used + len(new)] = new
+    return kept
+
+
 class _Side:
     """Tokens of remembered pieces, one after the other."""
 
     def __init__(self):
-        self.ids, self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.starts, self.sizes = (np.zeros(1024, np.int32) for _ in range(3))
+        self.n_ids = self.n_pieces = 0
 
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, ids])
+        self.starts = _grown(self.starts, self.n_pieces, self.n_ids + np.cumsum(sizes) - sizes)
+        self.sizes = _grown(self.sizes, self.n_pieces, sizes)
+        self.ids = _grown(self.ids, self.n_ids, ids)
+        self.n_ids, self.n_pieces = self.n_ids + len(ids), self.n_pieces + len(sizes)
 
     def tokens(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of the pieces named, in their order, and how many each has."""
-        sizes = self.sizes[which]
+        sizes = self.sizes[which].astype(np.int64)
         first = np.cumsum(sizes) - sizes
-        return self.ids[np.repeat(self.starts[which] - first, sizes) + np.arange(int(sizes.sum()))], sizes
+        at = np.repeat(self.starts[which] - first, sizes) + np.arange(int(sizes.sum()))
+        return self.ids[at].astype(np.int64), sizes
 
 
 class Pieces:
@@ -163,7 +174,7 @@ class Pieces:
         self.a, self.b, self.good = _Side(), _Side(), np.zeros(0, bool)
 
     def find(self, pieces: list[str]) -> np.ndarray:
-        if len(self.a.ids) > KEPT_TOKENS:
+        if self.a.n_ids > KEPT_TOKENS:
             self._empty()
         new = [piece for piece in dict.fromkeys(pieces) if piece not in self.place]
         if new:
