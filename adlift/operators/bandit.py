@@ -49,6 +49,23 @@ def arm_stats(
     )
 
 
+def weighted_arms(catalog: DataFrame, served: DataFrame, prior: int = 10) -> DataFrame:
+    """The catalog with ``mab_arm_weight`` as its feedback (creative_id, shown, clicked) says.
+
+    A weight is the arm's click rate over that of its segment. The arm's rate
+    counts ``prior`` more ads with the segment's rate, the segment's one more
+    click and two more ads, so an arm without feedback weighs 1.0.
+    """
+    arms = catalog.drop("mab_arm_weight").join(served, "creative_id", "left")
+    arms = arms.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("shown", "clicked")})
+    segments = arms.groupBy("segment_id").agg(
+        ((F.sum("clicked") + 1) / (F.sum("shown") + 2)).alias("_rate")
+    )
+    rate = (F.col("clicked") + prior * F.col("_rate")) / (F.col("shown") + prior)
+    weighted = arms.join(segments, "segment_id").withColumn("mab_arm_weight", rounded(rate / F.col("_rate"), 6))
+    return weighted.select(*catalog.columns, "shown", "clicked")
+
+
 def best_arm(stats: DataFrame) -> DataFrame:
     """Per segment the arm with the highest CTR; the first in catalog order on ties."""
     ctr = ratio(F.col("clicks"), F.col("impressions"))

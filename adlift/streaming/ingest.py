@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlift import schemas as S
+from adlift.operators.attribution import dedup_latest
 from adlift.session import ship_package, use_disk_state
 
 
@@ -84,3 +86,70 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+@dataclass(frozen=True)
+class CountedIngest:
+    """Ingestion that accounts for every delivered row: kept, a replay of a kept row, or late.
+
+    ``root`` holds what was delivered and what was kept of it, one folder per
+    batch, and the late rows: those whose key was not kept, as they came behind
+    the watermark. A late key is listed once. A batch that is run again
+    replaces its folders.
+    """
+
+    root: str
+    keys: tuple[str, ...]
+    ts: str = "timestamp"
+    delay: str = S.WATERMARK
+
+    def run(self, stream: DataFrame) -> None:
+        """Ingest everything that has arrived, then stop."""
+        spark, schema = stream.sparkSession, stream.schema
+        kept = drop_replays(stream, self.keys, self.ts).withColumn("_kept", F.lit(True))
+        # Both branches read the same batch of the same source.
+        both = kept.unionByName(stream.withColumn("_kept", F.lit(False)))
+        query = (
+            both.writeStream.foreachBatch(lambda batch, number: self.account(spark, batch, schema, number))
+            .option("checkpointLocation", f"{self.root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    def account(self, spark: SparkSession, batch: DataFrame, schema: T.StructType, number: int) -> None:
+        path = f"{self.root}/delivered/batch={number}"
+        batch.write.mode("overwrite").partitionBy("_kept").parquet(path)
+        rows = spark.read.schema(T.StructType([*schema, T.StructField("_kept", T.BooleanType())])).parquet(path)
+        keys = list(self.keys)
+        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        missing = rows.where(~F.col("_kept") & known).drop("_kept")
+        missing = missing.join(rows.where("_kept").select(*keys), keys, "left_anti")
+        span = missing.agg(F.min(self.ts).alias("lo"), F.max(self.ts).alias("hi")).first()
+        late = f"{self.root}/late/batch={number}"
+        if span["lo"] is not None:
+            # Kept rows farther away than the watermark's delay are not what these are replays of.
+            delay = F.expr(f"INTERVAL {self.delay}")
+            near = F.col(self.ts).between(F.lit(span["lo"]) - delay, F.lit(span["hi"]) + delay)
+            before = self._table(spark, "delivered", schema, number).where("_kept").where(near)
+            missing = missing.join(before.select(*keys), keys, "left_anti")
+            missing = missing.join(self._table(spark, "late", schema, number).select(*keys), keys, "left_anti")
+            missing = dedup_latest(missing, keys, [self.ts])
+        else:
+            missing = missing.limit(0)
+        missing.write.mode("overwrite").parquet(late)
+
+    def _table(self, spark: SparkSession, name: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+        extra = [T.StructField("batch", T.IntegerType())]
+        extra += [T.StructField("_kept", T.BooleanType())] if name == "delivered" else []
+        full = T.StructType([*schema, *extra])
+        if before == 0:
+            return spark.createDataFrame([], full)
+        rows = spark.read.schema(full).parquet(f"{self.root}/{name}")
+        return rows if before is None else rows.where(F.col("batch") < before)
+
+    def kept(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        return self._table(spark, "delivered", schema).where("_kept").drop("_kept", "batch")
+
+    def late(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        return self._table(spark, "late", schema).drop("batch")
