@@ -813,4 +813,23 @@ FROM context x LEFT JOIN catalog k ON x.creative_id = k.creative_id""",
 WHERE attributed_click_id IS NOT NULL""",
     )
     out["stream_view_through"] = out["attribution_view_through"]
+    out["stream_late_orders"] = _with(
+        [_LINES],
+        """SELECT order_id, CAST(1 AS BIGINT) AS times,
+       date_diff('day', CAST(max("timestamp") AS DATE), (SELECT CAST(max("timestamp") AS DATE) FROM line_orders)) >= 180 AS late
+FROM line_orders GROUP BY order_id""",
+    )
+    out["creative_weights"] = _with(
+        [
+            *_BANDIT,
+            """
+fed_back AS (
+  SELECT a.creative_id, a.segment_id, COALESCE(s.n, 0) AS shown, CAST(COALESCE(s.c, 0) AS BIGINT) AS clicked
+  FROM arms0 a LEFT JOIN served s ON a.creative_id = s.creative_id),
+rates AS (SELECT segment_id, (sum(clicked) + 1) / (sum(shown) + 2) AS rate FROM fed_back GROUP BY segment_id)""",
+        ],
+        """SELECT creative_id, segment_id, shown, clicked,
+       round((clicked + 10 * rate) / (shown + 10) / rate, 6) AS mab_arm_weight
+FROM fed_back JOIN rates USING (segment_id)""",
+    )
     return out

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlift import schemas as S
 from adlift.functions.scalars import (
     affinity_match,
     heuristic_propensity,
+    hours_between,
     meal_period,
     price_sensitive,
     rounded,
@@ -23,8 +25,10 @@ from adlift.operators.evaluation import binary_metrics, stratified_split
 from adlift.session import fresh_dir
 from adlift.plans.medallion import Layers, layers
 from adlift.sources.driver_tables import base_events, numbered, table
-from adlift.streaming.attribution import TOUCH, SilverStream, matched_clicks, touches
-from adlift.streaming.ingest import append_stream, drop_replays, read_stream
+from adlift.streaming.arms import SERVED, ArmStream
+from adlift.streaming.attribution import TOUCH, SilverStream, touches
+from adlift.streaming.ingest import CountedIngest, append_stream, drop_replays, read_stream
+from adlift.streaming.interval import HEARTBEAT, SETTLED, run_interval_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -668,19 +672,23 @@ SLICES = 3
 
 def _delivered(spark: SparkSession, df: DataFrame, name: str, schema=None) -> DataFrame:
     """A stream of ``df`` as files cut by time, each row delivered twice."""
+    return _delivered_to(spark, df, name, schema)[1]
+
+
+def _delivered_to(spark: SparkSession, df: DataFrame, name: str, schema=None) -> tuple[str, DataFrame]:
     path = fresh_dir(spark, name)
     files = max(1, -(-df.count() // (SLICES * FILE_ROWS)))
     for _ in range(2):
         df.repartitionByRange(SLICES * files, "timestamp").write.mode("append").parquet(path)
-    return read_stream(spark, path, schema or df.schema, files_per_batch=2 * files)
+    return path, read_stream(spark, path, schema or df.schema, files_per_batch=2 * files)
+
+
+def _touched(*logs: tuple[DataFrame, str]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [touches(df, kind) for df, kind in logs])
 
 
 def _touch_stream(spark: SparkSession, *logs: tuple[DataFrame, str]) -> DataFrame:
-    union = None
-    for df, kind in logs:
-        part = touches(df, kind)
-        union = part if union is None else union.unionByName(part)
-    return _delivered(spark, union, "touches", TOUCH)
+    return _delivered(spark, _touched(*logs), "touches", TOUCH)
 
 
 @query
@@ -706,6 +714,7 @@ def _stream_silver(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
     ads = (t.logs.clicks, "click") if rule == "click" else (t.logs.impressions, "impression")
     job = SilverStream(fresh_dir(spark, f"silver-{rule}"), rule)
     job.run(_touch_stream(spark, (t.logs.orders, "order"), ads))
+    job.merge(spark)
     return job.silver(spark)
 
 
@@ -716,9 +725,62 @@ def stream_attribution(spark, sf_dir):
 
 @query
 def stream_click_matches(spark, sf_dir):
-    return matched_clicks(_stream_silver(spark, sf_dir, "click"))
+    """Orders with their last click from the join of the two streams; a heartbeat far ahead settles the last ones."""
+    t = layers(spark, sf_dir)
+    logs = [(t.logs.orders, "order"), (t.logs.clicks, "click")]
+    end = reduce(F.greatest, [F.lit(df.agg(F.max("timestamp")).first()[0]) for df, _ in logs])
+    path, stream = _delivered_to(spark, _touched(*logs), "touches", TOUCH)
+    ahead = {"kind": F.lit(HEARTBEAT), "timestamp": end + F.expr(f"INTERVAL {S.WATERMARK} 1 second")}
+    beat = spark.range(1).select(*[ahead.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TOUCH])
+    beat.coalesce(1).write.mode("append").parquet(path)
+    target = fresh_dir(spark, "settled")
+    run_interval_join(stream, target, f"{target}-checkpoint")
+    settled = spark.read.schema(SETTLED).parquet(target).where("click_id IS NOT NULL")
+    hours = hours_between(F.col("order_timestamp"), F.col("click_timestamp"))
+    return settled.select("order_id", "click_id", hours.alias("hours_from_click_to_order"))
 
 
 @query
 def stream_view_through(spark, sf_dir):
     return _stream_silver(spark, sf_dir, "view")
+
+
+LATE_SLICE_DAYS = 90
+
+
+@query
+def stream_late_orders(spark, sf_dir):
+    """Orders delivered newest first, in slices of 90 days: every one is kept or listed as late, and once.
+
+    The engine judges a batch by the watermark that the batch before it had,
+    so the second slice is still kept.
+    """
+    orders = A.dedup_latest(layers(spark, sf_dir).line_orders, ["order_id"], ["timestamp", "order_amount", "merchant_id"])
+    newest = orders.agg(F.max("timestamp")).first()[0]
+    behind = F.floor(F.datediff(F.lit(newest), "timestamp") / LATE_SLICE_DAYS)
+    path = fresh_dir(spark, "late-first")
+    for k in range(SLICES):
+        own = orders.where(behind == k if k < SLICES - 1 else behind >= k)
+        own.coalesce(1).write.mode("append").parquet(path)
+    job = CountedIngest(fresh_dir(spark, "counted"), ("order_id",))
+    job.run(read_stream(spark, path, orders.schema, files_per_batch=1))
+    kept = job.kept(spark, orders.schema).withColumn("late", F.lit(False))
+    found = kept.unionByName(job.late(spark, orders.schema).withColumn("late", F.lit(True)))
+    return found.groupBy("order_id").agg(F.count(F.lit(1)).alias("times"), F.max("late").alias("late"))
+
+
+@query
+def creative_weights(spark, sf_dir):
+    """The catalog's arm weights after three batches of feedback, of which some arrive twice, and a merge."""
+    t = layers(spark, sf_dir)
+    catalog = _catalog(t)
+    shown = bandit.decide(_requests(t), bandit.arm_stats(catalog), epsilon=1.0, seed="log")
+    labels = _clicked(t, dedup=True, keep=["timestamp"]).select(
+        F.col("impression_id").alias("request_id"), "timestamp", F.col("has_clicked").cast("int").alias("clicked")
+    )
+    served = shown.join(labels, "request_id").select(*SERVED.names)
+    job = ArmStream(fresh_dir(spark, "arms"))
+    job.run(_delivered(spark, served, "served", SERVED))
+    job.merge(spark)
+    weighted = bandit.weighted_arms(catalog, job.totals(spark))
+    return weighted.select("creative_id", "segment_id", "shown", "clicked", "mab_arm_weight")
