@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adlift import schemas as S
 from adlift.functions.scalars import affinity_match, ratio, rounded
 from adlift.operators.ordered import Lookup, asof_join
-from adlift.operators.skew import HOT_ROWS, hot_buckets
+from adlift.operators.skew import HOT_ROWS, KeySummary, hot_buckets
 
 
 @dataclass(frozen=True)
@@ -104,12 +104,17 @@ def training_set_point_in_time(
     ts: str = "timestamp",
     exclude: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    summaries: Mapping[str, Sequence[KeySummary]] | None = None,
 ) -> DataFrame:
-    """Observations with the features as of the last snapshot strictly before them."""
+    """Observations with the features as of the last snapshot strictly before them.
+
+    ``summaries`` by lookup key are those of the tables that observations and
+    snapshots come from (see ``hot_buckets``); with them no job runs here.
+    """
     out = observations
     for look in lookups:
         side = Lookup("snap", look.table, look.ts, look.ts, look.features, strict=True)
-        joined = asof_join(out, [side], [look.key], ts, hot_rows)
+        joined = asof_join(out, [side], [look.key], ts, hot_rows, summaries=(summaries or {}).get(look.key))
         out = joined.select(*out.columns, *[F.col(f"snap.{f}").alias(f) for f in look.features])
     return out.select(*[c for c in out.columns if c not in exclude])
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlift.functions.scalars import micros
-from adlift.operators.skew import HOT_ROWS, hot_buckets, split
+from adlift.operators.skew import HOT_ROWS, KeySummary, hot_buckets, split
 from adlift.session import fresh_dir
 
 CHUNK_US = 60 * 1_000_000
@@ -60,17 +60,19 @@ def asof_join(
     left_time: str,
     hot_rows: int = HOT_ROWS,
     count_on: Sequence[DataFrame] | None = None,
+    summaries: Sequence[KeySummary] | None = None,
 ) -> DataFrame:
     """``left`` plus, per lookup, the latest right row of the same key not after it.
 
     One shuffle of the union of both sides; no pairs are built. Left rows
     without a match keep a null struct. ``count_on`` names cheaper frames to
-    find hot keys in (say, the raw tables behind a deduplicated input).
+    find hot keys in (say, the raw tables behind a deduplicated input),
+    ``summaries`` of the tables behind both sides rule them out without a job.
     """
     keys = list(keys)
     names = [look.name for look in lookups]
     rights = [look.points(keys) for look in lookups]
-    hot = hot_buckets(count_on or [left, *rights], keys, hot_rows)
+    hot = hot_buckets(count_on or [left, *rights], keys, hot_rows, summaries)
     if not hot:
         out = _asof_by_key(left, list(zip(lookups, rights)), keys, left_time)
     else:

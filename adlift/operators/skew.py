@@ -13,9 +13,10 @@ do not depend on the choice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 BUCKETS = 65_536
@@ -28,12 +29,60 @@ def _bucket(keys: Sequence[str]):
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias(_BUCKET)
 
 
-def hot_buckets(frames: Sequence[DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+# Largest buckets that a summary names, and buckets it tracks while it counts: more than there are, so counts are exact.
+_NAMED = 1_000
+_TRACKED = 100_000
+
+
+@dataclass(frozen=True)
+class KeySummary:
+    """Rows per hash bucket of a table's keys: the largest buckets by name, a bound for each of the rest."""
+
+    keys: tuple[str, ...]
+    top: dict[int, int]
+    rest: int
+
+    def bound(self, bucket: int | None) -> int:
+        return self.top.get(bucket, self.rest)
+
+
+def write_counted(df: DataFrame, path: str, *keys: Sequence[str]) -> list[KeySummary]:
+    """Write a table and count its keys on the way, in the same job; one summary per list of keys."""
+    seen = Observation()
+    counts = [
+        F.expr(f"approx_top_k(CAST(pmod(xxhash64({', '.join(k)}), {BUCKETS}) AS INT), {_NAMED}, {_TRACKED})").alias(f"k{i}")
+        for i, k in enumerate(keys)
+    ]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").parquet(path)
+    return [_summary(tuple(k), seen.get[f"k{i}"] or []) for i, k in enumerate(keys)]
+
+
+def _summary(keys: tuple[str, ...], found: Sequence[Row]) -> KeySummary:
+    top = {r["item"]: r["count"] for r in found}
+    return KeySummary(keys, top, min(top.values()) if len(top) >= _NAMED else 0)
+
+
+def surely_cool(summaries: Sequence[KeySummary], hot_rows: int) -> bool:
+    """Whether no bucket can hold too many rows of the tables summarised, taken together."""
+    named = {b for s in summaries for b in s.top} | {None}
+    return max(sum(s.bound(b) for s in summaries) for b in named) <= hot_rows
+
+
+def hot_buckets(
+    frames: Sequence[DataFrame],
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    summaries: Sequence[KeySummary] | None = None,
+) -> list[int]:
     """Hash buckets of ``keys`` that hold too many rows of ``frames`` together.
 
-    Runs a job. The answer decides the plan, as a table size decides a join:
-    with no hot key, which is the usual case, nothing is split.
+    The answer decides the plan, as a table size decides a join: with no hot
+    key, which is the usual case, nothing is split. ``summaries`` of the tables
+    behind the frames, one for each time that a table's rows enter, rule hot
+    keys out without a job; only where they cannot, the rows are counted.
     """
+    if summaries and surely_cool(summaries, hot_rows):
+        return []
     rows = reduce(DataFrame.unionAll, [f.select(_bucket(keys), *keys) for f in frames])
     counts = rows.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
     large = [r[_BUCKET] for r in counts.collect()]

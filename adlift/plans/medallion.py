@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from adlift.operators.attribution import attribution_asof, attribution_global_last, dedup_latest
 from adlift.operators.creative import creative_catalog, customer_segments, generate, segment_profile
 from adlift.operators.gold import gold_customer_features, gold_merchant_features
+from adlift.operators.skew import KeySummary, write_counted
 from adlift.schemas import CLICK_WINDOW_DAYS
 from adlift.session import fresh_dir
 from adlift.sources.bronze import read_log
 from adlift.sources.driver_tables import AdLogs, ad_logs, line_orders
-from adlift.sources.sinks import write_silver, write_table
+from adlift.sources.sinks import by_date, write_table
+from adlift.sources.versions import publish, read_published
 
 
 @dataclass(frozen=True)
@@ -75,29 +77,29 @@ def build_silver(
     clicks, orders = _clean(spark, paths, "clicks"), _clean(spark, paths, "orders")
     attribute = attribution_asof if mode == "asof" else attribution_global_last
     silver = attribute(orders, clicks, window_days)
-    write_silver(silver, paths.silver)
-    return spark.read.parquet(paths.silver)
+    publish(by_date(silver, "order_timestamp", "order_date"), paths.silver, ["order_date"])
+    return read_published(spark, paths.silver)
 
 
 def build_gold(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
-    """Write both feature tables from silver and the ad logs."""
+    """Publish the next version of both feature tables, from silver and the ad logs."""
     impressions, clicks = _clean(spark, paths, "impressions"), _clean(spark, paths, "clicks")
-    silver = spark.read.parquet(paths.silver)
-    write_table(gold_customer_features(silver, impressions, clicks), paths.gold("customer_features"))
-    write_table(gold_merchant_features(silver), paths.gold("merchant_features"))
+    silver = read_published(spark, paths.silver)
+    publish(gold_customer_features(silver, impressions, clicks), paths.gold("customer_features"))
+    publish(gold_merchant_features(silver), paths.gold("merchant_features"))
     return (
-        spark.read.parquet(paths.gold("customer_features")),
-        spark.read.parquet(paths.gold("merchant_features")),
+        read_published(spark, paths.gold("customer_features")),
+        read_published(spark, paths.gold("merchant_features")),
     )
 
 
 def build_creatives(spark: SparkSession, paths: Paths, min_customers: int = 1) -> DataFrame:
     """Segment the gold customers and publish the approved copies per segment."""
-    customers = spark.read.parquet(paths.gold("customer_features"))
+    customers = read_published(spark, paths.gold("customer_features"))
     orders = _clean(spark, paths, "orders")
     segments = segment_profile(customer_segments(customers, orders), min_customers)
-    write_table(creative_catalog(generate(segments)), paths.gold("creative_catalog"))
-    return spark.read.parquet(paths.gold("creative_catalog"))
+    publish(creative_catalog(generate(segments)), paths.gold("creative_catalog"))
+    return read_published(spark, paths.gold("creative_catalog"))
 
 
 class Layers:
@@ -110,25 +112,38 @@ class Layers:
         self.spark = spark
         self.sf_dir = sf_dir
         self.paths = Paths(fresh_dir(spark, "layers"))
+        self.summaries: dict[tuple[str, str], KeySummary] = {}
         self._published: dict[str, DataFrame] = {}
 
     def _written(self, df: DataFrame, path: str) -> DataFrame:
         write_table(df, path)
         return self.spark.read.parquet(path)
 
+    def _log(self, df: DataFrame, log: str) -> DataFrame:
+        """A raw log as files, its customers and merchants counted while it is written."""
+        found = write_counted(df, self.paths.bronze(log), ["customer_id"], ["merchant_id"])
+        self.summaries |= {(log, *s.keys): s for s in found}
+        return self.spark.read.parquet(self.paths.bronze(log))
+
+    def key_summaries(self, *logs: str) -> dict[str, list[KeySummary]]:
+        """By key, the summaries of the logs named, once for each time a log is named."""
+        assert self.logs
+        return {key: [self.summaries[log, key] for log in logs] for key in ("customer_id", "merchant_id")}
+
     def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The gold table ``name``, built and written on first use."""
         if name not in self._published:
-            self._published[name] = self._written(build(), self.paths.gold(name))
+            publish(build(), self.paths.gold(name))
+            self._published[name] = read_published(self.spark, self.paths.gold(name))
         return self._published[name]
 
     @cached_property
     def logs(self) -> AdLogs:
         raw = ad_logs(self.spark, self.sf_dir)
         return AdLogs(
-            self._written(raw.impressions, self.paths.bronze("impressions")),
-            self._written(raw.clicks, self.paths.bronze("clicks")),
-            self._written(raw.orders, self.paths.bronze("orders")),
+            self._log(raw.impressions, "impressions"),
+            self._log(raw.clicks, "clicks"),
+            self._log(raw.orders, "orders"),
         )
 
     @cached_property

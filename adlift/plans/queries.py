@@ -349,7 +349,9 @@ def _training_in_time(t: Layers) -> DataFrame:
         features.customer_lookup(gold.customer_snapshots(t.silver, t.logs.impressions, t.logs.clicks)),
         features.merchant_lookup(gold.merchant_snapshots(t.silver)),
     ]
-    return features.training_set_point_in_time(observed, lookups)
+    # An observation is an impression or a click, a snapshot a day with some event.
+    behind = t.key_summaries("impressions", "clicks", "impressions", "clicks", "orders")
+    return features.training_set_point_in_time(observed, lookups, summaries=behind)
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlift.operators.features import primary_key_check
+from adlift.session import fresh_dir
 
 
 def by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
@@ -51,6 +52,15 @@ def register_feature_table(
     found = primary_key_check(name, df, primary_keys).first()
     if found["repeated_keys"] or found["null_key_rows"]:
         raise ValueError(f"{name}: {list(primary_keys)} is not a primary key: {found.asDict()}")
-    df.write.mode("overwrite").saveAsTable(name)
+    spark = df.sparkSession
+    # The catalog points at a folder of its own for every version, and is turned to it when that is complete.
+    folder = fresh_dir(spark, f"feature-table-{name}")
+    df.write.parquet(folder)
+    if spark.catalog.tableExists(name) and spark.table(name).schema == df.schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=folder, source="parquet", schema=df.schema)
     text = f"{description} (primary key: {', '.join(primary_keys)})".strip().replace("'", "\\'")
-    df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+    spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")

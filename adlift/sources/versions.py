@@ -20,6 +20,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def file_system(spark: SparkSession, folder: str):
+    """The file system of a folder, and its type of paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    fs, path = file_system(spark, name)
+    stream = fs.open(path(name))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    fs, path = file_system(spark, name)
+    stream = fs.create(path(name), True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 class VersionTaken(RuntimeError):
     """Another writer has committed that version."""
 
@@ -36,9 +60,7 @@ class Versions:
         return f"{self.root}/_versions"
 
     def _fs(self):
-        jvm, sc = self.spark._jvm, self.spark.sparkContext
-        path = jvm.org.apache.hadoop.fs.Path
-        return path(self._folder).getFileSystem(sc._jsc.hadoopConfiguration()), path
+        return file_system(self.spark, self._folder)
 
     def numbers(self) -> list[int]:
         fs, path = self._fs()
@@ -52,24 +74,15 @@ class Versions:
         version = version if version is not None else max(self.numbers(), default=0)
         if not version:
             return 0, []
-        fs, path = self._fs()
-        stream = fs.open(path(f"{self._folder}/{version:012d}.json"))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return version, json.loads(text)
+        return version, json.loads(read_text(self.spark, f"{self._folder}/{version:012d}.json"))
 
     def commit(self, after: int, entries: Sequence[dict]) -> int:
         """Make ``entries`` the version after ``after``."""
         fs, path = self._fs()
         version = after + 1
-        final, draft = path(f"{self._folder}/{version:012d}.json"), path(f"{self._folder}/_draft-{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
-        try:
-            stream.write(bytearray(json.dumps(list(entries)).encode()))
-        finally:
-            stream.close()
+        final = path(f"{self._folder}/{version:012d}.json")
+        draft = path(f"{self._folder}/_draft-{uuid.uuid4().hex}")
+        write_text(self.spark, draft.toString(), json.dumps(list(entries)))
         if fs.exists(final) or not fs.rename(draft, final):
             fs.delete(draft, False)
             raise VersionTaken(f"{self.root}: version {version}")

@@ -166,3 +166,23 @@ def test_rank_of_more_rows_than_the_ranges_are_sampled_from(spark, tmp_path):
     want = sorted(((r["ts"], r["id"]) for r in df.collect()), reverse=True)
     got = {r["id"]: r["rank"] for r in spark.read.parquet(f"{tmp_path}/ranks").collect()}
     assert got == {i: k for k, (_, i) in enumerate(want, 1)}
+
+
+def test_summaries_written_along_rule_out_hot_keys_without_a_job(spark, monkeypatch):
+    import adlift.operators.skew as skew
+    from adlift.session import fresh_dir
+
+    rows = spark.range(5000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).cast("string").alias("k"))
+    (found,) = skew.write_counted(rows, fresh_dir(spark, "counted"), ["k"])
+    exact = {r.b: r.n for r in rows.groupBy(F.pmod(F.xxhash64("k"), F.lit(skew.BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("n")).collect()}
+    assert all(exact[b] == n for b, n in found.top.items()) and max(exact.values()) == max(found.top.values())
+    assert all(n <= found.bound(b) for b, n in exact.items())
+    most = max(exact.values())
+    hot = skew.hot_buckets([rows], ["k"], most - 50, [found])
+    assert [exact[b] for b in hot] == [most]
+    with monkeypatch.context() as m:
+        m.setattr(skew, "reduce", lambda *a: 1 / 0)  # counting would start here
+        assert skew.hot_buckets([rows], ["k"], most, [found]) == []
+        assert skew.hot_buckets([rows, rows], ["k"], 2 * most, [found, found]) == []
+    (none,) = skew.write_counted(rows.limit(0), fresh_dir(spark, "counted"), ["k"])
+    assert none.bound(3) == 0 and skew.surely_cool([none], 0)

@@ -47,7 +47,14 @@ def test_bronze_schema_may_grow(spark, tmp_path):
 def test_feature_table_needs_a_primary_key(spark):
     good = spark.createDataFrame([("a", 1), ("b", 2)], "customer_id string, x int")
     sinks.register_feature_table(good, "customer_features_t", ["customer_id"], "customer's features")
-    assert spark.table("customer_features_t").count() == 2
+    reader = spark.table("customer_features_t")
+    assert reader.count() == 2
+    more = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5)], good.schema)
+    sinks.register_feature_table(more, "customer_features_t", ["customer_id"])
+    assert spark.table("customer_features_t").agg({"x": "sum"}).first()[0] == 12
+    wider = more.selectExpr("customer_id", "x", "x * 2 AS y")
+    sinks.register_feature_table(wider, "customer_features_t", ["customer_id"])
+    assert spark.table("customer_features_t").columns == ["customer_id", "x", "y"]
     with pytest.raises(ValueError, match="primary key"):
         sinks.register_feature_table(good.union(good), "customer_features_u", ["customer_id"])
     spark.sql("DROP TABLE customer_features_t")
