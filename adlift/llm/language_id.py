@@ -4,9 +4,9 @@ A text becomes a vector of the byte n-grams of its letters (A-Z lower-cased,
 anything else a single blank; two to four bytes, hashed to ``DIMS`` places),
 weighted by 1 + log(count) and by inverse document frequency,
 and scaled to length one. Document frequencies come from all training
-documents. Spherical k-means over at most ``SAMPLE`` training documents per
-language, the ones with the smallest hash of their id, gives ``CENTROIDS``
-centroids for each. A text gets the language of the centroid with the largest
+documents. Spherical k-means over at most ``SAMPLE`` distinct training documents
+per language, the ones with the smallest hash of id and text, gives
+``CENTROIDS`` centroids for each; a document weighs as often as it occurs. A text gets the language of the centroid with the largest
 cosine; that cosine is its score. It is marked as rejected where it lies
 farther from the centroid than ``REJECT`` times the farthest sample document of
 that centroid.
@@ -14,8 +14,9 @@ that centroid.
 Training sees only text and language of documents that are not held out; a
 prediction sees only the text. Null texts and texts without a letter are
 ``und`` with score 0, so is everything if nothing could be learned. Rows
-without a language are predicted but never learned from. Repeated rows weigh as
-often as they occur. Texts are read whole, a megabyte at a time.
+without a language are predicted but never learned from. More than ``LANGS``
+languages are an error. Texts are read whole, a megabyte at a time; further
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ CENTROIDS = 4
 ROUNDS = 8
 REJECT = 1.5
 UNKNOWN = "und"
+#: Languages of a model: bounds what is collected and broadcast.
+LANGS = 1000
 #: Bytes of a-z, and of anything beyond ASCII.
 _KEPT = np.zeros(256, bool)
 _KEPT[0x61:0x7B] = _KEPT[0x80:] = True
@@ -95,9 +98,8 @@ def _document_frequencies(docs: DataFrame) -> np.ndarray:
     return np.log((1 + found.get(-1, 0)) / (1 + df)) + 1
 
 
-def _clusters(texts: list[str], idf: np.ndarray) -> list[tuple[np.ndarray, float]]:
+def _clusters(rows: np.ndarray, weights: np.ndarray) -> list[tuple[np.ndarray, float]]:
     """Spherical k-means from spread-out starts: centroids, each with its farthest document's distance."""
-    rows = np.stack([vector(counts(t), idf) for t in texts])
     picked = [0]
     for _ in range(min(CENTROIDS, len(rows)) - 1):
         picked.append(int(np.argmin((rows @ rows[picked].T).max(axis=1))))
@@ -105,7 +107,7 @@ def _clusters(texts: list[str], idf: np.ndarray) -> list[tuple[np.ndarray, float
     for _ in range(ROUNDS):
         nearest = (rows @ centres.T).argmax(axis=1)
         for k in range(len(centres)):
-            mean = rows[nearest == k].sum(axis=0)
+            mean = (rows[nearest == k] * weights[nearest == k, None]).sum(axis=0)
             if (length := np.linalg.norm(mean)) > 0:
                 centres[k] = mean / length
     cosine = rows @ centres.T
@@ -114,26 +116,51 @@ def _clusters(texts: list[str], idf: np.ndarray) -> list[tuple[np.ndarray, float
     return list(zip(centres, far))
 
 
+def _sample(usable: DataFrame, sample: int) -> DataFrame:
+    """Of each language the ``sample`` distinct rows with the smallest draws: (lang, draw, n, text), n rows alike.
+
+    Rows are told apart by a hash of id and text, so nothing is lost or drawn
+    twice however often a row repeats; texts are not dealt by language.
+    """
+    keyed = usable.withColumn("draw", F.xxhash64("doc_id", "text"))
+    alike = written(keyed.groupBy("lang", "draw").agg(F.count("*").alias("n")), "language-rows")
+    sizes = written(alike.groupBy("lang").agg(F.count("*").alias("rows")), "language-sizes")
+    if (langs := sizes.count()) > LANGS:
+        raise ValueError(f"{langs} languages; a model holds at most {LANGS}")
+    # Twice the wanted share first, by the draw alone; the ranks are then over few rows.
+    share = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
+    few = alike.join(sizes, "lang").where(share * F.col("rows") <= 2.0 * sample + 50)
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(share, "draw"))
+    chosen = few.withColumn("rank", rank).where(F.col("rank") <= sample).select("lang", "draw", "n")
+    chosen = written(chosen, "language-chosen")  # at most LANGS * sample rows
+    met = keyed.select("lang", "draw", "text").join(chosen, ["lang", "draw"])
+    return met.groupBy("lang", "draw").agg(F.first("n").alias("n"), F.first("text").alias("text"))
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict:
     """A model from the rows (doc_id, text, lang) given: idf, centroids, their languages and reach."""
+    ship_package(docs.sparkSession)
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # As a table its size is known, and the planner need not deal the texts by language to meet it.
-    sizes = written(usable.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    # Twice the wanted share first, by hash alone; the ranks are then over few rows.
-    few = usable.withColumn("draw", draw).join(sizes, "lang").where(F.col("draw") * F.col("n") <= 2.0 * sample + 50)
-    ranked = few.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id", "text")))
-    chosen = written(ranked.where(F.col("rank") <= sample).select("lang", "text"), "language-sample")
     idf = _document_frequencies(usable)
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [counts(value.as_py()).astype(np.int32).tobytes() for value in batch.column(3)]
+            columns = [*batch.columns[:3], pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "draw", "n", "counts"])
+
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        found = _clusters(sorted(rows.text), idf)
+        rows = rows.sort_values("draw")
+        vectors = np.stack([vector(np.frombuffer(c, np.int32), idf) for c in rows["counts"]])
+        found = _clusters(vectors, rows["n"].to_numpy(np.float32))
         return pd.DataFrame(
             {"lang": rows.lang.iloc[0], "centre": [c.tobytes() for c, _ in found], "far": [f for _, f in found]}
         )
 
+    # A group is at most ``sample`` vectors of fixed size, however long the texts are.
+    chosen = _sample(usable, sample).mapInArrow(counted, "lang string, draw long, n long, counts binary")
     fitted = chosen.groupBy("lang").applyInPandas(fit, "lang string, centre binary, far double")
-    # CENTROIDS rows per language.
+    # CENTROIDS rows for each of at most LANGS languages.
     rows = sorted(fitted.collect(), key=lambda r: (r.lang, bytes(r.centre)))
     return {
         "idf": idf,

@@ -5,7 +5,8 @@ one gzip member per record and starts a new file when the compressed size
 reaches ``roll_bytes``. Every header is made anew from the page: the digest of
 the payload, a record id that follows from page id and digest, one date for the
 whole run. So a file's bytes depend on its records alone, and a task that is
-run again writes the same file.
+run again writes the same file. Spark samples the bounds of the ranges: a run
+over a table larger than its sample may cut shards elsewhere than another run.
 
 Commit: a task writes under a temporary name of its own and renames when the
 file is complete; which files belong to the archive is told by the manifest, a
@@ -21,7 +22,8 @@ pages share on the other.
 Null html is an empty payload, null urls an empty target; null page ids sort
 first and are never referred to while another page has the payload; rows with
 the same page id are records of their own: for a payload the one whose url has
-the largest hash responds, and rows equal in everything respond alike.
+the largest hash responds, and of rows equal in everything the first one
+written. A revisit of a page without id names its record, but no page.
 Other columns are not read. Pages are streamed record by record.
 """
 
@@ -59,10 +61,10 @@ def _record_id(page_id, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id}/{digest}')}>"
 
 
-def _record(page_id, url: str, payload: bytes, digest: str, keeper) -> bytes:
-    """One record: the page as a response, or as a revisit of its keeper."""
+def _record(page_id, url: str, payload: bytes, digest: str, responds: bool, keeper) -> bytes:
+    """One record: the page as a response, or as a revisit of its keeper, which may be a page without an id."""
     url = "".join(url.split())
-    if keeper is None:
+    if responds:
         body, kind = payload, "response"
     else:
         body, kind = b"", "revisit"
@@ -79,11 +81,11 @@ def _record(page_id, url: str, payload: bytes, digest: str, keeper) -> bytes:
         "Content-Type: text/html; charset=utf-8",
         f"Content-Length: {len(body)}",
     ]
-    if keeper is not None:
+    if not responds:
         head[6:6] = [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             f"WARC-Refers-To: {_record_id(keeper, digest)}",
-            f"X-Refers-To-Page: {keeper}",
+            f"X-Refers-To-Page: {'' if keeper is None else keeper}",
         ]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -184,7 +186,9 @@ def write_warc(
                 own = base64.b32encode(digest).decode()
                 if current is None:
                     current = _File(folder, shard, number)
-                current.add(_member(_record(key, target, payload, own, None if responds else keeper)))
+                current.add(_member(_record(key, target, payload, own, responds, keeper)))
+                if responds:  # rows equal in everything stand side by side: one responds
+                    known = [False, key]
                 if current.bytes >= roll_bytes:
                     done.append(current.commit())
                     current, number = None, number + 1
