@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlift.llm.decontamination import contamination
+from adlift.llm.frames import written
 from adlift.llm.mixing import mix
 from adlift.llm.near_dup import near_duplicates
 from adlift.llm.quality_rules import fails, ledger
@@ -33,19 +34,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates by shingles of five words: the one with the smallest id.
 
-    Of rows that repeat an id one stays; rows without an id stay.
+    Groups are of texts, whatever the ids: unlike texts of one id all stay, of
+    copies without an id one does. Rows without an id come last in a group.
     """
-    found = near_duplicates(docs, shingle=SHINGLE)
-    kept = found.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), (F.col("rows") > 1).alias("_repeated"))
-    met = docs.join(kept, docs.doc_id.cast("long") == F.col("_kept_id"), "left")
-    once = met.where(docs.doc_id.isNull() | ~F.coalesce("_repeated", F.lit(True))).select(*_columns(docs))
-    repeated = kept.where("_repeated").select("_kept_id")
-    several = docs.join(repeated, docs.doc_id.cast("long") == F.col("_kept_id")).select(*_columns(docs))
-    one = several.groupBy("doc_id").agg(
-        F.min_by(F.struct(*_columns(docs)), F.xxhash64(F.col("text"))).alias("_row")
-    )
-    return once.unionByName(one.select("_row.*"))
+    row = "_row_of_near_dup"
+    # The numbers are written once: the operator and the filter must see the same.
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows", compression="zstd")
+    found = near_duplicates(numbered, shingle=SHINGLE, doc_id=row).select(F.col("doc_id").alias("_no"), "component_id")
+    ids = numbered.select(F.col(row).alias("_own"), F.col("doc_id").cast("long").alias("_id"))
+    grouped = found.join(ids, F.col("_no") == F.col("_own")).groupBy("component_id")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_no"))
+    kept = grouped.agg(first.alias("first")).select(F.col("first._no").alias("_kept"))
+    return numbered.join(kept, F.col(row) == F.col("_kept"), "left_semi").select(*_columns(docs))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,14 +42,23 @@ def test_quality_stage(spark, docs, texts):
 def test_near_dup_stage(spark, docs, texts):
     kept = stages.near_dup(spark, docs, "")
     assert kept.columns == docs.columns
-    want = {r[0] for r in same_groups(texts, 5) if r[3]}
-    ids = Counter(i for i, _ in pairs(kept))
-    assert {i for i in ids if i is not None} == want - {None}
-    assert all(n == 1 for i, n in ids.items() if i is not None)
-    assert ids[None] == sum(i is None for i, _ in texts)
+    component = {r[0]: r[2] for r in same_groups([(k, t) for k, (_, t) in enumerate(texts)], 5)}
+    groups: dict[int, list] = {}
+    for k, (i, _) in enumerate(texts):
+        groups.setdefault(component[k], []).append(i)
+    first = [min((i for i in ids if i is not None), default=None) for ids in groups.values()]
+    assert Counter(i for i, _ in pairs(kept)) == Counter(first)
     assert set(pairs(kept)) <= set(texts)
 
 
+def test_near_dup_stage_with_repeated_and_missing_ids(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, one), (1, two), (None, one + " x"), (None, "c d e f g h"), (None, "c d e f g h"), (2, None), (2, None)]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string").repartition(3)
+    kept = Counter(pairs(stages.near_dup(spark, docs, "")))
+    assert kept == Counter([(1, one), (1, two), (None, "c d e f g h"), (2, None), (2, None)])
+
+
 def test_passages_stage(spark, docs, texts):
     left = stages.passages(spark, docs, "")
     assert left.columns == docs.columns
