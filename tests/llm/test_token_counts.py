@@ -57,3 +57,16 @@ def test_table(spark, library, docs, texts, no_docs):
         want.append((i, len((text or "").encode()), n, n > 1024))
     assert Counter(map(tuple, rows)) == Counter(want)
     assert token_counts(no_docs, FILE).collect() == []
+
+
+def test_long_regular_words_are_told_apart():
+    """Thue-Morse words and their complements, which agree in every sum of odd powers modulo 2**64."""
+    import numpy as np
+
+    from adlift.llm.textbytes import word_hashes
+
+    for size in (64, 128, 256, 512, 1024, 2048, 4096):
+        bits = np.array([bin(i).count("1") & 1 for i in range(size)], np.uint8)
+        data = np.concatenate([bits + 97, 98 - bits])
+        one, two = word_hashes(data, np.array([0, size]), np.array([size, 2 * size]))
+        assert one != two
