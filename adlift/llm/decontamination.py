@@ -8,7 +8,9 @@ rarest shingle.
 
 1. One pass over the documents keeps, per text, the runs of consecutive
    shingles that occur in the benchmark at all, and drops runs shorter than the
-   shortest window (length bound). The benchmark's shingles travel to the tasks
+   shortest window (length bound). A long run is kept as pieces of ``PIECE``
+   shingles that overlap by a window, so that each place of a run travels with a
+   bounded stretch around it. The benchmark's shingles travel to the tasks
    in blocks of at most ``BLOCK`` windows' shingles, one pass per block, so that
    what a task holds is bounded however many items there are.
 2. Shingles are ordered by how often they occur in the runs of all documents;
@@ -38,6 +40,8 @@ WINDOW = 13
 SHINGLE = 3
 #: Windows whose shingles are in a task at once: at most 8 * 11 bytes each.
 BLOCK = 200_000
+#: Starts of windows in one piece of a run.
+PIECE = 32
 _HIT_BITS = 22
 
 _RUN = pa.struct([("n", pa.int32()), ("start", pa.int32()), ("shingles", pa.list_(pa.int64()))])
@@ -83,8 +87,8 @@ def windows(benchmark: DataFrame, window: int = WINDOW, item_id: str = "item_id"
 class _Vocabulary:
     """The benchmark's shingles of one size: a bitmap before a binary search."""
 
-    def __init__(self, hashes: np.ndarray, shortest: int):
-        self.sorted, self.shortest = np.unique(hashes.view(np.uint64)), shortest
+    def __init__(self, hashes: np.ndarray, shortest: int, longest: int):
+        self.sorted, self.shortest, self.longest = np.unique(hashes.view(np.uint64)), shortest, longest
         self.bitmap = np.zeros(1 << _HIT_BITS, bool)
         self.bitmap[self.sorted >> np.uint64(64 - _HIT_BITS)] = True
 
@@ -97,15 +101,23 @@ class _Vocabulary:
         known[near] = self.sorted[np.minimum(at, len(self.sorted) - 1)] == hashes[near]
         return [(int(s), int(e)) for s, e in zip(*spans(known)) if e - s >= self.shortest]
 
+    def pieces(self, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The runs in pieces; a window that starts among the first PIECE places of one lies wholly in it."""
+        for start, end in self.runs(hashes):
+            for lo in range(start, max(start + 1, end - self.shortest + 1), PIECE):
+                yield lo, min(end, lo + PIECE + self.longest - 1)
+
 
 def _runs(docs: DataFrame, block: DataFrame) -> DataFrame:
-    """Per document its words and the runs of shingles that the block's windows hold."""
+    """Per document its words and the runs of shingles that the block's windows hold, in pieces."""
     held: dict[int, _Vocabulary] = {}
-    shortest = {r.n: r.least for r in block.groupBy("n").agg(F.min(F.size("shingles")).alias("least")).collect()}
-    for n, least in shortest.items():
+    each = F.size("shingles")
+    # A row per shingle size, of which there are at most SHINGLE.
+    bounds = block.groupBy("n").agg(F.min(each).alias("least"), F.max(each).alias("most")).collect()
+    for n, least, most in bounds:
         # At most BLOCK windows of WINDOW - SHINGLE + 1 shingles each.
         flat = block.where(F.col("n") == n).select(F.explode("shingles").alias("s")).distinct().toArrow()
-        held[n] = _Vocabulary(flat.column("s").to_numpy().copy(), least)
+        held[n] = _Vocabulary(flat.column("s").to_numpy().copy(), least, most)
     shipped = docs.sparkSession.sparkContext.broadcast(held)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +131,7 @@ def _runs(docs: DataFrame, block: DataFrame) -> DataFrame:
                 for n, vocabulary in vocabularies.items():
                     hashes = _same_length_hashes(words, n)
                     signed = hashes.view(np.int64)
-                    runs += [{"n": n, "start": s, "shingles": signed[s:e]} for s, e in vocabulary.runs(hashes)]
+                    runs += [{"n": n, "start": s, "shingles": signed[s:e]} for s, e in vocabulary.pieces(hashes)]
                 rows.append(runs)
             keys = [batch.column(i) for i in (0, 1, 3)]
             columns = [*keys, pa.array(counts, pa.int64()), pa.array(rows, pa.list_(_RUN))]
@@ -130,7 +142,7 @@ def _runs(docs: DataFrame, block: DataFrame) -> DataFrame:
 
 
 def _hits(found: DataFrame, block: DataFrame) -> DataFrame:
-    """Every place where a window of the block stands: (row_no, start, words, window)."""
+    """Every place where a window of the block stands, once or more: (row_no, start, words, window)."""
     runs = found.select("row_no", F.explode("runs").alias("run")).select("row_no", "run.*")
     each = runs.select("row_no", "n", "start", "shingles", F.posexplode("shingles").alias("at", "shingle"))
     rarity = each.groupBy("n", "shingle").agg(F.count("*").alias("times"))

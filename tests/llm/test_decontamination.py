@@ -63,3 +63,15 @@ def test_empty_tables(spark, docs, no_docs):
     assert all(not r.contaminated and r.n_hit == 0 for r in contamination(docs, none).collect())
     some = spark.createDataFrame([(1, "one two")], "item_id long, text string")
     assert contamination(no_docs, some).collect() == []
+
+
+def test_a_mirror_of_a_long_item(spark):
+    """Runs are cut into pieces: their size grows with the run, not with its square."""
+    rng = random.Random(8)
+    passage = [f"w{rng.randrange(5000)}" for _ in range(16_000)]
+    rows = [(i, " ".join(passage[: 16_000 - i])) for i in range(4)] + [(9, "x " + " ".join(passage[500:513]))]
+    benchmark = spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string")
+    got = contamination(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), benchmark)
+    assert {(r.doc_id, r.n_words, r.n_hit) for r in got.collect()} == {
+        (i, 16_000 - i, 16_000 - i) for i in range(4)
+    } | {(9, 14, 13)}
