@@ -100,6 +100,12 @@ def _seed(*parts) -> int:
     return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little")
 
 
+def _spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Few small rows that stand for much work, dealt over all tasks."""
+    # With a count, adaptive execution does not merge the partitions again.
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def shard_draws(plan: DataFrame, shards: int, seed: int) -> DataFrame:
     """Per source and output shard the slots drawn: (source, shard, first, slots); first numbers them across shards.
 
@@ -141,7 +147,7 @@ def shard_draws(plan: DataFrame, shards: int, seed: int) -> DataFrame:
     )
     for _ in range(max(0, math.ceil(math.log2(max(1, shards / leaf))))):
         ranges = ranges.mapInPandas(halve, "source string, lo int, hi int, first long, slots long")
-    return ranges.mapInPandas(split, "source string, shard int, first long, slots long")
+    return _spread(ranges, "source", "lo").mapInPandas(split, "source string, shard int, first long, slots long")
 
 
 def _slot_blocks(draws: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
@@ -168,20 +174,20 @@ def _slot_blocks(draws: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
                     block[own] = _feistel(slot[own] % n, int(n), _seed(seed, source, int(epoch)))
                 yield pd.DataFrame({"source": source, "shard": shard, "slot": slot, "block_no": block})
 
-    return numbered.mapInPandas(placed, "source string, shard int, slot long, block_no long")
+    return _spread(numbered, "source", "first").mapInPandas(placed, "source string, shard int, slot long, block_no long")
 
 
 def _positions(sized: DataFrame) -> DataFrame:
     """Adds ``start``, the words of the same source before a document, by running sums on two levels."""
     rows = sized.count()
     buckets = 1 << max(0, math.isqrt(max(1, rows)).bit_length())
-    dealt = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
+    dealt = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "tie"), F.lit(buckets)))
     totals = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     before = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
         "source", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0).cast("long")).alias("offset")
     )
-    inside = W.partitionBy("source", "bucket").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "bucket").orderBy("doc_id", "size", "tie").rowsBetween(W.unboundedPreceding, -1)
     local = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
     same = local.source.eqNullSafe(offsets.source) & (local.bucket == offsets.bucket)
     return local.join(offsets, same).select(
@@ -212,6 +218,7 @@ def mix(
             docs[doc_id].cast("long").alias("doc_id"),
             docs[source].cast("string").alias("source"),
             word_count(docs[text].cast("string")).alias("size"),
+            F.xxhash64(docs[text].cast("string")).alias("tie"),  # rows without an id, or with one id
         ),
         "mix-sizes",
     )
