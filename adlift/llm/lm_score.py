@@ -251,49 +251,59 @@ def _slots(rows: DataFrame) -> SlotTable:
 
 
 _TAIL = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
+_PARTS = pa.schema(
+    [("row_no", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+     ("base", pa.float64()), ("total", pa.float64()), ("rare_words", _TAIL), ("rare_grams", _TAIL)]
+)
 
 
-def _tail(keys: np.ndarray) -> list[dict]:
-    return [{"key": int(k), "times": int(n)} for k, n in zip(*_counted(keys))]
+def _tails(tails: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    """Lists of (key, times), straight from the arrays."""
+    ends = np.cumsum([0] + [len(keys) for keys, _ in tails]).astype(np.int32)
+    keys, times = (np.concatenate([t[i] for t in tails]).astype(np.int64) for i in (0, 1))
+    items = pa.StructArray.from_arrays([pa.array(keys), pa.array(times)], ["key", "times"])
+    return pa.ListArray.from_arrays(pa.array(ends), items)
 
 
 def _partial_scores(docs: DataFrame, words: SlotTable, grams: SlotTable) -> DataFrame:
-    """Per row the sums over head keys, and the tail keys with their times."""
+    """Per row the sums over head keys; beside it, rows without sums that list its tail keys with their times.
+
+    Tail keys leave with every group of texts or piece of a text that they were
+    found in, so a worker holds those of one group, however long a text is.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast((words, grams))  # at most HEAD keys each
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_word, of_gram = shipped.value
         for batch in batches:
             n = batch.num_rows
+            row_no = batch.column(0).to_numpy()
             tokens, known = np.ones(n, np.int64), np.zeros(n, np.int64)
             base, total = np.zeros(n), np.zeros(n)
-            rare_words, rare_grams = [[] for _ in range(n)], [[] for _ in range(n)]
             for numbers, lengths, all_grams, hashes in _grouped(v.as_py() for v in batch.column(2)):
                 values, found = of_gram.find(all_grams)
                 w = np.concatenate(hashes).view(np.int64)
                 w_values, w_found = of_word.find(w)
+                rows, rare_words, rare_grams = [], [], []
                 lo = w_lo = 0
                 for number, length, own in zip(numbers, lengths, hashes):
                     hi, w_hi = lo + length, w_lo + len(own)
                     total[number] += values[lo:hi].sum()
-                    if not found[lo:hi].all():
-                        rare_grams[number] += _tail(all_grams[lo:hi][~found[lo:hi]])
                     tokens[number] += len(own)
                     known[number] += int(w_found[w_lo:w_hi].sum())
                     base[number] += w_values[w_lo:w_hi].sum()
-                    if not w_found[w_lo:w_hi].all():
-                        rare_words[number] += _tail(w[w_lo:w_hi][~w_found[w_lo:w_hi]])
+                    if not (found[lo:hi].all() and w_found[w_lo:w_hi].all()):
+                        rows.append(row_no[number])
+                        rare_grams.append(_counted(all_grams[lo:hi][~found[lo:hi]]))
+                        rare_words.append(_counted(w[w_lo:w_hi][~w_found[w_lo:w_hi]]))
                     lo, w_lo = hi, w_hi
-            for start in range(0, n, 500):
-                cut = slice(start, start + 500)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[cut.start : cut.stop], batch.column(1)[cut.start : cut.stop],
-                        pa.array(tokens[cut]), pa.array(known[cut]), pa.array(base[cut]), pa.array(total[cut]),
-                        pa.array(rare_words[cut], _TAIL), pa.array(rare_grams[cut], _TAIL),
-                    ],
-                    ["row_no", "doc_id", "n_tokens", "known", "base", "total", "rare_words", "rare_grams"],
-                )
+                if rows:
+                    sums = [pa.nulls(len(rows), _PARTS.field(i).type) for i in range(1, 6)]
+                    columns = [pa.array(rows, pa.int64()), *sums, _tails(rare_words), _tails(rare_grams)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_PARTS)
+            sums = [pa.array(tokens), pa.array(known), pa.array(base), pa.array(total)]
+            columns = [batch.column(0), batch.column(1), *sums, pa.nulls(n, _TAIL), pa.nulls(n, _TAIL)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_PARTS)
 
     tail = "array<struct<key long, times long>>"
     schema = (
@@ -355,8 +365,8 @@ def score(docs: DataFrame, train: DataFrame, head: int = HEAD) -> DataFrame:
         "n",
     )
     word_values = words.select("key", F.log10(F.col("n") + 1.0).alias("value"), "n")
-    sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    n_train, vocabulary = sums["n"] or 0, sums["v"]
+    learned = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    n_train, vocabulary = learned["n"] or 0, learned["v"]
     ends = words.where(F.col("key") == END_WORD).select("n").first()
     parts = written(
         _partial_scores(
@@ -376,7 +386,8 @@ def score(docs: DataFrame, train: DataFrame, head: int = HEAD) -> DataFrame:
     word_sums = rare_words.join(word_values, "key").groupBy("row_no").agg(
         F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.col("value")).alias("rare_base")
     )
-    joined = parts.join(gram_sums, "row_no", "left").join(word_sums, "row_no", "left")
+    sums = parts.where(F.col("n_tokens").isNotNull()).drop("rare_grams", "rare_words")
+    joined = sums.join(gram_sums, "row_no", "left").join(word_sums, "row_no", "left")
     or_zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     end_count = ends["n"] if ends else 0
     base = F.col("base") + or_zero("rare_base") + float(np.log10(end_count + 1))
