@@ -16,10 +16,14 @@ from pyspark.sql import functions as F
 
 from adlift import schemas as S
 from adlift.operators.features import FEATURE_COLUMNS, batch_lookup, one_hot
-from adlift.session import shared_dir
+from adlift.session import fresh_dir
 
+#: Each level of each tree is a round of tasks, so their number is bounded whatever the rows.
+MOST_TASKS = 2_000
+VECTORS_PER_TASK = 100_000
 
-ROWS_PER_TASK = 100_000
+
+_SIDES = ((1.0, "positives"), (0.0, "negatives"))
 
 
 @dataclass(frozen=True)
@@ -34,17 +38,37 @@ class BoostingParams:
     random_state: int = 42
 
 
+def weighted_vectors(
+    matrix: DataFrame, label: str = "has_clicked", features: Sequence[str] = FEATURE_COLUMNS
+) -> DataFrame:
+    """The distinct feature vectors with ``positives`` and ``negatives``, the rows of either label.
+
+    Features come from gold tables and few categories, so vectors are as many as
+    (customer, merchant, placement, device) groups seen, not as impressions. Rows
+    without a label count for neither; vectors of such rows alone stay, with zeros.
+    """
+    return matrix.groupBy(*features).agg(
+        F.count(F.when(F.col(label) == 1, 1)).alias("positives"),
+        F.count(F.when(F.col(label) == 0, 1)).alias("negatives"),
+    )
+
+
 def train_propensity(
     matrix: DataFrame,
     label: str = "has_clicked",
     features: Sequence[str] = FEATURE_COLUMNS,
     params: BoostingParams = BoostingParams(),
 ) -> PipelineModel:
-    """Fit on the rows of ``matrix``. Runs jobs; rows stay on the executors."""
-    shared_dir(matrix.sparkSession)  # the boosting loop cuts its lineage there
+    """Fit on the rows of ``matrix``, as weighted distinct vectors. Runs jobs; rows stay on the executors.
+
+    A vector weighs as many rows as it stands for, once per label. Subsampling
+    draws vectors in place of rows.
+    """
+    folder = fresh_dir(matrix.sparkSession, "training-vectors")  # boosting cuts its lineage there, too
     trees = GBTClassifier(
         labelCol=label,
         featuresCol="features",
+        weightCol="weight",
         maxIter=params.n_estimators,
         stepSize=params.learning_rate,
         maxDepth=params.max_depth,
@@ -54,12 +78,19 @@ def train_propensity(
         checkpointInterval=10,
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    # Class count, split points and boosting each pass over the rows.
-    columns = [*features, label]
+    weights = F.explode(
+        F.array(*[F.struct(F.lit(y).alias("y"), F.col(c).cast("double").alias("w")) for y, c in _SIDES])
+    )
+    weighted_vectors(matrix, label, features).select(*features, weights.alias("side")).select(
+        *features, F.col("side.y").alias(label), F.col("side.w").alias("weight")
+    ).where("weight > 0").write.parquet(folder)
+    vectors = matrix.sparkSession.read.parquet(folder)
     # Rows are dealt and ordered by their values: subsampling follows places in partitions, and
-    # so a fit can be repeated on any cluster. Each level of each tree is a round of tasks.
-    tasks = matrix.count() // ROWS_PER_TASK + 1
-    dealt = matrix.select(*columns).repartition(tasks, *columns).sortWithinPartitions(*columns)
+    # so a fit can be repeated on any cluster.
+    tasks = min(MOST_TASKS, vectors.count() // VECTORS_PER_TASK + 1)
+    columns = [*features, label]
+    dealt = vectors.repartition(tasks, *columns).sortWithinPartitions(*columns)
+    # Class count, split points and boosting each pass over the rows.
     rows = dealt.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[assembler, trees]).fit(rows)

@@ -467,6 +467,9 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY "timestamp" DESC, orde
         [*lines, _gold("line_silver", "l_")], "SELECT * FROM l_gold_u"
     )
     out["gold_merchant_features"] = _with(gold, "SELECT * FROM gold_m")
+    # Batches must not show in the result.
+    out["gold_incremental_customers"] = _with(gold, "SELECT * FROM gold_u")
+    out["gold_incremental_merchants"] = _with(gold, "SELECT * FROM gold_m")
     out["line_merchant_features"] = _with([*lines, _gold("line_silver", "l_")], "SELECT * FROM l_gold_m")
     out["line_customer_order_agg"] = _with([*lines, _gold("line_silver", "l_")], "SELECT * FROM l_order_agg")
     out["traffic_totals"] = _with(
@@ -607,6 +610,14 @@ FROM (SELECT DISTINCT * EXCLUDE (has_clicked), 0 AS has_clicked FROM training) t
        CAST(CASE WHEN user_preferred_cuisine = merchant_cuisine THEN 1 ELSE 0 END AS DOUBLE) AS is_affinity_match,
        {hot}, CASE WHEN device = 'ios' THEN 1 ELSE 0 END AS device_ios, has_clicked FROM training""",
     )
+    out["training_vectors"] = _with(
+        training,
+        f"""SELECT {numeric},
+       CAST(CASE WHEN user_preferred_cuisine = merchant_cuisine THEN 1 ELSE 0 END AS DOUBLE) AS is_affinity_match,
+       {hot}, CASE WHEN device = 'ios' THEN 1 ELSE 0 END AS device_ios,
+       count(*) FILTER (has_clicked = 1) AS positives, count(*) FILTER (has_clicked = 0) AS negatives
+FROM training GROUP BY ALL""",
+    )
     out["training_set_point_in_time"] = _with(
         [
             *silver,

@@ -23,6 +23,7 @@ from adlift.operators import attribution as A
 from adlift.operators import bandit, creative, features, gold, governance, model
 from adlift.operators.evaluation import binary_metrics, stratified_split
 from adlift.session import fresh_dir
+from adlift.plans.incremental import IncrementalGold
 from adlift.plans.medallion import Layers, layers
 from adlift.sources.driver_tables import base_events, numbered, table
 from adlift.streaming.arms import SERVED, ArmStream
@@ -230,6 +231,43 @@ def gold_merchant_features(spark, sf_dir):
     return gold.gold_merchant_features(_silver(layers(spark, sf_dir))).drop("last_feature_update")
 
 
+_INCREMENTAL: dict[tuple[str, str], IncrementalGold] = {}
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> IncrementalGold:
+    """Gold from three batches, the last of which delivers the first one's orders again; built once per session.
+
+    Batches are dealt by id, so clicks come before their impressions as often as after.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INCREMENTAL:
+        t = layers(spark, sf_dir)
+        kept = IncrementalGold(spark, fresh_dir(spark, "incremental-gold"), buckets=8)
+
+        def dealt(df: DataFrame, column: str, batches: list[int]) -> DataFrame:
+            return df.where(F.pmod(F.xxhash64(column), F.lit(3)).isin(batches))
+
+        for batch, again in enumerate([[0], [1], [2, 0]]):
+            kept.add(
+                batch,
+                dealt(t.silver, "order_id", again),
+                dealt(t.logs.impressions, "impression_id", [batch]),
+                dealt(t.logs.clicks, "click_id", [batch]),
+            )
+        _INCREMENTAL[key] = kept
+    return _INCREMENTAL[key]
+
+
+@query
+def gold_incremental_customers(spark, sf_dir):
+    return _incremental(spark, sf_dir).customers().drop("last_feature_update")
+
+
+@query
+def gold_incremental_merchants(spark, sf_dir):
+    return _incremental(spark, sf_dir).merchants().drop("last_feature_update")
+
+
 @query
 def line_merchant_features(spark, sf_dir):
     """Merchant features of all order lines, the large order table."""
@@ -434,6 +472,12 @@ def stratified_split_(spark, sf_dir):
     return split.select("impression_id", "has_clicked", "is_test")
 
 
+@query
+def training_vectors(spark, sf_dir):
+    """What the propensity model is fitted on: distinct vectors with the rows of either label as weights."""
+    return model.weighted_vectors(features.training_matrix(_training(layers(spark, sf_dir))))
+
+
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 

@@ -30,6 +30,21 @@ def test_model_learns_a_threshold(matrix, fitted):
     assert got["auc_roc"] > 0.99
 
 
+def test_repeated_rows_are_weights(spark, matrix, fitted):
+    """A vector of n rows counts n times; the fit sees it once per label."""
+    thrice = matrix.unionByName(matrix).unionByName(matrix.withColumn("has_clicked", F.lit(None).cast("int")))
+    thrice = thrice.unionByName(matrix.limit(5).withColumn("has_clicked", F.lit(1)))
+    got = model.weighted_vectors(thrice)
+    sums = got.agg(F.count(F.lit(1)), F.sum("positives"), F.sum("negatives")).first()
+    ones = matrix.where("has_clicked = 1").count()
+    assert tuple(sums) == (matrix.count(), 2 * ones + 5, 2 * (matrix.count() - ones))
+    again = model.train_propensity(matrix.unionByName(matrix), params=PARAMS)
+    once = {r["impression_id"]: r["propensity"] for r in model.score(fitted, matrix).collect()}
+    twice = {r["impression_id"]: r["propensity"] for r in model.score(again, matrix).collect()}
+    # Doubled weights leave every split and mean as it is.
+    assert max(abs(once[i] - twice[i]) for i in once) < 1e-6
+
+
 def test_run_log_and_reload(spark, matrix, fitted):
     path = fresh_dir(spark, "runs")
     model.log_run(spark, path, "propensity", "v1", PARAMS, {"auc_roc": 0.9}, fitted, {"customer_id": ["a"]})
