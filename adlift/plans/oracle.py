@@ -467,6 +467,42 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY "timestamp" DESC, orde
         [*lines, _gold("line_silver", "l_")], "SELECT * FROM l_gold_u"
     )
     out["gold_merchant_features"] = _with(gold, "SELECT * FROM gold_m")
+    ends = ", ".join(f'(SELECT max("timestamp") FROM bronze_{log})' for log in ("impressions", "clicks", "orders"))
+    out["gold_customers_as_of"] = _with(
+        gold,
+        f"""SELECT customer_id, user_total_orders, user_ad_impressions,
+  strftime(CAST(CAST(greatest({ends}) AS DATE) + INTERVAL 1 DAY AS TIMESTAMP), {_TS}) AS last_feature_update
+FROM gold_u""",
+    )
+    out["merchant_quality"] = """SELECT 'merch_' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS merchant_id,
+  round((COALESCE(kept * 3, 0) + COALESCE(settled, 0))
+    / NULLIF(CASE WHEN kept IS NULL THEN 0 ELSE 3 END + CASE WHEN settled IS NULL THEN 0 ELSE 1 END, 0), 4)
+    AS merchant_score_quality
+FROM supplier LEFT JOIN (
+  SELECT l_suppkey, avg(CASE WHEN l_returnflag <> 'R' THEN 1.0 ELSE 0.0 END) AS kept,
+         avg(CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.0 END) FILTER (l_discount >= 0.05) AS settled
+  FROM lineitem GROUP BY l_suppkey) ON s_suppkey = l_suppkey"""
+    second = """date_trunc('second', "timestamp")"""
+    out["csv_orders"] = _with(
+        logs, f"""SELECT * REPLACE (strftime({second}, {_TS}) AS "timestamp") FROM bronze_orders"""
+    )
+    out["csv_relation"] = _with(
+        logs,
+        """SELECT cuisine, count(*) AS orders, count(DISTINCT customer_id) AS customers,
+  CAST(sum(used_coupon) AS BIGINT) AS coupons, max(order_amount) AS largest FROM bronze_orders GROUP BY cuisine""",
+    )
+    out["csv_time_order"] = _with(
+        logs,
+        f"""SELECT count(*) AS row_count, strftime(min({second}), {_TS}) AS first_time,
+  strftime(max({second}), {_TS}) AS last_time, CAST(0 AS BIGINT) AS overlapping_files FROM bronze_orders""",
+    )
+    digit = "CAST(right(click_id, 1) AS INT)"
+    out["evolving_clicks"] = _with(
+        logs,
+        f"""SELECT click_id, impression_id, strftime("timestamp", {_TS}) AS "timestamp", customer_id, merchant_id,
+  CASE WHEN {digit} % 2 = 0 THEN ad_placement END AS ad_placement,
+  CASE WHEN {digit} % 2 = 1 THEN '2.' || {digit} END AS app_version FROM bronze_clicks""",
+    )
     # Batches must not show in the result.
     out["gold_incremental_customers"] = _with(gold, "SELECT * FROM gold_u")
     out["gold_incremental_merchants"] = _with(gold, "SELECT * FROM gold_m")
@@ -610,6 +646,9 @@ FROM (SELECT DISTINCT * EXCLUDE (has_clicked), 0 AS has_clicked FROM training) t
        CAST(CASE WHEN user_preferred_cuisine = merchant_cuisine THEN 1 ELSE 0 END AS DOUBLE) AS is_affinity_match,
        {hot}, CASE WHEN device = 'ios' THEN 1 ELSE 0 END AS device_ios, has_clicked FROM training""",
     )
+    out["training_set_excluding"] = _with(
+        training, "SELECT * EXCLUDE (customer_id, merchant_id) FROM training"
+    )
     out["training_vectors"] = _with(
         training,
         f"""SELECT {numeric},
@@ -673,6 +712,12 @@ curve AS (
     / (p + (SELECT count(*) FILTER (s >= 0.25) FROM scored)), 0.0), 6) AS f1_score
 FROM totals""",
     )
+    names = ("observations", "positives", "auc_roc", "pr_auc", "log_loss", "f1_score")
+    out["run_log"] = " UNION ALL ".join(
+        f"SELECT 'propensity' AS experiment, 'heuristic' AS run_name, '{n}' AS metric, CAST({n} AS DOUBLE) AS value "
+        f"FROM ({out['binary_metrics']})"
+        for n in names
+    )
     out["stratified_split"] = _with(
         [
             _EVENTS,

@@ -7,8 +7,9 @@ from datetime import datetime, timedelta
 from functools import partial, reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from adlift import schemas as S
 from adlift.functions.scalars import (
@@ -25,6 +26,7 @@ from adlift.operators.evaluation import binary_metrics, stratified_split
 from adlift.session import fresh_dir
 from adlift.plans.incremental import IncrementalGold
 from adlift.plans.medallion import Layers, layers
+from adlift.sources import bronze, sinks
 from adlift.sources.driver_tables import base_events, numbered, table
 from adlift.streaming.arms import SERVED, ArmStream
 from adlift.streaming.attribution import TOUCH, SilverStream, touches
@@ -258,6 +260,27 @@ def _incremental(spark: SparkSession, sf_dir: str) -> IncrementalGold:
     return _INCREMENTAL[key]
 
 
+@query
+def gold_customers_as_of(spark, sf_dir):
+    """Gold stamped with a given time."""
+    t = layers(spark, sf_dir)
+    return gold.gold_customer_features(t.silver, t.logs.impressions, t.logs.clicks, _as_of(t)).select(
+        "customer_id", "user_total_orders", "user_ad_impressions", "last_feature_update"
+    )
+
+
+@query
+def merchant_quality(spark, sf_dir):
+    """Suppliers rated by their lines: not returned (three parts), and settled among the discounted (one part)."""
+    lines = table(spark, sf_dir, "lineitem")
+    settled = F.when(F.col("l_discount") >= 0.05, (F.col("l_linestatus") == "F").cast("double"))
+    ratings = lines.groupBy(numbered("merch_", "l_suppkey", 4).alias("merchant_id")).agg(
+        F.avg((F.col("l_returnflag") != "R").cast("double")).alias("not_returned"), F.avg(settled).alias("settled")
+    )
+    merchants = table(spark, sf_dir, "supplier").select(numbered("merch_", "s_suppkey", 4).alias("merchant_id"))
+    return gold.merchant_quality(merchants, ratings, {"not_returned": 3.0, "settled": 1.0})
+
+
 @query
 def gold_incremental_customers(spark, sf_dir):
     return _incremental(spark, sf_dir).customers().drop("last_feature_update")
@@ -472,6 +495,24 @@ def stratified_split_(spark, sf_dir):
     return split.select("impression_id", "has_clicked", "is_test")
 
 
+@query
+def training_set_excluding(spark, sf_dir):
+    """The training set without its keys."""
+    t = layers(spark, sf_dir)
+    lookups = [features.customer_lookup(t.customers), features.merchant_lookup(t.merchants)]
+    return features.training_set(_clicked(t), lookups, exclude=["customer_id", "merchant_id"])
+
+
+@query
+def run_log(spark, sf_dir):
+    """The heuristic's metrics as a logged run, read back."""
+    path = fresh_dir(spark, "runs")
+    metrics = binary_metrics_(spark, sf_dir).first().asDict()
+    model.log_run(spark, path, "propensity", "heuristic", model.BoostingParams(), metrics)
+    runs = spark.read.parquet(f"{path}/runs")
+    return runs.select("experiment", "run_name", F.explode("metrics").alias("metric", "value"))
+
+
 @query
 def training_vectors(spark, sf_dir):
     """What the propensity model is fitted on: distinct vectors with the rows of either label as weights."""
@@ -708,6 +749,61 @@ def row_filtered_silver(spark, sf_dir):
     return governance.filter_rows(silver, grants, "EUROPE", ["merchant_id"])
 
 
+# ---- files --------------------------------------------------------------------
+
+
+def _orders_csv(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str, StructType]:
+    """The order log as time-ordered CSV files, with the layout to read them by."""
+    path, orders = fresh_dir(spark, "orders-csv"), layers(spark, sf_dir).logs.orders
+    layout = StructType([f for f in S.ORDERS if f.name in orders.columns])
+    sinks.export_csv(orders.select(layout.fieldNames()), path)
+    return spark, path, layout
+
+
+@query
+def csv_orders(spark, sf_dir):
+    return bronze.read_csv(*_orders_csv(spark, sf_dir))
+
+
+@query
+def csv_relation(spark, sf_dir):
+    """The CSV files as a relation of SQL text."""
+    _, path, layout = _orders_csv(spark, sf_dir)
+    bronze.register_csv(spark, path, "orders_csv", layout)
+    return spark.sql(
+        """SELECT cuisine, count(*) AS orders, count(DISTINCT customer_id) AS customers, sum(used_coupon) AS coupons,
+                  max(order_amount) AS largest FROM orders_csv GROUP BY cuisine"""
+    )
+
+
+@query
+def csv_time_order(spark, sf_dir):
+    """The exported rows and how many files begin before an earlier one ends."""
+    rows = bronze.read_csv(*_orders_csv(spark, sf_dir))
+    files = rows.groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("low"), F.max("timestamp").alias("high")
+    )
+    # A row per file.
+    before = F.max("high").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("before", before).agg(
+        F.sum("n").alias("row_count"),
+        F.min("low").alias("first_time"),
+        F.max("high").alias("last_time"),
+        F.count(F.when(F.col("low") < F.col("before"), 1)).alias("overlapping_files"),
+    )
+
+
+@query
+def evolving_clicks(spark, sf_dir):
+    """A click log whose newer files have a column more and one less than the older ones."""
+    clicks, path = layers(spark, sf_dir).logs.clicks, fresh_dir(spark, "evolving-clicks")
+    newer = F.substring("click_id", -1, 1).cast("int") % 2 == 1
+    sinks.append_bronze(clicks.where(~newer), path)
+    version = F.concat(F.lit("2."), F.substring("click_id", -1, 1)).alias("app_version")
+    sinks.append_bronze(clicks.where(newer).drop("ad_placement").select("*", version), path)
+    return bronze.read_log(spark, path, "clicks").select(*S.CLICKS.fieldNames(), "app_version")
+
+
 # ---- streams ------------------------------------------------------------------
 
 
