@@ -43,8 +43,8 @@ def weighted_vectors(
 ) -> DataFrame:
     """The distinct feature vectors with ``positives`` and ``negatives``, the rows of either label.
 
-    Features come from gold tables and few categories, so vectors are as many as
-    (customer, merchant, placement, device) groups seen, not as impressions. Rows
+    Features come from gold tables and few categories, so vectors are at most as many
+    as the (customer snapshot, merchant snapshot, placement, device) groups seen. Rows
     without a label count for neither; vectors of such rows alone stay, with zeros.
     """
     return matrix.groupBy(*features).agg(

@@ -6,7 +6,9 @@ clicks on them under the customer. A batch adds its facts as a folder of its
 own; the keys in it are the touched ones. Their facts are read from their
 buckets (partition filters), the same folds as a full build run over them, and
 their rows, with the untouched rows of those buckets, become new bucket folders
-of the gold table. All other buckets stay in place and are not opened. One
+of the gold table. All other buckets of gold and of the orders stay in place
+and are not opened; to match clicks and impressions that come in different
+batches, the ids of all earlier ones are read. One
 version names the folders of facts and of both gold tables and is written last:
 a batch that dies leaves the tables as they were, one that is delivered again
 is known by its number and changes nothing.

@@ -515,7 +515,7 @@ def run_log(spark, sf_dir):
 
 @query
 def training_vectors(spark, sf_dir):
-    """What the propensity model is fitted on: distinct vectors with the rows of either label as weights."""
+    """Distinct vectors of the training set with the rows of either label as weights, as the trees are fitted on."""
     return model.weighted_vectors(features.training_matrix(_training(layers(spark, sf_dir))))
 
 
