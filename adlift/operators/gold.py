@@ -122,15 +122,19 @@ def gold_merchant_features(silver: DataFrame, as_of: Column | None = None) -> Da
     )
 
 
-def _within(ts: str, as_of: Column, days: int) -> Column:
-    """In ``(as_of - days, as_of]``."""
-    # On the column itself, so that both bounds reach the Parquet reader.
-    return (F.col(ts) > as_of - F.expr(f"INTERVAL {days} DAYS")) & (F.col(ts) <= as_of)
+def _within(df: DataFrame, ts: str, as_of: Column, days: int) -> DataFrame:
+    """The rows in ``(as_of - days, as_of]``; of a log in date folders, only the folders that can hold them are read."""
+    start = as_of - F.expr(f"INTERVAL {days} DAYS")
+    # On the columns themselves, so that the bounds reach the folders and the Parquet reader.
+    if S.EVENT_DATE in df.columns:
+        # A day wider on both sides: the writer's time zone may have been another one.
+        first, last = F.date_sub(F.to_date(start), 1), F.date_add(F.to_date(as_of), 1)
+        df = df.where(F.col(S.EVENT_DATE).between(first, last))
+    return df.where((F.col(ts) > start) & (F.col(ts) <= as_of))
 
 
 def orders_last_days(orders: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    recent = orders.where(_within("timestamp", as_of, days))
-    return recent.groupBy("customer_id").agg(
+    return _within(orders, "timestamp", as_of, days).groupBy("customer_id").agg(
         F.countDistinct("order_id").alias(f"user_orders_last_{days}d")
     )
 
@@ -139,9 +143,9 @@ def fatigue_last_days(
     impressions: DataFrame, clicks: DataFrame, as_of: Column, days: int = 7
 ) -> DataFrame:
     """The fatigue ratio over the impressions of the last days and the clicks on them."""
-    shown = impressions.where(_within("timestamp", as_of, days))
+    shown = _within(impressions, "timestamp", as_of, days)
     # A click follows its impression, so the window bounds the clicks as well.
-    hit = clicks.where(_within("timestamp", as_of, days))
+    hit = _within(clicks, "timestamp", as_of, days)
     return customer_ad_behavior(shown, hit).select(
         "customer_id",
         F.col("total_impressions").alias(f"impressions_last_{days}d"),

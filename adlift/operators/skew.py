@@ -12,11 +12,12 @@ do not depend on the choice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 BUCKETS = 65_536
@@ -46,15 +47,24 @@ class KeySummary:
         return self.top.get(bucket, self.rest)
 
 
-def write_counted(df: DataFrame, path: str, *keys: Sequence[str]) -> list[KeySummary]:
-    """Write a table and count its keys on the way, in the same job; one summary per list of keys."""
-    seen = Observation()
-    counts = [
+def key_counts(*keys: Sequence[str]) -> list[Column]:
+    """Aggregates that count keys, one for each list of them; ``summaries`` reads their values."""
+    return [
         F.expr(f"approx_top_k(CAST(pmod(xxhash64({', '.join(k)}), {BUCKETS}) AS INT), {_NAMED}, {_TRACKED})").alias(f"k{i}")
         for i, k in enumerate(keys)
     ]
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").parquet(path)
-    return [_summary(tuple(k), seen.get[f"k{i}"] or []) for i, k in enumerate(keys)]
+
+
+def summaries_of(found: Mapping[str, Any], *keys: Sequence[str]) -> list[KeySummary]:
+    return [_summary(tuple(k), found[f"k{i}"] or []) for i, k in enumerate(keys)]
+
+
+def write_counted(df: DataFrame, path: str, *keys: Sequence[str]) -> list[KeySummary]:
+    """Write a table and count its keys on the way, in the same job; one summary per list of keys."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *key_counts(*keys))
+    counted.write.mode("overwrite").parquet(path)
+    return summaries_of(seen.get, *keys)
 
 
 def _summary(keys: tuple[str, ...], found: Sequence[Row]) -> KeySummary:

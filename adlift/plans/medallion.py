@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from adlift.operators.attribution import attribution_asof, attribution_global_last, dedup_latest
 from adlift.operators.creative import creative_catalog, customer_segments, generate, segment_profile
 from adlift.operators.gold import gold_customer_features, gold_merchant_features
-from adlift.operators.skew import KeySummary, write_counted
-from adlift.schemas import CLICK_WINDOW_DAYS
+from adlift.operators.skew import KeySummary
+from adlift.schemas import CLICK_WINDOW_DAYS, EVENT_DATE
 from adlift.session import fresh_dir
 from adlift.sources.bronze import read_log
 from adlift.sources.driver_tables import AdLogs, ad_logs, line_orders
-from adlift.sources.sinks import by_date, write_table
+from adlift.sources.sinks import by_date, write_log, write_table
 from adlift.sources.versions import publish, read_published
 
 
@@ -41,7 +42,7 @@ class Paths:
 
 
 def _log(spark: SparkSession, paths: Paths, log: str) -> DataFrame:
-    return read_log(spark, paths.bronze(log), log)
+    return read_log(spark, paths.bronze(log), log).drop(EVENT_DATE)
 
 
 def _once(raw: DataFrame, log: str) -> DataFrame:
@@ -113,6 +114,7 @@ class Layers:
         self.sf_dir = sf_dir
         self.paths = Paths(fresh_dir(spark, "layers"))
         self.summaries: dict[tuple[str, str], KeySummary] = {}
+        self.lasts: dict[str, datetime | None] = {}
         self._published: dict[str, DataFrame] = {}
 
     def _written(self, df: DataFrame, path: str) -> DataFrame:
@@ -120,9 +122,10 @@ class Layers:
         return self.spark.read.parquet(path)
 
     def _log(self, df: DataFrame, log: str) -> DataFrame:
-        """A raw log as files, its customers and merchants counted while it is written."""
-        found = write_counted(df, self.paths.bronze(log), ["customer_id"], ["merchant_id"])
-        self.summaries |= {(log, *s.keys): s for s in found}
+        """A raw log as date folders, its customers, merchants and last time learned while it is written."""
+        found = write_log(df, self.paths.bronze(log), ["customer_id"], ["merchant_id"])
+        self.summaries |= {(log, *s.keys): s for s in found.summaries}
+        self.lasts[log] = found.last
         return self.spark.read.parquet(self.paths.bronze(log))
 
     def key_summaries(self, *logs: str) -> dict[str, list[KeySummary]]:
@@ -130,15 +133,18 @@ class Layers:
         assert self.logs
         return {key: [self.summaries[log, key] for log in logs] for key in ("customer_id", "merchant_id")}
 
-    def published(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def published(
+        self, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
         """The gold table ``name``, built and written on first use."""
         if name not in self._published:
-            publish(build(), self.paths.gold(name))
+            publish(build(), self.paths.gold(name), partition_by)
             self._published[name] = read_published(self.spark, self.paths.gold(name))
         return self._published[name]
 
     @cached_property
-    def logs(self) -> AdLogs:
+    def dated_logs(self) -> AdLogs:
+        """The raw logs with the column of their date folders."""
         raw = ad_logs(self.spark, self.sf_dir)
         return AdLogs(
             self._log(raw.impressions, "impressions"),
@@ -146,6 +152,23 @@ class Layers:
             self._log(raw.orders, "orders"),
         )
 
+    @cached_property
+    def logs(self) -> AdLogs:
+        t = self.dated_logs
+        return AdLogs(t.impressions.drop(EVENT_DATE), t.clicks.drop(EVENT_DATE), t.orders.drop(EVENT_DATE))
+
+    def clean(self, log: str) -> DataFrame:
+        """A log without its replays, as silver was built from it."""
+        assert self.silver
+        return _clean(self.spark, self.paths, log)
+
+    @property
+    def end(self) -> datetime:
+        """The start of the day after the logs end; nothing is read for it."""
+        assert self.dated_logs
+        last = max((e for e in self.lasts.values() if e is not None), default=datetime(1970, 1, 1))
+        return datetime(last.year, last.month, last.day) + timedelta(days=1)
+
     @cached_property
     def line_orders(self) -> DataFrame:
         return self._written(line_orders(self.spark, self.sf_dir), self.paths.bronze("line_orders"))

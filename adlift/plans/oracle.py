@@ -529,6 +529,23 @@ FROM bronze_impressions i LEFT JOIN (
   SELECT * FROM bronze_clicks WHERE "timestamp" <= {_NOW}) c
   ON i.impression_id = c.impression_id
 WHERE i."timestamp" > {_NOW} - INTERVAL 7 DAY AND i."timestamp" <= {_NOW}
+GROUP BY i.customer_id""",
+    )
+    out["orders_trailing_days"] = _with(
+        logs,
+        f"""SELECT customer_id, count(DISTINCT order_id) AS user_orders_last_14d FROM bronze_orders
+WHERE "timestamp" > {_NOW} - INTERVAL 250 HOUR - INTERVAL 14 DAY AND "timestamp" <= {_NOW} - INTERVAL 250 HOUR
+GROUP BY customer_id""",
+    )
+    out["fatigue_trailing_days"] = _with(
+        logs,
+        f"""SELECT i.customer_id, count(DISTINCT i.impression_id) AS impressions_last_7d,
+       count(DISTINCT c.click_id) AS clicks_last_7d,
+       round(count(DISTINCT i.impression_id) / (count(DISTINCT c.click_id) + 1.0), 2) AS user_ad_fatigue_last_7d
+FROM bronze_impressions i LEFT JOIN (
+  SELECT * FROM bronze_clicks WHERE "timestamp" <= {_NOW} - INTERVAL 250 HOUR) c
+  ON i.impression_id = c.impression_id
+WHERE i."timestamp" > {_NOW} - INTERVAL 250 HOUR - INTERVAL 7 DAY AND i."timestamp" <= {_NOW} - INTERVAL 250 HOUR
 GROUP BY i.customer_id""",
     )
     out["fatigue_from_daily"] = _with(

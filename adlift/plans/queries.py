@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import timedelta
 from functools import partial, reduce
 
 from pyspark.ml import PipelineModel
@@ -21,7 +21,7 @@ from adlift.functions.scalars import (
     rounded,
 )
 from adlift.operators import attribution as A
-from adlift.operators import bandit, creative, features, gold, governance, model
+from adlift.operators import bandit, creative, daily, features, gold, governance, model
 from adlift.operators.evaluation import binary_metrics, stratified_split
 from adlift.session import fresh_dir
 from adlift.plans.incremental import IncrementalGold
@@ -38,6 +38,8 @@ _REGISTRY: dict[str, Query] = {}
 
 # Segments below this size are not shown to a text generator or in reports.
 MIN_SEGMENT = 3
+# Hours between the end of the logs and the afternoon that the trailing windows look back from.
+MID_DAY = 250
 
 
 def query(build: Query) -> Query:
@@ -66,11 +68,9 @@ def plain(df: DataFrame) -> DataFrame:
 # ---- tables the queries share -------------------------------------------------
 
 
-def _as_of(t: Layers):
-    """The start of the day after the logs end, as a literal that filters can be pushed down with."""
-    ends = [log.agg(F.max("timestamp")).first()[0] for log in (t.logs.impressions, t.logs.clicks, t.logs.orders)]
-    last = max((e for e in ends if e is not None), default=datetime(1970, 1, 1))
-    return F.lit(f"{last + timedelta(days=1):%Y-%m-%d} 00:00:00").cast("timestamp")
+def _as_of(t: Layers, hours_before: int = 0):
+    """The start of the day after the logs end, or some hours before it, as a literal that filters are pushed down with."""
+    return F.lit(f"{t.end - timedelta(hours=hours_before):%Y-%m-%d %H:%M:%S}").cast("timestamp")
 
 
 def _line_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,13 +313,35 @@ def traffic_totals(spark, sf_dir):
 @query
 def orders_last_30d(spark, sf_dir):
     t = layers(spark, sf_dir)
-    return gold.orders_last_days(t.logs.orders, _as_of(t), 30)
+    return gold.orders_last_days(t.dated_logs.orders, _as_of(t), 30)
 
 
 @query
 def fatigue_last_7d(spark, sf_dir):
     t = layers(spark, sf_dir)
-    return gold.fatigue_last_days(t.logs.impressions, t.logs.clicks, _as_of(t), 7)
+    return gold.fatigue_last_days(t.dated_logs.impressions, t.dated_logs.clicks, _as_of(t), 7)
+
+
+def _window_tables(t: Layers, name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    facts = t.published(f"{name}_facts", lambda: daily.in_folders(build()), [S.EVENT_DATE])
+    days = t.published(f"{name}_days", lambda: daily.in_folders(daily.per_day(facts)), [S.EVENT_DATE])
+    return days, facts
+
+
+@query
+def orders_trailing_days(spark, sf_dir):
+    """Orders of the 14 days before an afternoon: whole days from their counts, the two cut days from the orders."""
+    t = layers(spark, sf_dir)
+    tables = _window_tables(t, "order", lambda: daily.order_facts(t.clean("orders")))
+    return daily.trailing_orders(*tables, _as_of(t, MID_DAY), 14)
+
+
+@query
+def fatigue_trailing_days(spark, sf_dir):
+    """Ad fatigue over the 7 days before an afternoon, counting the clicks known by then."""
+    t = layers(spark, sf_dir)
+    tables = _window_tables(t, "ad", lambda: daily.ad_facts(t.clean("impressions"), t.clean("clicks")))
+    return daily.trailing_fatigue(*tables, _as_of(t, MID_DAY), 7)
 
 
 @query

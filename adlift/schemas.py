@@ -49,6 +49,9 @@ PLACEMENTS = ("category_highlight", "feed_banner_top", "post_order_carousel", "s
 DEVICES = ("android", "ios")
 PERIODS = ("manha", "almoco", "jantar")
 
+# The folder column of the raw logs, the date of ``timestamp``.
+EVENT_DATE = "event_date"
+
 CLICK_WINDOW_DAYS = 7
 VIEW_WINDOW_HOURS = 24
 WATERMARK = "30 days"

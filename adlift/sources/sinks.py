@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlift.operators.features import primary_key_check
+from adlift.operators.skew import KeySummary, key_counts, summaries_of
+from adlift.schemas import EVENT_DATE
 from adlift.session import fresh_dir
+from adlift.sources.versions import write_folders
 
 
 def by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
@@ -22,8 +27,23 @@ def by_date(df: DataFrame, ts: str, name: str) -> DataFrame:
 
 def append_bronze(df: DataFrame, path: str) -> None:
     """Append to a raw log, one folder per event date."""
-    dated = by_date(df, "timestamp", "event_date")
-    dated.write.mode("append").partitionBy("event_date").parquet(path)
+    dated = by_date(df, "timestamp", EVENT_DATE)
+    dated.write.mode("append").partitionBy(EVENT_DATE).parquet(path)
+
+
+@dataclass(frozen=True)
+class LogStats:
+    """What is learned of a log while it is written: rows per key bucket, and its last time (None: no row has one)."""
+
+    summaries: list[KeySummary]
+    last: datetime | None
+
+
+def write_log(df: DataFrame, path: str, *keys: Sequence[str]) -> LogStats:
+    """Replace a raw log, one folder per event date, and learn its statistics in the same job."""
+    dated = by_date(df, "timestamp", EVENT_DATE)
+    found = write_folders(dated, path, [EVENT_DATE], F.max("timestamp").alias("last"), *key_counts(*keys))
+    return LogStats(summaries_of(found, *keys), found["last"])
 
 
 def write_silver(df: DataFrame, path: str) -> None:

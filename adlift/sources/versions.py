@@ -16,7 +16,8 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -92,11 +93,22 @@ class Versions:
         return f"{self.root}/data-{uuid.uuid4().hex}"
 
 
+def write_folders(df: DataFrame, path: str, partition_by: Sequence[str], *measures: Column) -> dict:
+    """Write ``df`` in folders by value and observe ``measures`` in the same job; without rows, an empty file with its columns."""
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
+    observed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    found = seen.get
+    if not found["rows"]:
+        df.limit(0).write.mode("overwrite").parquet(path)
+    return found
+
+
 def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     """Write ``df`` as the next version of the table at ``root``; what it was read from may be that table."""
     table = Versions(df.sparkSession, root)
     folder = table.new_folder()
-    df.write.partitionBy(*partition_by).parquet(folder) if partition_by else df.write.parquet(folder)
+    write_folders(df, folder, partition_by) if partition_by else df.write.parquet(folder)
     return table.commit(table.entries()[0], [{"path": folder}])
 
 
