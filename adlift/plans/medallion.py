@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +14,7 @@ from adlift.operators.creative import creative_catalog, customer_segments, gener
 from adlift.operators.gold import gold_customer_features, gold_merchant_features
 from adlift.operators.skew import KeySummary
 from adlift.schemas import CLICK_WINDOW_DAYS, EVENT_DATE
-from adlift.session import fresh_dir
+from adlift.session import fresh_dir, side_by_side
 from adlift.sources.bronze import read_log
 from adlift.sources.driver_tables import AdLogs, ad_logs, line_orders
 from adlift.sources.sinks import by_date, write_log, write_table
@@ -57,8 +57,12 @@ def _once(raw: DataFrame, log: str) -> DataFrame:
 
 def build_clean(spark: SparkSession, paths: Paths) -> None:
     """Write every log without its replays, once; the stages after it read that."""
-    for log in ("impressions", "clicks", "orders"):
-        write_table(_once(_log(spark, paths, log), log), paths.clean(log))
+    side_by_side(
+        *[
+            partial(write_table, _once(_log(spark, paths, log), log), paths.clean(log))
+            for log in ("impressions", "clicks", "orders")
+        ]
+    )
 
 
 def _clean(spark: SparkSession, paths: Paths, log: str) -> DataFrame:
@@ -86,8 +90,10 @@ def build_gold(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]
     """Publish the next version of both feature tables, from silver and the ad logs."""
     impressions, clicks = _clean(spark, paths, "impressions"), _clean(spark, paths, "clicks")
     silver = read_published(spark, paths.silver)
-    publish(gold_customer_features(silver, impressions, clicks), paths.gold("customer_features"))
-    publish(gold_merchant_features(silver), paths.gold("merchant_features"))
+    side_by_side(
+        partial(publish, gold_customer_features(silver, impressions, clicks), paths.gold("customer_features")),
+        partial(publish, gold_merchant_features(silver), paths.gold("merchant_features")),
+    )
     return (
         read_published(spark, paths.gold("customer_features")),
         read_published(spark, paths.gold("merchant_features")),
@@ -147,9 +153,11 @@ class Layers:
         """The raw logs with the column of their date folders."""
         raw = ad_logs(self.spark, self.sf_dir)
         return AdLogs(
-            self._log(raw.impressions, "impressions"),
-            self._log(raw.clicks, "clicks"),
-            self._log(raw.orders, "orders"),
+            *side_by_side(
+                partial(self._log, raw.impressions, "impressions"),
+                partial(self._log, raw.clicks, "clicks"),
+                partial(self._log, raw.orders, "orders"),
+            )
         )
 
     @cached_property

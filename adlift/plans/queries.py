@@ -23,7 +23,7 @@ from adlift.functions.scalars import (
 from adlift.operators import attribution as A
 from adlift.operators import bandit, creative, daily, features, gold, governance, model
 from adlift.operators.evaluation import binary_metrics, stratified_split
-from adlift.session import fresh_dir
+from adlift.session import fresh_dir, side_by_side
 from adlift.plans.incremental import IncrementalGold
 from adlift.plans.medallion import Layers, layers
 from adlift.sources import bronze, sinks
@@ -140,6 +140,8 @@ def _explored_arms(t: Layers) -> DataFrame:
 def publish(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """All gold tables that several queries read, written if they are not yet."""
     t = layers(spark, sf_dir)
+    assert t.logs
+    side_by_side(lambda: t.gold, lambda: _line_silver(t))
     return [t.customers, t.merchants, _line_silver(t), _members(t), _catalog(t), _arm_stats(t)]
 
 

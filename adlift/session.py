@@ -6,9 +6,15 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _SHIPPED: set[str] = set()
 
@@ -32,6 +38,13 @@ def build_session(master: str | None = None, app: str = "adlift", **conf: str) -
     return builder.getOrCreate()
 
 
+def side_by_side(*jobs: Callable[[], T]) -> list[T]:
+    """Run jobs that do not need each other at the same time, so that one fills the tasks another leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the workers, once per application, so that no node has to have it."""
     sc = spark.sparkContext
