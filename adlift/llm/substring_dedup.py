@@ -17,8 +17,14 @@ windows with one minimizer form a stretch. So:
    ``LENGTH`` bytes are equal windows; all but the earliest are repeated.
    Minimizers with more than ``MANY_BYTES`` of such stretches (very common
    passages in ever new surroundings) are not one task's work: their windows
-   are dealt by window hash and the earliest is found by a minimum that is
-   combined before its shuffle.
+   are dealt by window hash and ``SALTS``, and the earliest is found by minima
+   of the salts and of these.
+
+No minimizer fills a task in step 2 either: of the stretches that a task holds,
+the first ``MANY_DIGESTS`` of a minimizer travel by it, any others by their own
+digest, and these are looked at in step 3 in any case. The former are enough to
+show the minimizer's task that there are several, so the firsts of both ways are
+compared in step 3, whichever way the copies of a stretch went.
 
 The earliest occurrence of a window always lies in the first of its stretch, so
 steps 2 and 3 find every repeated window, and only those.
@@ -50,8 +56,11 @@ PIECE = 1 << 18
 #: Bytes of one minimizer's stretches that one task sorts, and of the stretches sorted together.
 MANY_BYTES = 1 << 21
 TOGETHER = 1 << 20
-#: Stretches a task holds to find equal ones among them.
+#: Stretches a task holds to find equal ones among them, and how many of these go by one minimizer (at least 2).
 _HELD = 1 << 19
+MANY_DIGESTS = 64
+#: Parts into which the places of one window are dealt.
+SALTS = 64
 _COUNT_BITS = 20
 _NO_ID = (1 << 63) - 1
 REPEATED, LOOK = 0, 1
@@ -138,8 +147,13 @@ def _places(docs: DataFrame) -> DataFrame:
         gone = np.flatnonzero(~copy)
         route = mixed(doc[gone].view(np.uint64) + place[gone].view(np.uint64)).view(np.int64)
         zero = np.zeros(len(gone), np.int64)
+        m, g = mini[kept], digest[kept]
+        begins = np.flatnonzero(np.append(True, m[1:] != m[:-1]))
+        nth = np.arange(len(m)) - np.repeat(begins, np.diff(np.append(begins, len(m))))
+        alone = nth >= MANY_DIGESTS
+        way = np.where(alone, mixed(m.view(np.uint64) + mixed(g.view(np.uint64))).view(np.int64), m)
         for rows in (
-            [mini[kept], mini[kept], digest[kept], doc[kept], tie[kept], place[kept], inside[kept]],
+            [way, m, g, doc[kept], tie[kept], place[kept], inside[kept] | alone],
             [route, zero, zero, doc[gone], tie[gone], place[gone], np.zeros(len(gone), bool)],
         ):
             for lo in range(0, len(rows[0]), 50_000):
@@ -320,10 +334,20 @@ def _common_repeats(parts: DataFrame) -> DataFrame:
                 columns = [both[:, 0], both[:, 1], np.full(n, doc.as_py()), np.full(n, tie.as_py()), at]
                 yield _batch(columns, ["w1", "w2", "doc", "tie", "start"], kinds)
 
-    windows = parts.mapInArrow(split, "w1 long, w2 long, doc long, tie long, start long")
-    first = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc", "tie", "start")).alias("first"))
-    met = windows.join(first, ["w1", "w2"]).where(F.struct("doc", "tie", "start") != F.col("first"))
-    return met.select("doc", "tie", F.shiftleft("start", _COUNT_BITS).bitwiseOR(F.lit(1).cast("long")).alias("place"))
+    place = F.struct("doc", "tie", "start")
+    windows = parts.mapInArrow(split, "w1 long, w2 long, doc long, tie long, start long").withColumn(
+        "salt", F.pmod(F.xxhash64("doc", "tie", "start"), F.lit(SALTS))
+    )
+    firsts = windows.groupBy("w1", "w2", "salt").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = written(firsts, "window-firsts")
+    # All but the first of a salt are repeated; the firsts of one window, at most SALTS, have the earliest among them.
+    several = firsts.where("n > 1").select("w1", "w2", "salt", "first")
+    later = windows.join(several, ["w1", "w2", "salt"]).where(place != F.col("first"))
+    earliest = firsts.groupBy("w1", "w2").agg(F.min("first").alias("earliest"), F.count(F.lit(1)).alias("salts"))
+    others = firsts.join(earliest.where("salts > 1"), ["w1", "w2"]).where(F.col("first") != F.col("earliest"))
+    found = later.select("doc", "tie", "start").unionByName(others.select("first.*"))
+    one = F.lit(1).cast("long")
+    return found.select("doc", "tie", F.shiftleft("start", _COUNT_BITS).bitwiseOR(one).alias("place"))
 
 
 def _whole_characters(raw: np.ndarray, gone: np.ndarray) -> np.ndarray:

@@ -64,6 +64,13 @@ def ties_of(docs):
     return {r.t: r.h for r in hashed}
 
 
+def ordered_fully(rows, docs):
+    """As ``ordered``, for hashes whose lowest 31 bits may be equal."""
+    hashed = docs.selectExpr("text", "xxhash64(text) as h").distinct().collect()
+    ties = {r.text: (r.h & 0x7FFFFFFF, (r.h >> 31) & 0x1FFFFFFFF) for r in hashed}
+    return sorted(set(rows), key=lambda r: (r[0], ties[r[1]]))
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_against_every_window(spark, docs, texts, no_docs, monkeypatch, small):
     if small:  # pieces, minimizers that are too common for a task, and batches of a few texts
@@ -71,6 +78,8 @@ def test_against_every_window(spark, docs, texts, no_docs, monkeypatch, small):
         monkeypatch.setattr(module, "PIECE", 700)
         monkeypatch.setattr(module, "TOGETHER", 3_000)
         monkeypatch.setattr(module, "_HELD", 50)
+        monkeypatch.setattr(module, "MANY_DIGESTS", 2)
+        monkeypatch.setattr(module, "SALTS", 3)
     got = [tuple(r) for r in remove_repeats(docs).collect()]
     want = brute(ordered(texts, ties_of(docs)))
     assert Counter(got) == Counter((i, *want[i, t or ""]) for i, t in texts)
@@ -88,6 +97,25 @@ def test_windows_that_repeat_inside(spark):
     assert Counter(map(tuple, remove_repeats(docs).collect())) == Counter((i, *want[i, t]) for i, t in rows)
 
 
+@pytest.mark.parametrize("most, many", [(2, 1 << 21), (2, 0), (5, 3_000), (64, 0)])
+def test_one_minimizer_in_ever_new_surroundings(spark, monkeypatch, most, many):
+    monkeypatch.setattr(module, "MANY_DIGESTS", most)
+    monkeypatch.setattr(module, "MANY_BYTES", many)
+    monkeypatch.setattr(module, "_HELD", 60)
+    monkeypatch.setattr(module, "SALTS", 4)
+    rng = random.Random(most * 7 + many)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common, fixed = "=" * 40, [word(90) for _ in range(4)]
+    rows = []
+    for i in range(150):
+        left, right = (rng.choice(fixed) if rng.random() < 0.3 else word(90) for _ in range(2))
+        rows.append((rng.randint(1, 120), left + common + right))
+    rows += [rows[3], rows[3], (7, common * 5), (8, common * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = brute(ordered_fully(rows, docs))
+    assert Counter(map(tuple, remove_repeats(docs).collect())) == Counter((i, *want[i, t]) for i, t in rows)
+
+
 def test_what_is_left_is_text(docs):
     rows = remove_repeats(docs, carry=["doc_id", "lang"]).collect()
     assert len(rows) == docs.count()
