@@ -10,8 +10,9 @@ sets that fit into their sketch: never). So lists need hold a class only under
 the ``kept - least_shared + 1`` rarest values of its sketch, and values that
 very many classes share drop out by themselves, without a cap.
 
-Within a list, pairs with its smallest class are looked at first; verified
-links make components. In lists of up to ``FEW`` classes that then still hold
+Within a list, pairs with one class are looked at first, the one whose values most
+others hold: the text that a family of edits comes from. Verified links make
+components; further stars, around others, join some more. In lists of up to ``FEW`` classes that then still hold
 different components all remaining pairs are compared. Longer ones are where a
 sketch cannot tell a family of loosely related texts apart: thousands of edits
 of one text share most values and few links. Their classes, and only those, get
@@ -52,6 +53,8 @@ SKETCH = 64
 MISS = 1e-9
 #: Classes of a list whose pairs are all compared; longer lists are taken apart by full sets.
 FEW = 24
+#: Rounds of further stars before the members that are still apart are compared pair by pair.
+TURNS = 3
 #: Jaccard threshold in hundredths.
 THRESHOLD = 80
 
@@ -99,7 +102,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _postings(classes: DataFrame, threshold: int) -> DataFrame:
-    """(value, cls, n): every class under the rarest of its retained values, as far as others share them."""
+    """(value, cls, n, weight): every class under the rarest of its retained values, as far as others share them."""
     values = classes.select("cls", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     values = values.repartition("value")
     shared = values.groupBy("value").agg(F.count("*").alias("times")).where("times > 1")
@@ -112,8 +115,10 @@ def _postings(classes: DataFrame, threshold: int) -> DataFrame:
     needed = F.when(whole, exact).otherwise(F.least(exact, F.lit(least_shared(SKETCH, threshold))))
     prefix = (F.col("k") - needed + 1) - (F.col("k") - F.size("own"))
     taken = F.slice("own", F.lit(1), F.greatest(F.lit(0), F.least(prefix, F.size("own"))))
-    listed = common.select("cls", "n", F.explode(taken).alias("p")).select(F.col("p.value").alias("value"), "cls", "n")
-    return listed
+    # How often others hold a class's values: most for the text that a family of edits comes from.
+    weight = F.aggregate("own", F.lit(0).cast("long"), lambda total, x: total + x["times"])
+    listed = common.select("cls", "n", weight.alias("weight"), F.explode(taken).alias("p"))
+    return listed.select(F.col("p.value").alias("value"), "cls", "n", "weight")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
@@ -137,6 +142,31 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     )
 
 
+def _named(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists with the component of every class, itself where nothing is linked to it."""
+    return lists.join(found, lists.cls == found.node, "left").select(
+        "value", "cls", "n", F.coalesce("component", "cls").alias("component")
+    )
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are of different components."""
+    ends = [found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
+    both = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _other_stars(named: DataFrame, turn: int, threshold: int) -> DataFrame:
+    """Pairs (a, b) of every list's members with one that a hash takes, another in every list and turn, if components differ."""
+    head = F.min(F.struct(F.xxhash64(F.lit(turn), "value", "cls").alias("h"), "cls", "n", "component")).alias("head")
+    heads = named.groupBy("value").agg(
+        head, F.min("component").alias("lo"), F.max("component").alias("hi")
+    ).where("lo < hi").select("value", "head")
+    fits = 100 * F.least("n", "head.n") >= threshold * F.greatest("n", "head.n")
+    met = named.join(heads, "value").where(fits & (F.col("component") != F.col("head.component")))
+    return met.select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b")).distinct()
+
+
 def _all_pairs(lists: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components and matching sizes within lists of few classes."""
     own = lists.groupBy("value").agg(F.collect_list(F.struct("cls", "n", "component")).alias("own"))
@@ -254,8 +284,10 @@ def near_duplicates(
     )
     lists = written(_postings(classes, threshold), "inverted-lists")
 
-    # First every list's members with its smallest; of those, first the likeliest partner of each class.
-    heads = lists.groupBy("value").agg(F.min("cls").alias("a"), F.count("*").alias("members")).where("members > 1")
+    # First every list's members with its weightiest; of those, first the likeliest partner of each class.
+    heads = lists.groupBy("value").agg(
+        F.max(F.struct("weight", "cls"))["cls"].alias("a"), F.count("*").alias("members")
+    ).where("members > 1")
     stars = lists.join(heads, "value").where(F.col("cls") != F.col("a")).select("a", F.col("cls").alias("b"))
     candidates = written(_estimated(stars.distinct(), classes, threshold), "star-pairs")
     best = candidates.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best"))
@@ -265,10 +297,20 @@ def near_duplicates(
     )
     found = written(components(links), "first-components")
 
-    # Then whatever a list holds of different components.
-    named = lists.join(found, lists.cls == found.node, "left").select(
-        "value", "cls", "n", F.coalesce("component", "cls").alias("component")
-    )
+    # Then the other stars between what is still apart, and stars around other members: components that
+    # grow together here leave no pairs to the last step.
+    for turn in range(TURNS):
+        apart = _apart(candidates, found) if turn == 0 else _estimated(
+            _other_stars(_named(lists, found), turn, threshold), classes, threshold
+        )
+        joined = written(_verified(apart.select("a", "b"), rows, classes, shingle, threshold), "turn-links")
+        if joined.isEmpty() and turn:
+            break
+        links = links.unionByName(joined)
+        found = written(components(links), "turn-components")
+
+    # Last whatever a list holds of different components.
+    named = _named(lists, found)
     sizes = named.groupBy("value").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")
     )

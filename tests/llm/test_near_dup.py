@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from adlift.llm.components import components
+import adlift.llm.near_dup as near_dup
 from adlift.llm.near_dup import least_shared, near_duplicates
 from odd_texts import docs, no_docs, texts  # noqa: F401  fixtures
 
@@ -85,3 +86,11 @@ def test_a_family_of_loose_edits(spark):
         rows.append((i, " ".join(words[: rng.choice([120, 118, 105])])))
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert Counter(map(tuple, near_duplicates(frame).collect())) == brute(rows)
+
+
+def test_turns_change_no_class(spark, docs, monkeypatch):
+    found = []
+    for turns in (0, 3):
+        monkeypatch.setattr(near_dup, "TURNS", turns)
+        found.append(sorted(map(str, near_dup.near_duplicates(docs).collect())))
+    assert found[0] == found[1]
