@@ -100,7 +100,7 @@ def test_one_query_per_operator(spark):
     from __spark_entry__ import oracle_sql, queries as entry
 
     numbers = [int(m[1]) for n in entry() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry()
     assert set(sql.statements()) <= set(oracle_sql())
 
 
