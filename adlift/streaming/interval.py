@@ -8,6 +8,11 @@ event-time timer does that for pairs that see no further events. So each order
 leaves once, with its last click inside the window or without one, and the
 state is bounded by what happens within the watermark's delay.
 
+Pairs are dealt into a fixed number of hash buckets, and a bucket is the key of
+the state: its pairs are settled together, in one pass over sorted arrays, and
+its rows are one value of the state. The operator's cost per key, several calls
+between the worker and the state store, is so paid per bucket and not per pair.
+
 Replayed events are taken once: by their id while they are in the state, and as
 late rows after that. Events without an id are never copies of each other.
 Rows behind the watermark are dropped by the engine; ``ingest`` counts them.
@@ -16,11 +21,12 @@ Rows behind the watermark are dropped by the engine; ``ingest`` counts them.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,105 +51,142 @@ SETTLED = T.StructType(
 )
 #: Kind of a row that carries nothing but event time, so that a quiet stream moves on.
 HEARTBEAT = "heartbeat"
+#: Keys of the state. More of them make each value smaller; a running stream cannot change their number.
+BUCKETS = 1_024
 _COLUMNS = ["kind", "event_id", "at"]
+_STATE = pa.schema([(c, pa.int64() if c == "at" else pa.string()) for c in [*_COLUMNS, *PAIR]])
 
 
-def _waiting(rows: pd.DataFrame) -> pd.DataFrame:
-    """Events once each, in order of time and id."""
+def _waiting(rows: pd.DataFrame, by: Sequence[str]) -> pd.DataFrame:
+    """Events once each, by pair in order of time and id, clicks before the orders of their time."""
+    pair = np.zeros(len(rows), np.int64)
+    for c in by:
+        own, names = pd.factorize(rows[c], use_na_sentinel=False)
+        pair = pair * max(1, len(names)) + own
+    rows = rows.assign(_pair=pair, _last=rows["kind"] == "order")
     known = rows["event_id"].notna()
-    once = pd.concat([rows[known].drop_duplicates(["kind", "event_id"]), rows[~known]])
-    return once.sort_values(["at", "event_id"], kind="stable", na_position="first").reset_index(drop=True)
-
-
-def settle(rows: pd.DataFrame, watermark: int, window: int) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """Orders at or below the watermark with their last click, and what has to wait on; times in microseconds."""
-    rows = _waiting(rows)
-    orders, clicks = rows[rows["kind"] == "order"], rows[rows["kind"] == "click"]
-    due = orders[orders["at"] <= watermark]
-    times = clicks["at"].to_numpy(np.int64)
-    last = np.searchsorted(times, due["at"].to_numpy(np.int64), "right") - 1
-    met = last >= 0
-    met[met] = due["at"].to_numpy(np.int64)[met] - times[last[met]] <= window
-    out = pd.DataFrame({"order_id": due["event_id"].to_numpy(object), "order_at": due["at"].to_numpy(np.int64)})
-    out["click_id"] = np.where(met, clicks["event_id"].to_numpy(object)[last] if len(clicks) else None, None)
-    out["click_at"] = np.where(met, times[last] if len(clicks) else 0, -1)
-    below = int(np.searchsorted(times, watermark, "right"))
-    kept = clicks.iloc[max(0, below - 1) :]
+    once = pd.concat([rows[known].drop_duplicates(["_pair", "kind", "event_id"]), rows[~known]])
+    return once.sort_values(["_pair", "at", "_last", "event_id"], na_position="first").reset_index(drop=True)
+
+
+def settle(
+    rows: pd.DataFrame, watermark: int, window: int, by: Sequence[str] = ()
+) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Orders at or below the watermark with their last click, and what has to wait on; times in microseconds.
+
+    Orders take clicks with the same values of ``by``, of which nulls are one.
+    """
+    rows = _waiting(rows, by)
+    ids, pair, at = rows["event_id"].to_numpy(object), rows["_pair"].to_numpy(), rows["at"].to_numpy(np.int64)
+    order, click = (rows["kind"] == "order").to_numpy(), (rows["kind"] == "click").to_numpy()
+    newest = np.maximum.accumulate(np.where(click, np.arange(len(rows)), -1))
+    due = np.flatnonzero(order & (at <= watermark))
+    last = newest[due]
+    met = (last >= 0) & (pair[last] == pair[due]) & (at[due] - at[last] <= window)
+    out = pd.DataFrame(
+        {
+            "order_id": ids[due],
+            "order_at": at[due],
+            "click_id": np.where(met, ids[last], None),
+            "click_at": np.where(met, at[last], -1),
+            **{c: rows[c].to_numpy(object)[due] for c in by},
+        }
+    )
+    clicks = np.flatnonzero(click)
+    above = at[clicks] > watermark
+    # Of a pair's clicks below the watermark, the newest: none follows, or one above.
+    end = np.append(above[1:] | (pair[clicks][1:] != pair[clicks][:-1]), True)[: len(clicks)]
     # A click that no order above the watermark can take is of no use.
-    kept = kept[kept["at"] > watermark - window]
-    return out, pd.concat([orders[orders["at"] > watermark], kept])[_COLUMNS]
+    useful = clicks[(above | end) & (at[clicks] > watermark - window)]
+    kept = np.sort(np.append(np.flatnonzero(order & (at > watermark)), useful))
+    return out, rows.iloc[kept][[*_COLUMNS, *by]]
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _STATE) as writer:
+        writer.write_table(pa.Table.from_pandas(rows, _STATE, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: bytes) -> pd.DataFrame:
+    with pa.ipc.open_stream(value) as reader:
+        return reader.read_pandas()
 
 
 class LastClick(StatefulProcessor):
-    """Settles the orders of one pair; see the module."""
+    """Settles the orders of one bucket of pairs; see the module."""
 
     def __init__(self, window_us: int):
         self.window = window_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = "kinds array<string>, ids array<string>, times array<long>, timer long"
-        self.state = handle.getValueState("waiting", fields)
+        self.state = handle.getValueState("waiting", "rows binary, timer long")
 
-    def _step(self, key, new: list[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def _step(self, new: list[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         watermark = timer_values.getCurrentWatermarkInMs() * 1000
         timer, parts = None, list(new)
-        if self.state.exists():
-            kinds, ids, times, timer = self.state.get()
-            parts.insert(0, pd.DataFrame({"kind": list(kinds), "event_id": list(ids), "at": list(times)}))
+        value = self.state.get()
+        if value is not None:
+            packed, timer = value
+            parts.insert(0, _unpacked(bytes(packed)))
         if not parts:
             return
-        settled, rest = settle(pd.concat(parts, ignore_index=True), watermark, self.window)
-        orders = rest.loc[rest["kind"] == "order", "at"]
+        settled, rest = settle(pd.concat(parts, ignore_index=True), watermark, self.window, PAIR)
         if len(rest):
-            # With orders the timer settles the first; with clicks alone it forgets them.
-            first = int(orders.min()) if len(orders) else int(rest["at"].max()) + self.window
+            # The timer settles the first order, or forgets the first click.
+            first = int((rest["at"] + np.where(rest["kind"] == "order", 0, self.window)).min())
             due = first // 1000 + 1
-            if timer is not None and timer >= 0 and timer != due:
+            if timer is not None and timer != due:
                 self.handle.deleteTimer(timer)
             if timer != due:
                 self.handle.registerTimer(due)
-            ids = [None if pd.isna(i) else i for i in rest["event_id"]]
-            self.state.update((rest["kind"].tolist(), ids, [int(x) for x in rest["at"]], due))
-        elif self.state.exists():
-            if timer is not None and timer > watermark // 1000:
+            self.state.update((_packed(rest), due))
+        elif value is not None:
+            if timer > watermark // 1000:
                 self.handle.deleteTimer(timer)
             self.state.clear()
         if len(settled):
-            stamp = lambda us: pd.to_datetime(us, unit="us")
+            # As whole microseconds: pandas would take nullable ones through doubles.
+            clicked = settled["click_at"].to_numpy("datetime64[us]").copy()
+            clicked[settled["click_at"] == -1] = np.datetime64("NaT")
             yield pd.DataFrame(
                 {
                     "order_id": settled["order_id"],
-                    "order_timestamp": stamp(settled["order_at"]),
-                    "customer_id": key[0],
-                    "merchant_id": key[1],
+                    "order_timestamp": settled["order_at"].to_numpy("datetime64[us]"),
+                    "customer_id": settled["customer_id"],
+                    "merchant_id": settled["merchant_id"],
                     "click_id": settled["click_id"],
-                    "click_timestamp": stamp(settled["click_at"].where(settled["click_at"] >= 0)),
+                    "click_timestamp": clicked,
                 }
             )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._step(key, [r[_COLUMNS] for r in rows], timerValues)
+        yield from self._step([r[[*_COLUMNS, *PAIR]] for r in rows], timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._step(key, [], timerValues)
+        yield from self._step([], timerValues)
 
     def close(self) -> None:
         pass
 
 
-def settled_orders(touched: DataFrame, window_days: float = S.CLICK_WINDOW_DAYS, delay: str = S.WATERMARK) -> DataFrame:
+def settled_orders(
+    touched: DataFrame, window_days: float = S.CLICK_WINDOW_DAYS, delay: str = S.WATERMARK, buckets: int = BUCKETS
+) -> DataFrame:
     """A stream of touches (orders, clicks, heartbeats) as a stream of settled orders."""
     spark = touched.sparkSession
     use_disk_state(spark)
     # The process that asks for the state's layout sees no shipped files: the operator travels by value.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     # Of the state only ids and times are kept; other columns are not even shuffled.
+    bucket = F.pmod(F.xxhash64(*PAIR), F.lit(buckets)).alias("bucket")
     rows = touched.withWatermark("timestamp", delay).select(
-        "kind", "event_id", *PAIR, F.unix_micros("timestamp").alias("at"), "timestamp"
+        bucket, "kind", "event_id", *PAIR, F.unix_micros("timestamp").alias("at"), "timestamp"
     )
     window = int(timedelta(days=window_days) / timedelta(microseconds=1))
-    return rows.groupBy(*PAIR).transformWithStateInPandas(LastClick(window), SETTLED, "Append", "EventTime")
+    return rows.groupBy("bucket").transformWithStateInPandas(LastClick(window), SETTLED, "Append", "EventTime")
 
 
 def run_interval_join(touched: DataFrame, target: str, checkpoint: str, **options) -> list[dict]:

@@ -182,3 +182,25 @@ def test_interval_join_of_two_streams_holds_a_bounded_state(spark):
     assert got == {(f"o{k}", f"b{k}") for k in range(4)} | {(f"n{k}", None) for k in range(4)}
     rows = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in progress]
     assert max(rows) <= 4 and rows[-1] == 0  # two pairs, each with its value and its timer at most
+
+
+def test_interval_join_keeps_one_state_per_bucket_of_pairs(spark):
+    source, target = fresh_dir(spark, "source"), fresh_dir(spark, "settled")
+    pairs = [(f"c{k % 20}" if k % 7 else None, f"m{k}") for k in range(60)]
+    orders = [order(f"o{k}", 9 * DAY, customer=c, merchant=m) for k, (c, m) in enumerate(pairs)]
+    clicks = [click(f"a{k}", (8 if k % 2 else 1) * DAY, customer=c, merchant=m) for k, (c, m) in enumerate(pairs)]
+    beats = [
+        spark.range(1).select(
+            *[F.lit({"kind": HEARTBEAT, "timestamp": at(days * DAY)}.get(f.name)).cast(f.dataType).alias(f.name) for f in TOUCH]
+        )
+        for days in (10, 60)
+    ]
+    logs = touches(spark.createDataFrame(orders, ORDER), "order").unionByName(touches(spark.createDataFrame(clicks, CLICK), "click"))
+    for df in (logs, *beats):
+        df.coalesce(1).write.mode("append").parquet(source)
+    stream = read_stream(spark, source, TOUCH, files_per_batch=1)
+    progress = run_interval_join(stream, target, f"{target}-checkpoint", delay="30 days", buckets=4)
+    got = {(r.order_id, r.customer_id, r.merchant_id, r.click_id) for r in spark.read.schema(SETTLED).parquet(target).collect()}
+    assert got == {(f"o{k}", c, m, f"a{k}" if k % 2 else None) for k, (c, m) in enumerate(pairs)}
+    rows = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in progress]
+    assert 0 < max(rows) <= 8 and rows[-1] == 0  # four buckets, each with its value and its timer
