@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 import adlift.sources.versions as versions
 from adlift.operators.bandit import weighted_arms
+from adlift.plans.queries import _exact_files
 from adlift.session import fresh_dir
 from adlift.sources.versions import Versions, VersionTaken, publish, read_published
 from adlift.streaming.arms import SERVED, ArmStream
 from adlift.streaming.attribution import TOUCH, SilverStream, touches
-from adlift.streaming.ingest import CountedIngest, read_stream
+from adlift.streaming.ingest import CountedIngest, append_stream, read_stream
 from adlift.streaming.interval import HEARTBEAT, SETTLED, run_interval_join, settle
 
 DAY = 86_400
@@ -204,3 +205,15 @@ def test_interval_join_keeps_one_state_per_bucket_of_pairs(spark):
     assert got == {(f"o{k}", c, m, f"a{k}" if k % 2 else None) for k, (c, m) in enumerate(pairs)}
     rows = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in progress]
     assert 0 < max(rows) <= 8 and rows[-1] == 0  # four buckets, each with its value and its timer
+
+
+def test_a_slice_is_dealt_into_exactly_as_many_files_as_a_batch_takes(spark):
+    path = fresh_dir(spark, "slices")
+    for rows in (1_000, 1, 0):
+        _exact_files(spark.range(rows), path, 3)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).count()
+    assert spark.read.parquet(path).count() == 1_001 and max(r["count"] for r in files.collect()) < 400
+    target, stream = fresh_dir(spark, "taken"), read_stream(spark, path, spark.range(0).schema, files_per_batch=3)
+    append_stream(stream, target, f"{target}-checkpoint")
+    taken = {r.batch: r["count"] for r in spark.read.parquet(target).groupBy("batch").count().collect()}
+    assert taken == {0: 1_000, 1: 1}
