@@ -47,7 +47,8 @@ def order_profile(silver: DataFrame, key: str) -> DataFrame:
         .agg(F.min(F.struct((-F.col("n")).alias("n"), "cuisine")).alias("best"))
         .select("_key", "best.cuisine")
     )
-    return totals.join(favourites, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    # A row per key on either side: neither is collected for a broadcast.
+    return totals.join(favourites.hint("merge"), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def customer_order_agg(silver: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def customer_ad_behavior(impressions: DataFrame, clicks: DataFrame) -> DataFrame
     """
     seen = impressions.select("customer_id", "impression_id").distinct()
     clicked = (
-        seen.join(clicks.select("impression_id", "click_id").distinct(), "impression_id")
+        seen.join(clicks.select("impression_id", "click_id").distinct().hint("merge"), "impression_id")
         .select("customer_id", "click_id")
         .distinct()
     )
@@ -95,7 +96,7 @@ def gold_customer_features(
 ) -> DataFrame:
     """One row per customer who saw an ad; order features default where there are no orders."""
     joined = customer_ad_behavior(impressions, clicks).join(
-        customer_order_agg(silver), "customer_id", "left"
+        customer_order_agg(silver).hint("merge"), "customer_id", "left"
     )
     joined = joined.withColumnsRenamed(
         {"total_impressions": "user_ad_impressions", "total_clicks": "user_ad_clicks"}

@@ -105,8 +105,9 @@ class IncrementalGold:
         is_view = F.col("click_id").isNull()
         views = [self._facts(e, "ads").where(is_view).drop("click_id") for e in (old, new)]
         hits = [self._facts(e, "clicks") for e in (old, new)]
-        met = hits[1].join(views[0].unionByName(views[1]), "impression_id").unionByName(
-            hits[0].join(views[1], "impression_id")
+        # Ids of events: no side goes through the driver, however small its files are.
+        met = hits[1].join(views[0].unionByName(views[1]).hint("merge"), "impression_id").unionByName(
+            hits[0].join(views[1].hint("merge"), "impression_id")
         )
         return met.select("customer_id", "impression_id", "click_id").distinct()
 
@@ -121,7 +122,8 @@ class IncrementalGold:
         if not buckets:
             return kept
         touched = reduce(DataFrame.unionByName, [self._facts(new, k).select(F.col(key).alias("_touched")) for k in kinds])
-        touched = touched.distinct()
+        # Customers grow with the logs and are no hot keys: their list stays on the executors.
+        touched = touched.distinct().hint("merge") if name == "customers" else touched.distinct()
 
         def of_touched(df: DataFrame, how: str = "left_semi") -> DataFrame:
             return df.join(touched, F.col(key).eqNullSafe(F.col("_touched")), how)

@@ -114,3 +114,14 @@ def test_a_batch_that_dies_changes_nothing(spark, monkeypatch):
     silver, views, clicks = everything(spark, given[:2])
     assert rows(gold.customers()) == rows(gold_customer_features(silver, views, clicks))
     assert gold.customers().where(F.col("customer_id").isNull()).count() == 1
+
+
+def test_lists_of_customers_and_of_events_are_not_sent_to_the_driver(spark):
+    silver = spark.createDataFrame([("o1", "u1", "m1", 5.0, 0, "Pizza", "organic")], SILVER)
+    views = spark.createDataFrame([("i1", "u1", 0)], VIEWS)
+    clicks = spark.createDataFrame([("c1", "i1", "u1")], CLICKS)
+    kept = IncrementalGold(spark, fresh_dir(spark, "incremental"), buckets=2)
+    kept.add(0, silver, views, clicks)
+    facts = kept.table.entries()[1]
+    for df in (kept._matches(facts, facts), gold_customer_features(silver, views, clicks)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
