@@ -12,11 +12,13 @@ very many classes share drop out by themselves, without a cap.
 
 Within a list, pairs with one class are looked at first, the one whose values most
 others hold: the text that a family of edits comes from. Verified links make
-components; further stars, around others, join some more. In lists of up to ``FEW`` classes that then still hold
+components. In lists of up to ``FEW`` classes that then still hold
 different components all remaining pairs are compared. Longer ones are where a
 sketch cannot tell a family of loosely related texts apart: thousands of edits
-of one text share most values and few links. Their classes, and only those, get
-lists over their full sets, in which the positions of a value in two
+of one text share most values and few links. Their classes, and only those, have
+their full sets written. By these each list's weightiest class is the centre of
+further stars, which bring the edits that are linked at all into one component.
+What stays apart gets lists over the full sets, in which the positions of a value in two
 sets, ordered by rarity, bound the overlap exactly. A class with too many values
 of its own then meets no partner of a size it cannot match, and what is compared
 stays near what is linked. All pairs of a list are so either compared, connected
@@ -53,7 +55,8 @@ SKETCH = 64
 MISS = 1e-9
 #: Classes of a list whose pairs are all compared; longer lists are taken apart by full sets.
 FEW = 24
-#: Rounds of further stars before the members that are still apart are compared pair by pair.
+#: Rounds of further stars before the members that are still apart are compared pair by pair: the first
+#: stars' other pairs, then stars by full sets around the weightiest component of a list, the next one, ...
 TURNS = 3
 #: Jaccard threshold in hundredths.
 THRESHOLD = 80
@@ -103,12 +106,11 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 def _postings(classes: DataFrame, threshold: int) -> DataFrame:
     """(value, cls, n, weight): every class under the rarest of its retained values, as far as others share them."""
-    values = classes.select("cls", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    values = values.repartition("value")
+    values = classes.select("cls", F.explode("sketch").alias("value")).repartition("value")
     shared = values.groupBy("value").agg(F.count("*").alias("times")).where("times > 1")
-    common = values.join(shared, "value").groupBy("cls", "n", "k").agg(
+    common = values.join(shared, "value").groupBy("cls").agg(
         F.array_sort(F.collect_list(F.struct("times", "value"))).alias("own")
-    )
+    ).join(classes.select("cls", "n", F.size("sketch").alias("k")), "cls")
     # A set whose union with any partner fits into a sketch is compared exactly.
     exact = F.ceil(F.col("k") * threshold / 100.0).cast("int")
     whole = F.col("n") * 100 <= SKETCH * threshold
@@ -156,15 +158,35 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
-def _other_stars(named: DataFrame, turn: int, threshold: int) -> DataFrame:
-    """Pairs (a, b) of every list's members with one that a hash takes, another in every list and turn, if components differ."""
-    head = F.min(F.struct(F.xxhash64(F.lit(turn), "value", "cls").alias("h"), "cls", "n", "component")).alias("head")
-    heads = named.groupBy("value").agg(
-        head, F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo < hi").select("value", "head")
-    fits = 100 * F.least("n", "head.n") >= threshold * F.greatest("n", "head.n")
-    met = named.join(heads, "value").where(fits & (F.col("component") != F.col("head.component")))
-    return met.select(F.least("cls", "head.cls").alias("a"), F.greatest("cls", "head.cls").alias("b")).distinct()
+def _mixed(lists: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lists that hold different components, with their number of members, and the classes of the long ones."""
+    named = _named(lists, found)
+    sizes = named.groupBy("value").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")
+    )
+    mixed = written(named.join(sizes.where("lo < hi").select("value", "members"), "value"), "mixed-lists")
+    return mixed, written(mixed.where(F.col("members") > FEW).select("cls", "component").distinct(), "open-classes")
+
+
+def _central_stars(mixed: DataFrame, weights: DataFrame, turn: int, threshold: int) -> DataFrame:
+    """Pairs (a, b) of classes of long lists that are still apart, at most one for every class.
+
+    A list's centre is its weightiest class by full sets; in later turns that of the
+    components which no earlier turn's centre is of. A class meets the one that is
+    the centre of most of its lists.
+    """
+    members = mixed.where(F.col("members") > FEW).join(weights, "cls")
+    centre = F.max(F.struct("weight", "cls", "n", "component")).alias("centre")
+    around = members.groupBy("value").agg(centre)
+    left = members
+    for _ in range(1, turn):
+        left = left.join(around, "value").where(F.col("component") != F.col("centre.component")).drop("centre")
+        around = left.groupBy("value").agg(centre)
+    fits = 100 * F.least("n", "centre.n") >= threshold * F.greatest("n", "centre.n")
+    met = members.join(around, "value").where(fits & (F.col("component") != F.col("centre.component")))
+    shared = met.groupBy("cls", F.col("centre.cls").alias("other")).agg(F.count("*").alias("lists"))
+    best = shared.groupBy("cls").agg(F.max(F.struct("lists", "other"))["other"].alias("other"))
+    return best.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
 def _all_pairs(lists: DataFrame, threshold: int) -> DataFrame:
@@ -181,9 +203,17 @@ def _all_pairs(lists: DataFrame, threshold: int) -> DataFrame:
     return own.select(F.explode(F.flatten(F.transform("own", partners))).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _crossing(
-    open_classes: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, threshold: int
-) -> DataFrame:
+def _open_values(open_classes: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(cls, n, value, times): the full sets of the open classes, with how many of these hold each value."""
+    known = classes.select("cls", "d1", "d2").join(open_classes.select("cls"), "cls")
+    sets = _full_sets(docs, known, shingle)
+    values = written(sets.select("cls", F.size("hashes").alias("n"), F.explode("hashes").alias("value")), "open-values")
+    values = values.repartition("value").distinct()  # rows of one id may give a set twice
+    times = values.groupBy("value").agg(F.count("*").alias("times"))
+    return written(values.join(times, "value").select("cls", "n", "value", "times"), "open-times")
+
+
+def _crossing(open_classes: DataFrame, values: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of different components among the open classes that their full sets do not rule out.
 
     Every set is put in the order of (rarity, value). If x and y reach the
@@ -191,15 +221,9 @@ def _crossing(
     it in both; so its place in x bounds the size of y, and the other way round.
     The larger set asks the size bins it can match, the smaller stands in its own.
     """
-    known = classes.select("cls", "d1", "d2").join(open_classes, "cls")
-    sets = _full_sets(docs, known, shingle).join(open_classes, "cls")
-    values = written(
-        sets.select("cls", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("value")), "open-values"
-    )
-    times = values.groupBy("value").agg(F.count("*").alias("times"))
-    ordered = values.join(times, "value").groupBy("cls", "component", "n").agg(
+    ordered = values.groupBy("cls", "n").agg(
         F.array_sort(F.collect_list(F.struct("times", "value"))).alias("own")
-    )
+    ).join(open_classes, "cls")
     prefix = F.col("n") - F.ceil(F.col("n") * threshold / 100.0) + 1
     placed = ordered.select(
         "cls", "component", "n", F.posexplode(F.slice("own", F.lit(1), prefix.cast("int"))).alias("at", "p")
@@ -245,6 +269,7 @@ def _full_sets(docs: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
+    pairs = written(pairs, "pairs")  # read three times below
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     sets = _full_sets(docs, classes.select("cls", "d1", "d2").join(wanted, "cls"), shingle)
     one = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("hashes_a"))
@@ -284,47 +309,57 @@ def near_duplicates(
     )
     lists = written(_postings(classes, threshold), "inverted-lists")
 
+    # Sketches and texts are needed again only of classes that share a list with another: they are
+    # taken out once, so that the many joins below do not deal out the whole corpus each.
+    heads = written(
+        lists.groupBy("value").agg(
+            F.max(F.struct("weight", "cls"))["cls"].alias("a"), F.count("*").alias("members")
+        ).where("members > 1"),
+        "heads",
+    )
+    lists = lists.join(heads.select("value"), "value", "left_semi")
+    listed = written(classes.join(lists.select("cls").distinct(), "cls", "left_semi"), "listed-classes")
+    ids = listed.select(F.col("cls").alias("doc_id"))
+    texts = written(rows.join(ids, "doc_id", "left_semi"), "listed-texts", compression="zstd")
+
     # First every list's members with its weightiest; of those, first the likeliest partner of each class.
-    heads = lists.groupBy("value").agg(
-        F.max(F.struct("weight", "cls"))["cls"].alias("a"), F.count("*").alias("members")
-    ).where("members > 1")
     stars = lists.join(heads, "value").where(F.col("cls") != F.col("a")).select("a", F.col("cls").alias("b"))
-    candidates = written(_estimated(stars.distinct(), classes, threshold), "star-pairs")
+    candidates = written(_estimated(stars.distinct(), listed, threshold), "star-pairs")
     best = candidates.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best"))
     links = written(
-        _verified(best.select("best.a", "b"), rows, classes, shingle, threshold).unionByName(_same_id(usable, classes)),
+        _verified(best.select("best.a", "b"), texts, listed, shingle, threshold).unionByName(_same_id(usable, classes)),
         "first-links",
     )
     found = written(components(links), "first-components")
 
-    # Then the other stars between what is still apart, and stars around other members: components that
+    # Then the other stars between what is still apart, and stars by full sets: components that
     # grow together here leave no pairs to the last step.
-    for turn in range(TURNS):
-        apart = _apart(candidates, found) if turn == 0 else _estimated(
-            _other_stars(_named(lists, found), turn, threshold), classes, threshold
-        )
-        joined = written(_verified(apart.select("a", "b"), rows, classes, shingle, threshold), "turn-links")
-        if joined.isEmpty() and turn:
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        return written(_verified(pairs.select("a", "b"), texts, listed, shingle, threshold), name)
+
+    if TURNS:
+        links = links.unionByName(linked(_apart(candidates, found), "turn-links"))
+        found = written(components(links), "turn-components")
+    mixed, open_classes = _mixed(lists, found)
+    values = _open_values(open_classes, texts, listed, shingle)
+    weights = values.groupBy("cls").agg(F.sum("times").alias("weight"))
+    for turn in range(1, TURNS):
+        stars = _central_stars(mixed, weights, turn, threshold)
+        joined = linked(_estimated(stars, listed, threshold), "turn-links")
+        if joined.isEmpty():
             break
         links = links.unionByName(joined)
         found = written(components(links), "turn-components")
+        mixed, open_classes = _mixed(lists, found)
 
     # Last whatever a list holds of different components.
-    named = _named(lists, found)
-    sizes = named.groupBy("value").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")
-    )
-    mixed = sizes.where("lo < hi").select("value", "members")
-    mixed = written(named.join(mixed, "value"), "mixed-lists")
-    open_classes = written(mixed.where(F.col("members") > FEW).select("cls", "component").distinct(), "open-classes")
     crossing = _all_pairs(mixed.where(F.col("members") <= FEW), threshold).unionByName(
-        _crossing(open_classes, rows, classes, shingle, threshold)
+        _crossing(open_classes, values, threshold)
     ).distinct()
     done = best.select(F.col("best.a").alias("a"), "b")
     done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _estimated(crossing.join(done, ["a", "b"], "left_anti"), classes, threshold)
-    more = written(_verified(rest.select("a", "b"), rows, classes, shingle, threshold), "more-links")
-    final = components(links.unionByName(more))
+    rest = _estimated(crossing.join(done, ["a", "b"], "left_anti"), listed, threshold)
+    final = components(links.unionByName(linked(rest, "more-links")))
 
     of_class = classes.join(final, classes.cls == final.node, "left").select(
         "d1", "d2", F.coalesce("component", "cls").alias("component")

@@ -94,3 +94,26 @@ def test_turns_change_no_class(spark, docs, monkeypatch):
         monkeypatch.setattr(near_dup, "TURNS", turns)
         found.append(sorted(map(str, near_dup.near_duplicates(docs).collect())))
     assert found[0] == found[1]
+
+
+def test_stars_by_full_sets_leave_fewer_pairs(spark, monkeypatch):
+    """Edits of a text that is not there; stars around arbitrary members compared 19,113 pairs of them."""
+    rng, seen = random.Random(5), []
+    base, rows = [f"c{i}" for i in range(150)], []
+    for i in range(400):
+        words = list(base)
+        for k in range(rng.choice([1, 2, 2, 3, 3, 4, 5])):
+            words[rng.randrange(len(words))] = f"e{i}_{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"s{i}_{k}" for k in range(30))) for i in range(300)]
+    verified = near_dup._verified
+
+    def counted(pairs, texts, *others):
+        seen.append((pairs.count(), texts.count()))
+        return verified(pairs, texts, *others)
+
+    monkeypatch.setattr(near_dup, "_verified", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, near_duplicates(frame).collect())) == brute(rows)
+    assert sum(pairs for pairs, _ in seen) <= 15_000
+    assert max(texts for _, texts in seen) <= 400  # texts that share no list are not dealt out again
