@@ -114,7 +114,10 @@ def training_set_point_in_time(
     out = observations
     for look in lookups:
         side = Lookup("snap", look.table, look.ts, look.ts, look.features, strict=True)
-        joined = asof_join(out, [side], [look.key], ts, hot_rows, summaries=(summaries or {}).get(look.key))
+        # Lookups keep every row and its key: where keys are counted, the features looked up before are not computed.
+        joined = asof_join(
+            out, [side], [look.key], ts, hot_rows, [observations, look.table], (summaries or {}).get(look.key)
+        )
         out = joined.select(*out.columns, *[F.col(f"snap.{f}").alias(f) for f in look.features])
     return out.select(*[c for c in out.columns if c not in exclude])
 

@@ -349,19 +349,25 @@ def customer_snapshots(silver: DataFrame, impressions: DataFrame, clicks: DataFr
     day = F.to_date
     impressions = _first_of(impressions, "impression_id")
     clicks = _on_impressions(clicks, impressions)
-    bought = silver.groupBy("customer_id", day("order_timestamp").alias("day")).agg(
-        F.countDistinct("order_id").alias("orders"),
-        F.sum(money("order_amount")).alias("amount"),
-        F.count("order_amount").alias("amounts"),
-        F.sum("used_coupon").alias("coupons"),
-        F.count("used_coupon").alias("coupon_rows"),
-    )
-    shown = impressions.groupBy("customer_id", day("timestamp").alias("day")).agg(
-        F.countDistinct("impression_id").alias("shown")
-    )
-    hit = clicks.groupBy("customer_id", day("timestamp").alias("day")).agg(
-        F.countDistinct("click_id").alias("hit")
+    # One row per id here, so that ids are counted as rows and one sum per customer and day is left.
+    bought = (
+        silver.groupBy("customer_id", day("order_timestamp").alias("day"), "order_id")
+        .agg(
+            F.sum(money("order_amount")).alias("amount"),
+            F.count("order_amount").alias("amounts"),
+            F.sum("used_coupon").alias("coupons"),
+            F.count("used_coupon").alias("coupon_rows"),
+        )
+        .withColumn("orders", F.col("order_id").isNotNull().cast("bigint"))
+        .drop("order_id")
     )
+
+    def counted(ids: DataFrame, key: str, name: str) -> DataFrame:
+        return ids.select(
+            "customer_id", day("timestamp").alias("day"), F.col(key).isNotNull().cast("bigint").alias(name)
+        )
+
+    shown, hit = counted(impressions, "impression_id", "shown"), counted(clicks, "click_id", "hit")
     measures = ["orders", "amount", "amounts", "coupons", "coupon_rows", "shown", "hit"]
     daily = bought.unionByName(shown, allowMissingColumns=True).unionByName(hit, allowMissingColumns=True)
     daily = daily.where(F.col("day").isNotNull()).groupBy("customer_id", "day")

@@ -89,10 +89,14 @@ def hot_buckets(
     The answer decides the plan, as a table size decides a join: with no hot
     key, which is the usual case, nothing is split. ``summaries`` of the tables
     behind the frames, one for each time that a table's rows enter, rule hot
-    keys out without a job; only where they cannot, the rows are counted.
+    keys out without a job; only where they cannot, the rows are counted. Of
+    several key columns the first is counted alone before: its values have at
+    least the rows of the whole keys, and the other columns are not computed.
     """
     if summaries and surely_cool(summaries, hot_rows):
         return []
+    if len(keys) > 1 and not hot_buckets(frames, keys[:1], hot_rows):
+        return []
     rows = reduce(DataFrame.unionAll, [f.select(_bucket(keys), *keys) for f in frames])
     counts = rows.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
     large = [r[_BUCKET] for r in counts.collect()]

@@ -75,7 +75,9 @@ def clicks_of(base: DataFrame, impressions: DataFrame) -> DataFrame:
         "ad_placement",
     )
     seen = Lookup("seen", impressions, "timestamp", "impression_id")
-    return asof_join(clicks, [seen], ["customer_id", "merchant_id"], "timestamp").select(
+    # Both sides in one scan.
+    behind = [base.where(F.col("event_type").isin("view", "click"))]
+    return asof_join(clicks, [seen], ["customer_id", "merchant_id"], "timestamp", count_on=behind).select(
         "click_id",
         F.col("seen.impression_id").alias("impression_id"),
         "timestamp",

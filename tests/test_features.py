@@ -111,6 +111,29 @@ def test_point_in_time_uses_the_day_before(spark, hot_rows):
     assert got == {"i1": (None, None, None), "i2": (None, None, None), "i3": (1, 1.0, 1), "i4": (2, 0.3333, 2)}
 
 
+def test_keys_are_counted_without_the_features_looked_up_before(spark, tables, monkeypatch):
+    from adlift.operators import ordered
+
+    counted = []
+
+    def counting(frames, keys, *rest):
+        counted.append((frames[0].columns, keys))
+        return []
+
+    monkeypatch.setattr(ordered, "hot_buckets", counting)
+    clicks = spark.createDataFrame([click("c", 5)], CLICK)
+    views = spark.createDataFrame([view("i0", 1)], VIEW)
+    observed = features.observations_clicked(views, clicks, keep=["timestamp"])
+    silver = attribution_asof(spark.createDataFrame([order("a", 9)], ORDER), clicks)
+    counted.clear()
+    lookups = [
+        features.customer_lookup(gold.customer_snapshots(silver, views, clicks)),
+        features.merchant_lookup(gold.merchant_snapshots(silver)),
+    ]
+    assert features.training_set_point_in_time(observed, lookups).count() == 1
+    assert counted == [(observed.columns, ["customer_id"]), (observed.columns, ["merchant_id"])]
+
+
 def test_primary_key_check(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     assert tuple(features.primary_key_check("t", df, ["k"]).first()) == ("t", 4, 2, 1, 1)

@@ -146,3 +146,17 @@ def test_time_windows_are_pushed_to_the_files(spark, tmp_path):
     recent = gold.orders_last_days(spark.read.parquet(path), F.lit("2024-01-31 00:00:00").cast("timestamp"), 30)
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(timestamp" in plan and "LessThanOrEqual(timestamp" in plan
+
+
+def test_snapshots_count_ids_without_distinct_counts(spark):
+    """Replays and rows without an id do not count; ids come one row each, so nothing is counted as distinct."""
+    orders = [order("a", 10, amount=10.0), order("a", 10, amount=30.0), order(None, 20, amount=20.0)]
+    clicks = [click("c", 5, impression="i1"), click("c", 7, impression="i1"), click(None, 8, impression="i1")]
+    views = [view("i1", 1), view("i1", 3), view(None, 4)]
+    o, c, v = (spark.createDataFrame(r, s) for r, s in ((orders, ORDER), (clicks, CLICK), (views, VIEW)))
+    snapshots = gold.customer_snapshots(attribution_asof(o, c), v, c)
+    got = snapshots.select(
+        "user_total_orders", "user_avg_basket_value", "user_ad_fatigue_score", "user_historical_ctr"
+    )
+    assert [tuple(r) for r in got.collect()] == [(1, 20.0, 0.5, 1.0)]
+    assert "distinct" not in snapshots._jdf.queryExecution().optimizedPlan().toString().lower()

@@ -123,6 +123,17 @@ def test_only_outlying_buckets_are_hot(spark):
     assert hot_buckets([df], ["key"], 10**6) == []
 
 
+def test_further_keys_are_not_computed_where_the_first_is_cool(spark):
+    df = _frame(spark, [(f"i{i}", "hot" if i < 90 else f"k{i}", i) for i in range(300)], "id")
+    failing = df.withColumn("second", F.raise_error(F.lit("computed")))
+    assert hot_buckets([failing], ["key", "second"], 100) == []
+    # With a hot first key, the whole keys decide.
+    assert hot_buckets([df], ["key", "id"], 50) == []
+    pairs = df.withColumn("second", F.when(F.col("ts") < df.agg(F.max("ts")).first()[0], "x").otherwise("y"))
+    cold, warm = split(pairs, ["key", "second"], hot_buckets([pairs], ["key", "second"], 50))
+    assert (warm.where("key = 'hot'").count(), cold.where("key = 'hot'").count()) == (90, 0)
+
+
 def test_hot_keys_stay_hot_where_every_bucket_is_large(spark, monkeypatch):
     import adlift.operators.skew as skew
 
