@@ -435,8 +435,9 @@ def _training_in_time(t: Layers) -> DataFrame:
         features.customer_lookup(gold.customer_snapshots(t.silver, t.logs.impressions, t.logs.clicks)),
         features.merchant_lookup(gold.merchant_snapshots(t.silver)),
     ]
-    # An observation is an impression or a click, a snapshot a day with some event.
+    # An observation is an impression or a click, a snapshot a day with some event, of a merchant with orders.
     behind = t.key_summaries("impressions", "clicks", "impressions", "clicks", "orders")
+    behind["merchant_id"] = t.key_summaries("impressions", "clicks", "orders")["merchant_id"]
     return features.training_set_point_in_time(observed, lookups, summaries=behind)
 
 
@@ -547,10 +548,15 @@ def training_vectors(spark, sf_dir):
 _MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
+def _model_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix of the point-in-time set, written once: every pass of the split, the fit and the scores reads it."""
+    t = layers(spark, sf_dir)
+    return t.published("propensity_matrix", lambda: features.training_matrix(_training_in_time(t)))
+
+
 def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matrix of the point-in-time set with its train/test split."""
-    matrix = features.training_matrix(_training_in_time(layers(spark, sf_dir)))
-    return stratified_split(matrix, "impression_id", "has_clicked")
+    """The matrix with its train/test split."""
+    return stratified_split(_model_matrix(spark, sf_dir), "impression_id", "has_clicked")
 
 
 def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -589,7 +595,7 @@ def score_requests(spark, sf_dir):
 @query
 def propensity_checks(spark, sf_dir):
     """Per label: scored observations, those with a probability, and those a second scoring gives the same."""
-    matrix = features.training_matrix(_training_in_time(layers(spark, sf_dir)))
+    matrix = _model_matrix(spark, sf_dir)
     scored = model.score(_model(spark, sf_dir), matrix)
     twice = model.score(_model(spark, sf_dir), scored.drop("probability"), "again")
     return twice.groupBy("has_clicked").agg(

@@ -36,3 +36,17 @@ def test_queries_without_sql(spark):
 
 def test_entry(spark):
     assert entry(spark).count() == 2
+
+
+def test_model_matrix_is_written_once(spark):
+    """Split, fit and scores read the written matrix, whose rows are those of the point-in-time set."""
+    from adlift.operators.features import training_matrix
+    from adlift.plans import queries as named
+    from adlift.plans.medallion import layers
+
+    rows = named._model_rows(spark, SMOKE_DIR)
+    assert rows.inputFiles() and all("/propensity_matrix/" in f for f in rows.inputFiles())
+    want = training_matrix(named._training_in_time(layers(spark, SMOKE_DIR)))
+    got = rows.drop("is_test")
+    assert got.columns == want.columns
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
