@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlift.llm.components import components
+from adlift.llm.components import forest
 from adlift.llm.frames import ship_package, written
 from adlift.llm.textbytes import NOT_WHITE, lowered, shingle_hashes, spans, word_hashes
 
@@ -139,21 +139,19 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
         F.col("shared") >= F.get(bounds, F.size("union"))
     )
     counted = both.withColumn("shared", shared)
-    return counted.where(enough).groupBy("a", "b").agg(
-        F.max(F.col("shared") / F.size("union")).alias("estimate")
-    )
+    return counted.where(enough).select("a", "b", (F.col("shared") / F.size("union")).alias("estimate"))
 
 
 def _named(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """The lists with the component of every class, itself where nothing is linked to it."""
-    return lists.join(found, lists.cls == found.node, "left").select(
-        "value", "cls", "n", F.coalesce("component", "cls").alias("component")
+    """The lists with the component of every class, itself where the forest (a, b) has none."""
+    return lists.join(found, lists.cls == found.a, "left").select(
+        "value", "cls", "n", F.coalesce("b", "cls").alias("component")
     )
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are of different components."""
-    ends = [found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
+    ends = [found.select(F.col("a").alias(c), F.col("b").alias(f"of_{c}")) for c in ("a", "b")]
     both = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
     return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
@@ -165,7 +163,7 @@ def _mixed(lists: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")
     )
     mixed = written(named.join(sizes.where("lo < hi").select("value", "members"), "value"), "mixed-lists")
-    return mixed, written(mixed.where(F.col("members") > FEW).select("cls", "component").distinct(), "open-classes")
+    return mixed, mixed.where(F.col("members") > FEW).select("cls", "component").distinct()
 
 
 def _central_stars(mixed: DataFrame, weights: DataFrame, turn: int, threshold: int) -> DataFrame:
@@ -186,11 +184,11 @@ def _central_stars(mixed: DataFrame, weights: DataFrame, turn: int, threshold: i
     met = members.join(around, "value").where(fits & (F.col("component") != F.col("centre.component")))
     shared = met.groupBy("cls", F.col("centre.cls").alias("other")).agg(F.count("*").alias("lists"))
     best = shared.groupBy("cls").agg(F.max(F.struct("lists", "other"))["other"].alias("other"))
-    return best.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+    return best.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
 
 
 def _all_pairs(lists: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of different components and matching sizes within lists of few classes."""
+    """Pairs (a, b) of different components and matching sizes within lists of few classes, once for every list."""
     own = lists.groupBy("value").agg(F.collect_list(F.struct("cls", "n", "component")).alias("own"))
 
     def partners(x):
@@ -200,21 +198,20 @@ def _all_pairs(lists: DataFrame, threshold: int) -> DataFrame:
 
         return F.transform(F.filter("own", fits), lambda y: F.struct(x["cls"].alias("a"), y["cls"].alias("b")))
 
-    return own.select(F.explode(F.flatten(F.transform("own", partners))).alias("p")).select("p.a", "p.b").distinct()
+    return own.select(F.explode(F.flatten(F.transform("own", partners))).alias("p")).select("p.a", "p.b")
 
 
-def _open_values(open_classes: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+def _open_values(open_classes: DataFrame, full: DataFrame) -> DataFrame:
     """(cls, n, value, times): the full sets of the open classes, with how many of these hold each value."""
-    known = classes.select("cls", "d1", "d2").join(open_classes.select("cls"), "cls")
-    sets = _full_sets(docs, known, shingle)
-    values = written(sets.select("cls", F.size("hashes").alias("n"), F.explode("hashes").alias("value")), "open-values")
+    sets = full.join(open_classes.select("cls"), "cls")
+    values = sets.select("cls", F.size("hashes").alias("n"), F.explode("hashes").alias("value"))
     values = values.repartition("value").distinct()  # rows of one id may give a set twice
     times = values.groupBy("value").agg(F.count("*").alias("times"))
     return written(values.join(times, "value").select("cls", "n", "value", "times"), "open-times")
 
 
 def _crossing(open_classes: DataFrame, values: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of different components among the open classes that their full sets do not rule out.
+    """Pairs (a, b) of different components among the open classes that their full sets do not rule out, maybe repeated.
 
     Every set is put in the order of (rarity, value). If x and y reach the
     threshold with c common values, the first common one has at least c - 1 after
@@ -245,7 +242,7 @@ def _crossing(open_classes: DataFrame, values: DataFrame, threshold: int) -> Dat
     once = (F.col("n_b") < F.col("n")) | ((F.col("n_b") == F.col("n")) & (F.col("cls_b") < F.col("cls")))
     same = (larger.value == smaller.value) & (larger.bin == smaller.bin)
     met = larger.join(smaller, same & fits & once)
-    return met.select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b")).distinct()
+    return met.select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
 
 
 def _full_sets(docs: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
@@ -267,13 +264,10 @@ def _full_sets(docs: DataFrame, known: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(own_text, "cls long, hashes array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    pairs = written(pairs, "pairs")  # read three times below
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    sets = _full_sets(docs, classes.select("cls", "d1", "d2").join(wanted, "cls"), shingle)
-    one = sets.select(F.col("cls").alias("a"), F.col("hashes").alias("hashes_a"))
-    other = sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hashes_b"))
+def _verified(pairs: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose full sets (cls, hashes) reach the threshold."""
+    one = full.select(F.col("cls").alias("a"), F.col("hashes").alias("hashes_a"))
+    other = full.select(F.col("cls").alias("b"), F.col("hashes").alias("hashes_b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,8 +279,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: in
             mask = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], ["a", "b"])
 
-    met = pairs.join(one, "a").join(other, "b").select("a", "b", "hashes_a", "hashes_b")
-    return met.mapInArrow(compare, "a long, b long").distinct()
+    # Estimates leave the pairs dealt out by b.
+    met = pairs.join(other, "b").join(one, "a").select("a", "b", "hashes_a", "hashes_b")
+    return met.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -309,60 +304,49 @@ def near_duplicates(
     )
     lists = written(_postings(classes, threshold), "inverted-lists")
 
-    # Sketches and texts are needed again only of classes that share a list with another: they are
+    # Sketches and full sets are needed again only of classes that share a list with another: they are
     # taken out once, so that the many joins below do not deal out the whole corpus each.
-    heads = written(
-        lists.groupBy("value").agg(
-            F.max(F.struct("weight", "cls"))["cls"].alias("a"), F.count("*").alias("members")
-        ).where("members > 1"),
-        "heads",
-    )
-    lists = lists.join(heads.select("value"), "value", "left_semi")
+    heads = lists.groupBy("value").agg(
+        F.max(F.struct("weight", "cls"))["cls"].alias("head"), F.count("*").alias("members")
+    ).where("members > 1")
+    lists = written(lists.join(heads, "value").select("value", "cls", "n", "head"), "shared-lists")
     listed = written(classes.join(lists.select("cls").distinct(), "cls", "left_semi"), "listed-classes")
-    ids = listed.select(F.col("cls").alias("doc_id"))
-    texts = written(rows.join(ids, "doc_id", "left_semi"), "listed-texts", compression="zstd")
+    full = written(_full_sets(rows, listed.select("cls", "d1", "d2"), shingle), "listed-sets")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        return written(_verified(pairs.select("a", "b"), full, threshold), name)
 
     # First every list's members with its weightiest; of those, first the likeliest partner of each class.
-    stars = lists.join(heads, "value").where(F.col("cls") != F.col("a")).select("a", F.col("cls").alias("b"))
+    stars = lists.where(F.col("cls") != F.col("head")).select(F.col("head").alias("a"), F.col("cls").alias("b"))
     candidates = written(_estimated(stars.distinct(), listed, threshold), "star-pairs")
-    best = candidates.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best"))
-    links = written(
-        _verified(best.select("best.a", "b"), texts, listed, shingle, threshold).unionByName(_same_id(usable, classes)),
-        "first-links",
-    )
-    found = written(components(links), "first-components")
+    best = candidates.groupBy("b").agg(F.max(F.struct("estimate", "a"))["a"].alias("a"))
+    found = forest(linked(best, "first-links").unionByName(_same_id(usable, classes)))
 
     # Then the other stars between what is still apart, and stars by full sets: components that
-    # grow together here leave no pairs to the last step.
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        return written(_verified(pairs.select("a", "b"), texts, listed, shingle, threshold), name)
-
+    # grow together here leave no pairs to the last step. What is linked already stays as its forest.
     if TURNS:
-        links = links.unionByName(linked(_apart(candidates, found), "turn-links"))
-        found = written(components(links), "turn-components")
+        found = forest(found.unionByName(linked(_apart(candidates, found), "turn-links")))
     mixed, open_classes = _mixed(lists, found)
-    values = _open_values(open_classes, texts, listed, shingle)
-    weights = values.groupBy("cls").agg(F.sum("times").alias("weight"))
+    values = _open_values(open_classes, full)
+    weights = written(values.groupBy("cls").agg(F.sum("times").alias("weight")), "open-weights")
     for turn in range(1, TURNS):
         stars = _central_stars(mixed, weights, turn, threshold)
         joined = linked(_estimated(stars, listed, threshold), "turn-links")
         if joined.isEmpty():
             break
-        links = links.unionByName(joined)
-        found = written(components(links), "turn-components")
+        found = forest(found.unionByName(joined))
         mixed, open_classes = _mixed(lists, found)
 
     # Last whatever a list holds of different components.
     crossing = _all_pairs(mixed.where(F.col("members") <= FEW), threshold).unionByName(
         _crossing(open_classes, values, threshold)
     ).distinct()
-    done = best.select(F.col("best.a").alias("a"), "b")
-    done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    done = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _estimated(crossing.join(done, ["a", "b"], "left_anti"), listed, threshold)
-    final = components(links.unionByName(linked(rest, "more-links")))
+    final = forest(found.unionByName(linked(rest, "more-links")))
 
-    of_class = classes.join(final, classes.cls == final.node, "left").select(
-        "d1", "d2", F.coalesce("component", "cls").alias("component")
+    of_class = classes.join(final, classes.cls == final.a, "left").select(
+        "d1", "d2", F.coalesce("b", "cls").alias("component")
     )
     own = F.col("s.doc_id").isNotNull() & (F.col("s.n") > 0)
     joined = sets.alias("s").join(

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+import adlift.llm.components as stars
 from adlift.llm.components import components
 import adlift.llm.near_dup as near_dup
 from adlift.llm.near_dup import least_shared, near_duplicates
@@ -75,6 +76,57 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_deal_out_few_times(spark, monkeypatch):
+    """A round took seven exchanges, and links that are stars already two rounds."""
+    rounds = []
+
+    def counted(df, name, run=stars.written):
+        rounds.append(name)
+        return run(df, name)
+
+    monkeypatch.setattr(stars, "written", counted)
+    links = [(i, 7) for i in range(8, 60)] + [(i, 3) for i in range(100, 160)] + [(8, 7), (7, 9), (None, 7), (7, None)]
+    frame = spark.createDataFrame(links, "a long, b long").repartition(4)
+    want = {3: 3, 7: 7} | {i: 7 for i in range(8, 60)} | {i: 3 for i in range(100, 160)}
+    assert Counter(map(tuple, components(frame).collect())) == Counter(want.items())
+    assert rounds == ["stars"]
+    one_round = stars._small_star(stars._large_star(frame))
+    plan = one_round._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_random_links(spark, seed):
+    rng = random.Random(seed)
+    nodes = rng.sample(range(10**6), 300)
+    links = [tuple(rng.sample(nodes, 2)) for _ in range(rng.choice([120, 160, 400]))]
+    links += rng.choices(links, k=40) + [(b, a) for a, b in links[:20]]
+    root = {n: n for link in links for n in link}
+
+    def top(n):
+        return n if root[n] == n else top(root[n])
+
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        root[y] = x
+    got = components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
+    assert Counter(map(tuple, got)) == Counter((n, top(n)) for n in root)
+
+
+def test_the_job_takes_few_stages(spark):
+    """Stages, each with its tasks and its share of the driver: 327 before on this input, 151 since."""
+    rng, base = random.Random(6), [f"c{i}" for i in range(80)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else f"e{i}" for w in base)) for i in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sc = spark.sparkContext
+    sc.setJobGroup("few-stages", "near duplicates")
+    assert Counter(map(tuple, near_duplicates(frame).collect())) == brute(rows)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    infos = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few-stages")]
+    assert len({s for i in infos for s in i.stageIds}) <= 170
+
+
 def test_a_family_of_loose_edits(spark):
     """Many edits of one text, most of them not linked: lists far longer than those whose pairs are all compared."""
     rng = random.Random(8)
